@@ -20,9 +20,6 @@ from starmart.functions.numbers import change_pct, ratio
 from starmart.plans.mart import Star
 from starmart.plans.metrics import months_between_dates
 
-ORDERS = F.count_distinct("order_id").alias("orders")
-SALES = F.sum("subtotal").alias("sales")
-
 
 def confirmed(star: Star) -> DataFrame:
     """Fact rows that count as sales: confirmed orders only."""
@@ -39,6 +36,14 @@ def _sold(star: Star, p_from: dt.date | None, p_to: dt.date | None) -> DataFrame
     )
 
 
+def _orders() -> Column:
+    return F.count_distinct("order_id").alias("orders")
+
+
+def _sales() -> Column:
+    return F.sum("subtotal").alias("sales")
+
+
 def _total(column: str, data_type: str) -> Column:
     return F.sum(column).cast(data_type).alias(column)
 
@@ -51,7 +56,7 @@ def sales_by_territory(
     star: Star, p_from: dt.date | None = None, p_to: dt.date | None = None
 ) -> DataFrame:
     """T1. Orders and sales by zone and manager; sales without a zone are left out."""
-    by_zone = _sold(star, p_from, p_to).groupBy("territory_id").agg(ORDERS, SALES)
+    by_zone = _sold(star, p_from, p_to).groupBy("territory_id").agg(_orders(), _sales())
     return (
         by_zone.join(star.dim_territory, "territory_id")
         .groupBy("territory", "manager")
@@ -68,7 +73,7 @@ def top_salespeople(
 ) -> DataFrame:
     """T2. Best sellers with their average ticket; one row per seller and zone sold in."""
     by_ids = (
-        _sold(star, p_from, p_to).groupBy("salesperson_id", "territory_id").agg(ORDERS, SALES)
+        _sold(star, p_from, p_to).groupBy("salesperson_id", "territory_id").agg(_orders(), _sales())
     )
     zones = star.dim_territory.select("territory_id", "territory")
     return (
@@ -98,7 +103,7 @@ def top_products(
     by_product = (
         _sold(star, p_from, p_to)
         .groupBy("product_id")
-        .agg(F.sum("quantity").alias("units"), SALES)
+        .agg(F.sum("quantity").alias("units"), _sales())
     )
     return (
         by_product.join(star.dim_product.select("product_id", "product", "category"), "product_id")
@@ -140,7 +145,7 @@ def sales_by_state(
     star: Star, p_from: dt.date | None = None, p_to: dt.date | None = None
 ) -> DataFrame:
     """T5. Buying customers and sales by customer state; an unknown state is a group."""
-    by_customer = _sold(star, p_from, p_to).groupBy("customer_id").agg(SALES)
+    by_customer = _sold(star, p_from, p_to).groupBy("customer_id").agg(_sales())
     return (
         by_customer.join(star.dim_customer.select("customer_id", "state"), "customer_id")
         .groupBy("state")

@@ -40,12 +40,17 @@ def _keys(df: DataFrame, key: str, table: str, suffix: str) -> DataFrame:
         )
     )
     checks = F.array(
-        F.struct(
-            F.lit(f"nn_{suffix}").alias("constraint_name"),
-            F.lit("not_null").alias("kind"),
-            F.col("nulls").alias("violations"),
-        ),
-        F.struct(F.lit(f"pk_{suffix}"), F.lit("primary_key"), F.col("repeated")),
+        *[
+            F.struct(
+                F.lit(name).alias("constraint_name"),
+                F.lit(kind).alias("kind"),
+                F.col(found).alias("violations"),
+            )
+            for name, kind, found in (
+                (f"nn_{suffix}", "not_null", "nulls"),
+                (f"pk_{suffix}", "primary_key", "repeated"),
+            )
+        ]
     )
     return totals.select("checked", F.inline(checks)).select(
         F.lit(table).alias("table_name"), *COLUMNS[1:]

@@ -4,7 +4,7 @@
 like the Python function of the same name. Functions and parameters carry Spanish
 comments, because tools choose a function by them. A SQL function cannot take its row
 limit as a parameter of LIMIT, so rankings number their rows; Spark pushes the bound below
-the window when the argument is a literal.
+the window when the argument is a literal. Nor may a parameter stand inside an aggregate.
 """
 
 from __future__ import annotations
@@ -119,13 +119,14 @@ def table_functions(today: str = "current_date()") -> tuple[TableFunction, ...]:
             "change_pct DECIMAL(9,2)",
             "Ventas por mes de un año contra el año anterior y su variación porcentual",
             f"""
-            WITH months AS (
-              SELECT sale_month,
-                     sum(CASE WHEN sale_year = p_year THEN subtotal END) AS now,
-                     sum(CASE WHEN sale_year = p_year - 1 THEN subtotal END) AS before
+            WITH rows AS (
+              SELECT sale_month, if(sale_year = p_year, subtotal, NULL) AS this_year,
+                     if(sale_year < p_year, subtotal, NULL) AS last_year
               FROM fact_sales
-              WHERE order_status = '{SALE_STATUS}' AND sale_year IN (p_year, p_year - 1)
-              GROUP BY sale_month)
+              WHERE order_status = '{SALE_STATUS}' AND sale_year IN (p_year, p_year - 1)),
+            months AS (
+              SELECT sale_month, sum(this_year) AS now, sum(last_year) AS before
+              FROM rows GROUP BY sale_month)
             SELECT sale_month, now AS sales_current, before AS sales_previous,
                    CAST(100.0 * (now - before) / nullif(before, 0) AS DECIMAL(9,2)) AS change_pct
             FROM months ORDER BY sale_month""",
