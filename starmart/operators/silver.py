@@ -35,7 +35,7 @@ def salespeople(users: DataFrame, partners: DataFrame, cfg: MartConfig) -> DataF
     shuffles the whole partner table.
     """
     strict = cfg.strict_casts
-    referenced = users.select(F.col("partner_id").alias("id")).distinct()
+    referenced = users.select(F.col("partner_id").alias("id"))
     named = partners.select("id", "name").join(referenced, "id", "left_semi")
     return users.join(
         named.select(F.col("id").alias("partner_id"), F.col("name").alias("salesperson")),

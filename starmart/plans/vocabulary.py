@@ -11,6 +11,7 @@ from starmart.functions.text import fold, fold_text
 from starmart.operators import gold
 from starmart.plans.mart import Star
 from starmart.plans.metrics import MetricView
+from starmart.session import small_table
 
 # Words for the physical columns of Gold.
 COLUMN_SYNONYMS = {
@@ -67,7 +68,8 @@ def catalog(spark: SparkSession, view: MetricView) -> DataFrame:
         for column, comment in comments.items():
             for term in (column, *COLUMN_SYNONYMS.get(column, ())):
                 rows.append(("column", table, column, term, fold_text(term), column, comment, None))
-    return spark.createDataFrame(
+    return small_table(
+        spark,
         rows,
         "kind string, object string, name string, term string, folded string, "
         "source_column string, comment string, currency string",
@@ -83,35 +85,59 @@ def catalog_comments(spark: SparkSession, database: str) -> DataFrame:
         for c in spark.catalog.listColumns(f"{database}.{t.name}")
         if c.description
     ]
-    return spark.createDataFrame(rows, "table_name string, column_name string, comment string")
+    return small_table(spark, rows, "table_name string, column_name string, comment string")
 
 
 def entity_values(star: Star, view: MetricView) -> DataFrame:
     """Every distinct literal a person may name: ``(dimension, value)``.
 
-    Values of the metric view are those that occur in its sales. The fact contributes
-    only its distinct keys; names come from the dimension tables. Warehouses come from the
-    inventory. Ids, dates and measures are never offered.
+    Values of the metric view are those that occur in its sales. The fact is scanned once
+    and contributes only its distinct keys, all dimensions together; names come from the
+    dimension tables. Warehouses come from the inventory. Ids, dates and measures are
+    never offered.
     """
-    sold = star.fact_sales.filter(view.filter)
     wanted = [d for d in view.dimensions if d.match_values and d.table is not None]
-    parts = []
-    for table in dict.fromkeys(d.table for d in wanted):
-        here = [d for d in wanted if d.table == table]
-        pairs = F.array(
-            *[F.struct(F.lit(d.name).alias("dimension"), F.col(d.column).alias("value")) for d in here]
-        )
-        parts.append(
-            getattr(star, table.table)
-            .join(sold.select(table.key).distinct(), table.key, "left_semi")
-            .select(F.inline(pairs))
-        )
-    parts.append(
-        star.fact_inventory.select(
-            F.lit("warehouse").alias("dimension"), F.col("warehouse").alias("value")
-        )
+    tables = list(dict.fromkeys(d.table for d in wanted))
+
+    def keyed(table, **fields: Column) -> list[Column]:
+        return [
+            F.lit(table.table).alias("dimension_table"),
+            F.col(table.key).alias("key"),
+            *[value.alias(name) for name, value in fields.items()],
+        ]
+
+    sold = star.fact_sales.filter(view.filter).select(*[t.key for t in tables])
+    used = sold.select(F.inline(F.array(*[F.struct(*keyed(t)) for t in tables]))).distinct()
+    named = reduce(
+        DataFrame.unionByName,
+        [
+            getattr(star, t.table).select(
+                *keyed(
+                    t,
+                    literals=F.array(
+                        *[
+                            F.struct(
+                                F.lit(d.name).alias("dimension"), F.col(d.column).alias("value")
+                            )
+                            for d in wanted
+                            if d.table == t
+                        ]
+                    ),
+                )
+            )
+            for t in tables
+        ],
+    )
+    warehouses = star.fact_inventory.select(
+        F.lit("warehouse").alias("dimension"), F.col("warehouse").alias("value")
+    )
+    return (
+        named.join(used, ["dimension_table", "key"], "left_semi")
+        .select(F.inline("literals"))
+        .unionByName(warehouses)
+        .filter(F.col("value").isNotNull())
+        .distinct()
     )
-    return reduce(DataFrame.unionByName, parts).filter(F.col("value").isNotNull()).distinct()
 
 
 def match_entity(values: DataFrame, term: str | Column, max_distance: int = 3, limit: int = 10) -> DataFrame:

@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 SETTINGS = {
     # Day and month boundaries follow the session zone.
@@ -25,6 +28,18 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def small_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """Driver-side metadata as a frame whose size the optimizer knows.
+
+    A frame made from a list of rows has no size estimate, so a join with it would shuffle
+    the other side; one made from Arrow is a local relation.
+    """
+    schema = T.StructType.fromDDL(ddl)
+    records = [dict(zip(schema.names, row, strict=True)) for row in rows]
+    table = pa.Table.from_pylist(records, schema=to_arrow_schema(schema))
+    return spark.createDataFrame(table, schema)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor reaches, for tables written between jobs.
 

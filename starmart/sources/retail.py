@@ -15,19 +15,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart import contract
+from starmart.session import small_table
+
+# Column types of the given files, stated so that opening one runs no job.
+FILES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+    "p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+}
 
 SUPPLIER_OFFSET = 1_000_000_000
 TEMPLATE_OFFSET = 500_000
 
 
-def _names(**by_locale: Column) -> Column:
-    return F.to_json(F.struct(*[text.alias(loc) for loc, text in by_locale.items()]))
-
-
-def _money(column: str) -> Column:
-    return F.col(column).cast("decimal(18,2)")
-
-
 class RetailSource(Mapping):
     """``{contract table: DataFrame}`` over one folder of Parquet files, built on demand."""
 
@@ -48,207 +57,181 @@ class RetailSource(Mapping):
         return len(self._rules)
 
     def raw(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
-
-    def _rows(self, rows: list[tuple], ddl: str) -> DataFrame:
-        return self._spark.createDataFrame(rows, ddl)
+        return self._spark.read.schema(FILES[name]).parquet(f"{self._folder}/{name}.parquet")
 
     # ---------------------------------------------------------------- sales
 
     def _sale_order(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        untaxed = _money("o_totalprice")
-        tax = (untaxed * F.lit("0.15").cast("decimal(3,2)")).cast("decimal(18,2)")
-        partial = (
-            F.when(key % 4 == 0, "cancel")
-            .when(key % 4 == 1, "sent")
-            .when(key % 4 == 2, "done")
-            .otherwise("sale")
-        )
-        return self.raw("orders").select(
-            key.alias("id"),
-            F.concat(F.lit("S"), key.cast("string")).alias("name"),
-            F.when(key % 3 != 0, F.col("o_orderpriority")).alias("client_order_ref"),
-            F.col("o_custkey").alias("partner_id"),
-            (F.floor(key / 10) % 10).cast("bigint").alias("user_id"),
-            F.when(key % 50 != 7, F.col("o_custkey") % 5).alias("team_id"),
-            F.col("o_orderdate").alias("date_order"),
-            F.when(key % 997 == 0, "locked")
-            .when(F.col("o_orderstatus") == "F", "sale")
-            .when(F.col("o_orderstatus") == "O", "draft")
-            .otherwise(partial)
-            .alias("state"),
-            F.when(key % 100 == 5, 2).otherwise(1).alias("currency_id"),
-            untaxed.alias("amount_untaxed"),
-            tax.alias("amount_tax"),
-            (untaxed + tax).cast("decimal(18,2)").alias("amount_total"),
-            F.when(key % 1000 == 500, None)
-            .when(key % 10 == 9, 2)
-            .otherwise(1)
-            .alias("company_id"),
+        untaxed = "CAST(o_totalprice AS DECIMAL(18,2))"
+        return (
+            self.raw("orders")
+            .selectExpr(
+                "o_orderkey AS id",
+                "concat('S', o_orderkey) AS name",
+                "CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS client_order_ref",
+                "o_custkey AS partner_id",
+                "(o_orderkey DIV 10) % 10 AS user_id",
+                "CASE WHEN o_orderkey % 50 <> 7 THEN o_custkey % 5 END AS team_id",
+                "o_orderdate AS date_order",
+                "CASE WHEN o_orderkey % 997 = 0 THEN 'locked' WHEN o_orderstatus = 'F' THEN 'sale' "
+                "WHEN o_orderstatus = 'O' THEN 'draft' WHEN o_orderkey % 4 = 0 THEN 'cancel' "
+                "WHEN o_orderkey % 4 = 1 THEN 'sent' WHEN o_orderkey % 4 = 2 THEN 'done' "
+                "ELSE 'sale' END AS state",
+                "CASE WHEN o_orderkey % 100 = 5 THEN 2 ELSE 1 END AS currency_id",
+                f"{untaxed} AS amount_untaxed",
+                f"CAST({untaxed} * 0.15 AS DECIMAL(18,2)) AS amount_tax",
+                "CASE WHEN o_orderkey % 1000 = 500 THEN NULL WHEN o_orderkey % 10 = 9 THEN 2 "
+                "ELSE 1 END AS company_id",
+            )
+            .withColumn("amount_total", F.expr("CAST(amount_untaxed + amount_tax AS DECIMAL(18,2))"))
         )
 
     def _sale_order_line(self) -> DataFrame:
-        discount = F.col("l_discount").cast("decimal(4,2)")
-        quantity = F.col("l_quantity").cast("decimal(18,3)")
-        one = F.lit(1).cast("decimal(1,0)")
-        subtotal = (_money("l_extendedprice") * (one - discount)).cast("decimal(18,2)")
-        total = (subtotal * (one + F.col("l_tax").cast("decimal(4,2)"))).cast("decimal(18,2)")
-        packed = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 32768 + F.col("l_partkey")
-        return self.raw("lineitem").select(
-            (packed * 1024 + F.col("l_suppkey")).alias("id"),
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("product_id"),
-            quantity.alias("product_uom_qty"),
-            F.when(F.col("l_linestatus") == "F", quantity)
-            .otherwise(F.lit(0).cast("decimal(18,3)"))
-            .alias("qty_delivered"),
-            _money("l_extendedprice").cast("decimal(18,4)").alias("price_unit"),
-            (discount * 100).cast("decimal(9,4)").alias("discount"),
-            subtotal.alias("price_subtotal"),
-            total.alias("price_total"),
-            F.when(F.col("l_linenumber") == 7, "line_section")
-            .when(F.col("l_linenumber") == 6, "")
-            .alias("display_type"),
+        return (
+            self.raw("lineitem")
+            .selectExpr(
+                "((l_orderkey * 8 + l_linenumber) * 32768 + l_partkey) * 1024 + l_suppkey AS id",
+                "l_orderkey AS order_id",
+                "l_partkey AS product_id",
+                "CAST(l_quantity AS DECIMAL(18,3)) AS product_uom_qty",
+                "CAST(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0 END AS DECIMAL(18,3)) "
+                "AS qty_delivered",
+                "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(18,4)) AS price_unit",
+                "CAST(CAST(l_discount AS DECIMAL(4,2)) * 100 AS DECIMAL(9,4)) AS discount",
+                "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) "
+                "AS DECIMAL(18,2)) AS price_subtotal",
+                "CASE WHEN l_linenumber = 7 THEN 'line_section' WHEN l_linenumber = 6 THEN '' END "
+                "AS display_type",
+                "l_tax",
+            )
+            .withColumn(
+                "price_total",
+                F.expr("CAST(price_subtotal * (1 + CAST(l_tax AS DECIMAL(4,2))) AS DECIMAL(18,2))"),
+            )
         )
 
     # --------------------------------------------------- parties, geography
 
     def _res_partner(self) -> DataFrame:
-        regions = self.raw("nation").select(
-            F.col("n_nationkey").alias("state_id"),
-            F.when(F.col("n_nationkey") != 24, F.col("n_regionkey")).alias("country_id"),
+        customers = self.raw("customer").selectExpr(
+            "c_custkey AS id",
+            "c_name AS name",
+            "concat('RTN', c_custkey) AS vat",
+            "c_mktsegment AS city",
+            "c_nationkey AS state_id",
+            "c_custkey % 2 = 0 AS is_company",
+            "1 AS customer_rank",
+            "c_custkey % 10 <> 9 AS active",
         )
-        key = F.col("c_custkey")
-        customers = self.raw("customer").select(
-            key.alias("id"),
-            F.col("c_name").alias("name"),
-            F.concat(F.lit("RTN"), key.cast("string")).alias("vat"),
-            F.col("c_mktsegment").alias("city"),
-            F.col("c_nationkey").alias("state_id"),
-            (key % 2 == 0).alias("is_company"),
-            F.lit(1).alias("customer_rank"),
-            (key % 10 != 9).alias("active"),
+        suppliers = self.raw("supplier").selectExpr(
+            f"s_suppkey + {SUPPLIER_OFFSET} AS id",
+            "s_name AS name",
+            "CAST(NULL AS STRING) AS vat",
+            "CAST(NULL AS STRING) AS city",
+            "s_nationkey AS state_id",
+            "false AS is_company",
+            "0 AS customer_rank",
+            "true AS active",
         )
-        suppliers = self.raw("supplier").select(
-            (F.col("s_suppkey") + SUPPLIER_OFFSET).alias("id"),
-            F.col("s_name").alias("name"),
-            F.lit(None).cast("string").alias("vat"),
-            F.lit(None).cast("string").alias("city"),
-            F.col("s_nationkey").alias("state_id"),
-            F.lit(False).alias("is_company"),
-            F.lit(0).alias("customer_rank"),
-            F.lit(True).alias("active"),
-        )
-        return (
-            customers.unionByName(suppliers)
-            .join(regions, "state_id", "left")
-            .select(*contract.TABLES["res_partner"])
+        regions = self.raw("nation").selectExpr(
+            "n_nationkey AS state_id",
+            "CASE WHEN n_nationkey <> 24 THEN n_regionkey END AS country_id",
         )
+        return customers.unionByName(suppliers).join(regions, "state_id", "left")
 
     def _res_users(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        return self.raw("supplier").select(
-            key.alias("id"),
-            F.when(key % 10 != 3, key + SUPPLIER_OFFSET).alias("partner_id"),
-            F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com")).alias("login"),
-            (key % 7 != 6).alias("active"),
+        return self.raw("supplier").selectExpr(
+            "s_suppkey AS id",
+            f"CASE WHEN s_suppkey % 10 <> 3 THEN s_suppkey + {SUPPLIER_OFFSET} END AS partner_id",
+            "concat('user', s_suppkey, '@example.com') AS login",
+            "s_suppkey % 7 <> 6 AS active",
         )
 
     def _res_company(self) -> DataFrame:
         rows = [(1, "Distribuidora", 1), (2, "Importadora", 2)]
-        return self._rows(rows, "id bigint, name string, currency_id bigint")
+        return small_table(self._spark, rows, "id bigint, name string, currency_id bigint")
 
     def _res_currency(self) -> DataFrame:
-        return self._rows([(1, "HNL"), (2, "USD")], "id bigint, name string")
+        return small_table(self._spark, [(1, "HNL"), (2, "USD")], "id bigint, name string")
 
     def _res_country(self) -> DataFrame:
-        name = F.col("r_name")
-        return self.raw("region").select(
-            F.col("r_regionkey").alias("id"),
-            _names(en_US=name, es_ES=F.concat(F.lit("País "), name)).alias("name"),
+        return self.raw("region").selectExpr(
+            "r_regionkey AS id",
+            "to_json(named_struct('en_US', r_name, 'es_ES', concat('País ', r_name))) AS name",
         )
 
     def _res_country_state(self) -> DataFrame:
-        return self.raw("nation").select(
-            F.col("n_nationkey").alias("id"),
-            F.col("n_name").alias("name"),
-            F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("code"),
-            F.col("n_regionkey").alias("country_id"),
+        return self.raw("nation").selectExpr(
+            "n_nationkey AS id",
+            "n_name AS name",
+            "concat('N', n_nationkey) AS code",
+            "n_regionkey AS country_id",
         )
 
     def _crm_team(self) -> DataFrame:
-        name = F.col("r_name")
-        key = F.col("r_regionkey")
-        zone = F.concat(F.lit("Zona "), name)
-        return self.raw("region").select(
-            key.alias("id"),
-            F.when(key == 0, _names(en_US=name, es_ES=zone))
-            .when(key == 1, _names(es_419=zone))
-            .when(key == 2, _names(en_US=name))
-            .when(key == 3, name)
-            .otherwise(_names(fr_FR=name))
-            .alias("name"),
-            key.alias("user_id"),
+        return self.raw("region").selectExpr(
+            "r_regionkey AS id",
+            "CASE r_regionkey "
+            "WHEN 0 THEN to_json(named_struct('en_US', r_name, 'es_ES', concat('Zona ', r_name))) "
+            "WHEN 1 THEN to_json(named_struct('es_419', concat('Zona ', r_name))) "
+            "WHEN 2 THEN to_json(named_struct('en_US', r_name)) "
+            "WHEN 3 THEN r_name "
+            "ELSE to_json(named_struct('fr_FR', r_name)) END AS name",
+            "r_regionkey AS user_id",
         )
 
     # -------------------------------------------------------------- products
 
     def _product_product(self) -> DataFrame:
-        key = F.col("p_partkey")
-        return self.raw("part").select(
-            key.alias("id"),
-            (key + TEMPLATE_OFFSET).alias("product_tmpl_id"),
-            F.concat(F.lit("P"), key.cast("string")).alias("default_code"),
-            F.when(key % 4 != 0, F.concat(F.lit("750"), key.cast("string"))).alias("barcode"),
-            F.lit(True).alias("active"),
+        return self.raw("part").selectExpr(
+            "p_partkey AS id",
+            f"p_partkey + {TEMPLATE_OFFSET} AS product_tmpl_id",
+            "concat('P', p_partkey) AS default_code",
+            "CASE WHEN p_partkey % 4 <> 0 THEN concat('750', p_partkey) END AS barcode",
+            "true AS active",
         )
 
     def _product_template(self) -> DataFrame:
-        key = F.col("p_partkey")
-        name = F.col("p_name")
-        return self.raw("part").select(
-            (key + TEMPLATE_OFFSET).alias("id"),
-            F.when(key % 2 == 0, _names(en_US=name, es_ES=name)).otherwise(name).alias("name"),
-            F.regexp_extract("p_brand", r"(\d+)", 1).cast("bigint").alias("categ_id"),
-            _money("p_retailprice").alias("list_price"),
-            F.lit(1).alias("uom_id"),
-            (key % 11 != 10).alias("sale_ok"),
-            (key % 9 != 8).alias("active"),
+        return self.raw("part").selectExpr(
+            f"p_partkey + {TEMPLATE_OFFSET} AS id",
+            "CASE WHEN p_partkey % 2 = 0 "
+            "THEN to_json(named_struct('en_US', p_name, 'es_ES', p_name)) ELSE p_name END AS name",
+            "CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS BIGINT) AS categ_id",
+            "CAST(p_retailprice AS DECIMAL(18,2)) AS list_price",
+            "1 AS uom_id",
+            "p_partkey % 11 <> 10 AS sale_ok",
+            "p_partkey % 9 <> 8 AS active",
         )
 
     def _product_category(self) -> DataFrame:
-        brands = self.raw("part").select(F.col("p_brand").alias("brand")).distinct()
-        return brands.select(
-            F.regexp_extract("brand", r"(\d+)", 1).cast("bigint").alias("id"),
-            F.concat(F.lit("Todo / "), F.col("brand")).alias("complete_name"),
+        brands = self.raw("part").select("p_brand").distinct()
+        return brands.selectExpr(
+            "CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS BIGINT) AS id",
+            "concat('Todo / ', p_brand) AS complete_name",
         )
 
     def _product_pricelist(self) -> DataFrame:
-        return self._rows([(1, "Lista base", 1)], "id bigint, name string, currency_id bigint")
+        rows = [(1, "Lista base", 1)]
+        return small_table(self._spark, rows, "id bigint, name string, currency_id bigint")
 
     def _uom_uom(self) -> DataFrame:
         rows = [(1, '{"en_US": "Units", "es_ES": "Unidades"}')]
-        return self._rows(rows, "id bigint, name string")
+        return small_table(self._spark, rows, "id bigint, name string")
 
     # ------------------------------------------------------------- inventory
 
     def _stock_quant(self) -> DataFrame:
-        key = F.col("p_partkey")
-        place = F.col("location_id")
-        return (
-            self.raw("part")
-            .select("p_partkey", "p_size", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("location_id"))
-            .select(
-                (key * 8 + place).alias("id"),
-                key.alias("product_id"),
-                "location_id",
-                F.when(key % 7 == 0, 2).otherwise(1).alias("company_id"),
-                (F.col("p_size") * place).cast("decimal(18,3)").alias("quantity"),
-                F.when(key % 13 != 0, F.floor(F.col("p_size") / 2))
-                .cast("decimal(18,3)")
-                .alias("reserved_quantity"),
-            )
+        places = self.raw("part").selectExpr(
+            "p_partkey", "p_size", "explode(sequence(1, 5)) AS location_id"
+        )
+        return places.selectExpr(
+            "p_partkey * 8 + location_id AS id",
+            "p_partkey AS product_id",
+            "location_id",
+            "CASE WHEN p_partkey % 7 = 0 THEN 2 ELSE 1 END AS company_id",
+            "CAST(p_size * location_id AS DECIMAL(18,3)) AS quantity",
+            "CASE WHEN p_partkey % 13 <> 0 THEN CAST(p_size DIV 2 AS DECIMAL(18,3)) END "
+            "AS reserved_quantity",
         )
 
     def _stock_location(self) -> DataFrame:
@@ -259,13 +242,12 @@ class RetailSource(Mapping):
             (4, "Proveedores", "supplier", None),
             (5, "Clientes", "customer", None),
         ]
-        return self._rows(
-            rows, "id bigint, complete_name string, usage string, warehouse_id bigint"
-        )
+        ddl = "id bigint, complete_name string, usage string, warehouse_id bigint"
+        return small_table(self._spark, rows, ddl)
 
     def _stock_warehouse(self) -> DataFrame:
         rows = [(1, '{"es_ES": "Almacén central", "en_US": "Main warehouse"}', "WH")]
-        return self._rows(rows, "id bigint, name string, code string")
+        return small_table(self._spark, rows, "id bigint, name string, code string")
 
 
 def order_changes(orders: DataFrame, snapshot_lsn: int) -> DataFrame:
