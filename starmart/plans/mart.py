@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -11,6 +11,7 @@ from starmart import contract
 from starmart.config import MartConfig
 from starmart.functions.text import register_txt
 from starmart.operators import constraints, gold, quality, silver
+from starmart.session import run_jobs
 
 SILVER = (
     "silver_salespeople",
@@ -257,18 +258,19 @@ def build_all(spark: SparkSession, cfg: MartConfig) -> dict[str, dict[str, int]]
     register_txt(spark, cfg.locales)
     mart = Mart(CatalogTables(spark, cfg, "bronze", contract.TABLE_NAMES), cfg)
     written = CatalogTables(spark, cfg, "silver", SILVER)
-    counts = {}
-    for view in SILVER:
-        if quality.expectations(view):
-            observation = Observation(view)
-            write_table(mart.checked(view, observation), cfg.table("silver", view))
-            counts[view] = observation.get
-        else:
-            write_table(mart.checked(view), cfg.table("silver", view))
+
+    def write_silver(view: str) -> dict[str, int]:
+        observation = Observation(view) if quality.expectations(view) else None
+        write_table(mart.checked(view, observation), cfg.table("silver", view))
         # Later views and Gold read what was written instead of recomputing it.
         setattr(mart, view, written[view])
-    for name in GOLD:
-        write_gold(getattr(mart, name), name, cfg)
+        return observation.get if observation else {}
+
+    # Territories read the salespeople view; the other views stand alone.
+    first, *others = SILVER
+    counts = {first: write_silver(first)}
+    counts.update(run_jobs({view: partial(write_silver, view) for view in others}))
+    run_jobs({name: partial(write_gold, getattr(mart, name), name, cfg) for name in GOLD})
     star = CatalogTables(spark, cfg, "gold", GOLD)
     tables = {**{n: star[n] for n in GOLD}, "silver_orders": written["silver_orders"]}
     constraints.enforce(constraints.report(tables))

@@ -4,12 +4,20 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+Result = TypeVar("Result")
+
+# Jobs submitted side by side, so that small tables do not wait for large ones.
+CONCURRENT_JOBS = 4
+
 SETTINGS = {
     # Day and month boundaries follow the session zone.
     "spark.sql.session.timeZone": "UTC",
@@ -28,6 +36,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def run_jobs(jobs: Mapping[str, Callable[[], Result]]) -> dict[str, Result]:
+    """Run independent Spark jobs from a few threads; the first failure is raised."""
+    with ThreadPoolExecutor(CONCURRENT_JOBS) as pool:
+        submitted = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: future.result() for name, future in submitted.items()}
+
+
 def small_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     """Driver-side metadata as a frame whose size the optimizer knows.
 

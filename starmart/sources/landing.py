@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from starmart import contract
 from starmart.config import MartConfig
 from starmart.plans.mart import write_table
+from starmart.session import run_jobs
 
 
 def as_json(df: DataFrame) -> DataFrame:
@@ -37,7 +38,12 @@ def land_table(df: DataFrame, table: str, folder: str) -> int:
 def land(source: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
     """Export every contract table, or nothing at all if one is absent."""
     contract.require_tables(source)
-    return {table: land_table(source[table], table, folder) for table in contract.TABLE_NAMES}
+    return run_jobs(
+        {
+            table: partial(land_table, source[table], table, folder)
+            for table in contract.TABLE_NAMES
+        }
+    )
 
 
 def read_landed(spark: SparkSession, table: str, folder: str) -> DataFrame:
@@ -51,8 +57,14 @@ def read_landed(spark: SparkSession, table: str, folder: str) -> DataFrame:
 def publish(spark: SparkSession, folder: str, cfg: MartConfig) -> None:
     """Replace every Bronze table with what has landed."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {cfg.schema('bronze')}")
-    for table in contract.TABLE_NAMES:
-        write_table(read_landed(spark, table, folder), cfg.table("bronze", table))
+    run_jobs(
+        {
+            table: partial(
+                write_table, read_landed(spark, table, folder), cfg.table("bronze", table)
+            )
+            for table in contract.TABLE_NAMES
+        }
+    )
 
 
 def row_counts(tables: Mapping[str, DataFrame], names: list[str] | None = None) -> DataFrame:

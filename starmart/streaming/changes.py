@@ -7,6 +7,8 @@ position decides which one is the latest.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from starmart import contract
 from starmart.config import MartConfig
 from starmart.plans.mart import write_table
+from starmart.session import run_jobs
 from starmart.sources.landing import read_landed
 
 # Operations of the feed are I(nsert), U(pdate) and D(elete).
@@ -117,6 +120,9 @@ class ChangeLane:
     ) -> None:
         """Replace the Bronze tables with the landed snapshot plus the log (C4)."""
         self._spark.sql(f"CREATE SCHEMA IF NOT EXISTS {cfg.schema('bronze')}")
-        for table in contract.TABLE_NAMES:
+
+        def replace(table: str) -> None:
             snapshot = read_landed(self._spark, table, landed)
             write_table(self.current(table, snapshot, snapshot_lsn), cfg.table("bronze", table))
+
+        run_jobs({table: partial(replace, table) for table in contract.TABLE_NAMES})
