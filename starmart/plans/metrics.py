@@ -10,7 +10,9 @@ A :class:`MetricView` is data. ``query`` turns a choice of names into one lazy D
 
 Order counts stay exact through both steps. An order has one header, hence one customer,
 seller, zone, currency and date, so its distinct count adds up over those keys. Products
-differ within an order, so with a product dimension the order id is kept until step 4.
+differ within an order: with a product dimension there is little to reduce by key, so the
+dimensions are joined first and every group is brought down to one row per order, which
+leaves a plain count. At no point does Spark have to expand rows for several distinct counts.
 """
 
 from __future__ import annotations
@@ -65,7 +67,10 @@ class Orders:
 
 @dataclass(frozen=True)
 class DistinctNames:
-    """COUNT(DISTINCT column) of a dimension table: names, not ids."""
+    """COUNT(DISTINCT column) of a dimension table: names, not ids.
+
+    The table must describe whole orders, as customers do, not their lines.
+    """
 
     column: str
     table: Table
@@ -211,54 +216,63 @@ class MetricView:
     def _grouped(
         self, star, fact, groups, conditions, parts, tables, with_currencies
     ) -> DataFrame:
-        names = {d: f"g{i}" for i, d in enumerate(groups)}
-        if not tables:
-            return _aggregate(
-                fact,
-                [F.col(d.column).alias(names[d]) for d in groups],
-                [_direct(p).alias(f"p{i}") for i, p in enumerate(parts)]
-                + _currency_count(with_currencies),
-            )
-
-        touched = [*groups, *[d for d, _ in conditions if d.table is not None]]
-        keep_order = any(isinstance(p, Orders) for p in parts) and any(
-            d.within_order for d in touched
-        )
-        keys = [t.key for t in tables]
-        keys += [d.column for d in groups if d.table is None]
-        if keep_order:
-            keys.append("order_id")
+        names = [F.col(d.column).alias(f"g{i}") for i, d in enumerate(groups)]
+        aliases = [f"g{i}" for i in range(len(groups))]
+        outer = [(d, wanted) for d, wanted in conditions if d.table is not None]
+        touched = [*groups, *[d for d, _ in outer]]
+        fact_keys = [t.key for t in tables]
+        fact_keys += [d.column for d in groups if d.table is None]
         if with_currencies:
-            keys.append("currency")
-        keys = list(dict.fromkeys(keys))
+            fact_keys.append("currency")
+
+        def join_tables(rows: DataFrame) -> DataFrame:
+            for table in tables:
+                columns = [d.column for d in touched if d.table == table]
+                columns += [
+                    p.column for p in parts if isinstance(p, DistinctNames) and p.table == table
+                ]
+                dimension_rows = getattr(star, table.table).select(
+                    table.key, *dict.fromkeys(columns)
+                )
+                rows = rows.join(dimension_rows, table.key, "left")
+            for dimension, wanted in outer:
+                rows = rows.filter(_condition(F.col(dimension.column), wanted))
+            return rows
+
+        if not tables and not with_currencies:
+            return _aggregate(fact, names, [_direct(p).alias(f"p{i}") for i, p in enumerate(parts)])
+
+        if any(isinstance(p, Orders) for p in parts) and any(d.within_order for d in touched):
+            # Keys vary within an order: bring every group down to one row per order first.
+            amounts = [p.column for p in parts if isinstance(p, Total)]
+            rows = join_tables(fact.select(*dict.fromkeys([*fact_keys, "order_id", *amounts])))
+            once = [_of_order(p).alias(f"p{i}") for i, p in enumerate(parts) if not isinstance(p, Orders)]
+            once += [F.max("currency").alias("currency")] if with_currencies else []
+            per_order = _aggregate(rows, [*names, F.col("order_id")], once)
+            final = [
+                (F.count("order_id") if isinstance(p, Orders) else _merged(p, f"p{i}", f"p{i}")).alias(f"p{i}")
+                for i, p in enumerate(parts)
+            ]
+            return _aggregate(per_order, aliases, final + _currency_count(with_currencies))
+
         partial = [
             _direct(p).alias(f"p{i}")
             for i, p in enumerate(parts)
-            if isinstance(p, Total) or (isinstance(p, Orders) and not keep_order)
+            if not isinstance(p, DistinctNames)
         ]
-        reduced = fact.groupBy(*keys).agg(*partial) if partial else fact.select(*keys).distinct()
-
-        for table in tables:
-            columns = [d.column for d in touched if d.table == table]
-            columns += [
-                p.column for p in parts if isinstance(p, DistinctNames) and p.table == table
-            ]
-            dimension_rows = getattr(star, table.table).select(
-                table.key, *dict.fromkeys(columns)
-            )
-            reduced = reduced.join(dimension_rows, table.key, "left")
-        for dimension, wanted in conditions:
-            if dimension.table is not None:
-                reduced = reduced.filter(_condition(F.col(dimension.column), wanted))
+        reduced = _aggregate(fact, list(dict.fromkeys(fact_keys)), partial)
         return _aggregate(
-            reduced,
-            [F.col(d.column).alias(names[d]) for d in groups],
-            [_merged(p, f"p{i}", keep_order).alias(f"p{i}") for i, p in enumerate(parts)]
+            join_tables(reduced),
+            names,
+            [
+                _merged(p, f"p{i}", getattr(p, "column", "")).alias(f"p{i}")
+                for i, p in enumerate(parts)
+            ]
             + _currency_count(with_currencies),
         )
 
 
-def _aggregate(df: DataFrame, groups: list[Column], aggregates: list[Column]) -> DataFrame:
+def _aggregate(df: DataFrame, groups: list, aggregates: list[Column]) -> DataFrame:
     if not aggregates:
         return df.select(*groups).distinct()
     return df.groupBy(*groups).agg(*aggregates)
@@ -269,19 +283,23 @@ def _currency_count(wanted: bool) -> list[Column]:
 
 
 def _direct(part) -> Column:
+    """The part over fact rows."""
     if isinstance(part, Total):
         return F.sum(part.column).cast(part.data_type)
     return F.count_distinct("order_id")
 
 
-def _merged(part, partial: str, keep_order: bool) -> Column:
+def _of_order(part) -> Column:
+    """The part within one order, where a name has a single value."""
+    return F.max(part.column) if isinstance(part, DistinctNames) else _direct(part)
+
+
+def _merged(part, partial: str, name: str) -> Column:
     """The part over rows that were already aggregated by key."""
     if isinstance(part, Total):
         return F.sum(partial).cast(part.data_type)
     if isinstance(part, DistinctNames):
-        return F.count_distinct(part.column)
-    if keep_order:
-        return F.count_distinct("order_id")
+        return F.count_distinct(name)
     return F.coalesce(F.sum(partial), F.lit(0)).cast("bigint")
 
 

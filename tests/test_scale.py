@@ -104,7 +104,8 @@ def test_only_named_dimensions_are_joined(star):
         lambda s: assets.lapsed_customers(s),
         lambda s: assets.stockout_risk(s),
         lambda s: VENTAS.query(s, ["Cliente", "Zona"], ["Venta", "Pedidos", "Clientes"]),
-        lambda s: VENTAS.query(s, ["Categoria"], ["Venta", "Pedidos"]),
+        lambda s: VENTAS.query(s, ["Categoria"], ["Venta", "Unidades"]),
+        lambda s: VENTAS.query(s, ["Mes"], ["Venta", "Pedidos"], currencies="flag"),
     ],
 )
 def test_the_fact_is_aggregated_before_any_join_or_shuffle(star, conf, question):
@@ -123,6 +124,13 @@ def test_the_fact_is_aggregated_before_any_join_or_shuffle(star, conf, question)
     assert "Aggregate" in first and ("partial_" in first or "functions=[]" in first)
 
 
+def test_distinct_counts_do_not_expand_rows(star):
+    everything = [m.name for m in VENTAS.measures]
+    for dimensions in ([], ["Zona"], ["Producto"], ["Cliente", "Categoria"], ["Mes"]):
+        text = plan(VENTAS.query(star, dimensions, everything))
+        assert "Expand" not in text, dimensions
+
+
 def test_rankings_keep_only_the_top_rows(star):
     assert "TakeOrderedAndProject(limit=15" in plan(assets.top_products(star, *YEAR))
     assert "Window" not in plan(assets.top_salespeople(star, *YEAR))
