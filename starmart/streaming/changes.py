@@ -7,6 +7,7 @@ position decides which one is the latest.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,8 +73,11 @@ class ChangeLane:
     a higher position makes older log folders unnecessary.
     """
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
+    def __init__(
+        self, spark: SparkSession, folder: str, tables: Sequence[str] = contract.TABLE_NAMES
+    ) -> None:
         self._spark = spark
+        self._tables = list(tables)
         self._log = f"{folder}/log"
         self._offsets = f"{folder}/offsets"
 
@@ -96,7 +100,7 @@ class ChangeLane:
 
     def _append(self, batch: DataFrame, batch_id: int) -> None:
         (
-            latest(batch.filter(F.col("table").isin(contract.TABLE_NAMES)))
+            latest(batch.filter(F.col("table").isin(self._tables)))
             .write.mode("overwrite")
             .partitionBy("table")
             .parquet(f"{self._log}/batch={batch_id}")
@@ -125,4 +129,4 @@ class ChangeLane:
             snapshot = read_landed(self._spark, table, landed)
             write_table(self.current(table, snapshot, snapshot_lsn), cfg.table("bronze", table))
 
-        run_jobs({table: partial(replace, table) for table in contract.TABLE_NAMES})
+        run_jobs({table: partial(replace, table) for table in self._tables})
