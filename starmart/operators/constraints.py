@@ -13,108 +13,122 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.operators.gold import DIMENSIONS, REFERENCES
+from starmart.session import small_table
 
-COLUMNS = ["table_name", "constraint_name", "kind", "checked", "violations"]
+# Tables whose key must be present and unique: name in the constraint, table, key. The key
+# of the order headers is checked so that the order-line join cannot multiply lines.
+KEYED = [(d.table.removeprefix("dim_"), d.table, d.key) for d in DIMENSIONS]
+KEYED.append(("order", "silver_orders", "order_id"))
+
+CONSTRAINTS = [
+    *[(t, f"{prefix}_{s}", kind) for s, t, _ in KEYED
+      for prefix, kind in (("nn", "not_null"), ("pk", "primary_key"))],
+    *[(r.fact, r.name, "foreign_key") for r in REFERENCES],
+]
 
 
 class ConstraintViolation(ValueError):
     """Some key constraint does not hold; the message lists the failing ones."""
 
 
-def _sum(value: Column) -> Column:
-    return F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
-
+def _key_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows per key value of every keyed table, counted in one aggregation."""
+    return (
+        reduce(
+            DataFrame.unionByName,
+            [
+                tables[table].select(
+                    F.lit(suffix).alias("subject"),
+                    F.lit(table).alias("keyed"),
+                    F.col(key).alias("value"),
+                )
+                for suffix, table, key in KEYED
+            ],
+        )
+        .groupBy("subject", "keyed", "value")
+        .agg(F.count("*").alias("n"))
+    )
 
-def _keys(df: DataFrame, key: str, table: str, suffix: str) -> DataFrame:
-    """NOT NULL and PRIMARY KEY of one table from a single aggregation by key.
 
-    A primary key counts key values that occur more than once.
-    """
-    totals = (
-        df.groupBy(key)
-        .agg(F.count("*").alias("n"))
-        .agg(
-            _sum(F.col("n")).alias("checked"),
-            _sum(F.when(F.col(key).isNull(), F.col("n"))).alias("nulls"),
-            _sum(F.when(F.col(key).isNotNull() & (F.col("n") > 1), 1)).alias("repeated"),
-        )
+def _keys(counts: DataFrame) -> DataFrame:
+    """NOT NULL counts rows without a key; PRIMARY KEY counts values that repeat."""
+    totals = counts.groupBy("subject").agg(
+        F.sum("n").alias("checked"),
+        F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("nulls"),
+        F.count(F.when(F.col("value").isNotNull() & (F.col("n") > 1), 1)).alias("repeated"),
     )
     checks = F.array(
         *[
             F.struct(
-                F.lit(name).alias("constraint_name"),
-                F.lit(kind).alias("kind"),
+                F.concat(F.lit(prefix), "subject").alias("constraint_name"),
                 F.col(found).alias("violations"),
             )
-            for name, kind, found in (
-                (f"nn_{suffix}", "not_null", "nulls"),
-                (f"pk_{suffix}", "primary_key", "repeated"),
-            )
+            for prefix, found in (("nn_", "nulls"), ("pk_", "repeated"))
         ]
     )
     return totals.select("checked", F.inline(checks)).select(
-        F.lit(table).alias("table_name"), *COLUMNS[1:]
+        "constraint_name", "checked", "violations"
     )
 
 
-def _foreign_keys(tables: Mapping[str, DataFrame], fact: str) -> DataFrame:
-    """All foreign keys of one fact from one scan of it.
+def _foreign_keys(tables: Mapping[str, DataFrame], counts: DataFrame) -> DataFrame:
+    """Every foreign key, from one scan of each fact.
 
     Key values are counted before the lookup, so a value that holds a third of the fact
     travels as one row. NULL keys are allowed and never looked up.
     """
-    references = [r for r in REFERENCES if r.fact == fact]
-    pairs = F.array(
-        *[
-            F.struct(F.lit(r.name).alias("constraint_name"), F.col(r.dimension.key).alias("value"))
-            for r in references
-        ]
-    )
+
+    def pairs(fact: str) -> Column:
+        return F.array(
+            *[
+                F.struct(
+                    F.lit(r.name).alias("constraint_name"),
+                    F.lit(r.dimension.table).alias("keyed"),
+                    F.col(r.dimension.key).alias("value"),
+                )
+                for r in REFERENCES
+                if r.fact == fact
+            ]
+        )
+
     used = (
-        tables[fact]
-        .select(*dict.fromkeys(r.dimension.key for r in references))
-        .select(F.inline(pairs))
-        .groupBy("constraint_name", "value")
+        reduce(
+            DataFrame.unionByName,
+            [
+                tables[fact].select(F.inline(pairs(fact)))
+                for fact in dict.fromkeys(r.fact for r in REFERENCES)
+            ],
+        )
+        .groupBy("constraint_name", "keyed", "value")
         .agg(F.count("*").alias("n"))
     )
-    known = reduce(
-        DataFrame.unionByName,
-        [
-            tables[r.dimension.table]
-            .select(F.lit(r.name).alias("constraint_name"), F.col(r.dimension.key).alias("value"))
-            .filter(F.col("value").isNotNull())
-            .distinct()
-            for r in references
-        ],
-    ).withColumn("known", F.lit(True))
+    known = counts.select("keyed", "value", F.lit(True).alias("known"))
     orphan = F.col("value").isNotNull() & F.col("known").isNull()
     return (
-        used.join(known, ["constraint_name", "value"], "left")
+        used.join(known, ["keyed", "value"], "left")
         .groupBy("constraint_name")
-        .agg(
-            _sum(F.col("n")).alias("checked"),
-            _sum(F.when(orphan, F.col("n"))).alias("violations"),
-        )
-        .select(
-            F.lit(fact).alias("table_name"),
-            "constraint_name",
-            F.lit("foreign_key").alias("kind"),
-            "checked",
-            "violations",
-        )
+        .agg(F.sum("n").alias("checked"), F.sum(F.when(orphan, F.col("n"))).alias("violations"))
     )
 
 
 def report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per constraint with the rows checked and the violations found.
 
-    ``tables`` holds the Gold tables and ``silver_orders``, whose key must be unique for
-    the order-line join not to multiply lines. A fact without rows reports no foreign keys.
+    ``tables`` holds the Gold tables and ``silver_orders``.
     """
-    parts = [_keys(tables[d.table], d.key, d.table, d.table.removeprefix("dim_")) for d in DIMENSIONS]
-    parts.append(_keys(tables["silver_orders"], "order_id", "silver_orders", "order"))
-    parts += [_foreign_keys(tables, fact) for fact in dict.fromkeys(r.fact for r in REFERENCES)]
-    return reduce(DataFrame.unionByName, parts)
+    counts = _key_counts(tables)
+    found = _keys(counts).unionByName(_foreign_keys(tables, counts))
+    declared = small_table(
+        counts.sparkSession,
+        CONSTRAINTS,
+        "table_name string, constraint_name string, kind string",
+    )
+    return declared.join(found, "constraint_name", "left").select(
+        "table_name",
+        "constraint_name",
+        "kind",
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("checked", "violations")],
+    )
 
 
 def enforce(constraint_report: DataFrame) -> None:

@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.functions.numbers import ratio
+from starmart.functions.numbers import change_pct
 from starmart.operators.gold import Dimension as Table
 from starmart.plans.mart import Star
 
@@ -336,9 +336,7 @@ def compare_periods(
             for alias, at in (("current", current), ("previous", previous))
         ]
     )
-    change = F.lit(100).cast("decimal(4,1)") * ratio(
-        F.col("current") - F.col("previous"), F.col("previous")
-    )
+    change = change_pct(F.col("current"), F.col("previous"))
     return wide.select(
         group, "current", "previous", F.round(change, 1).alias("change_pct")
     ).orderBy(group)

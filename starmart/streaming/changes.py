@@ -54,10 +54,12 @@ def apply_changes(
     """
     newer = changes.filter((F.col("table") == table) & (F.col("lsn") > snapshot_lsn))
     untouched = snapshot.join(newer.select("id").distinct(), "id", "left_anti")
+    image = F.coalesce("row", F.raise_error(F.lit(f"change of {table} without a row image")))
+    row = F.from_json(image, contract.schema(table), {"mode": "FAILFAST"})
     written = (
         latest(newer)
         .filter(F.col("op") != DELETE)
-        .select(F.from_json("row", contract.schema(table)).alias("r"), F.col("id").alias("key"))
+        .select(row.alias("r"), F.col("id").alias("key"))
         .select(F.col("key").alias("id"), *[f"r.{c}" for c in contract.TABLES[table] if c != "id"])
     )
     columns = contract.TABLES[table]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
 import pytest
 from pyspark.sql import DataFrame, SparkSession
@@ -8,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starmart import contract
 from starmart.config import MartConfig
 from starmart.plans.mart import Mart
-from starmart.session import configure
+from starmart.session import configure, small_table
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -18,7 +19,7 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
         .appName("starmart-tests")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.maxMetadataStringLength", "10000")
@@ -126,23 +127,34 @@ def sale(id, subtotal, day="2024-03-10", product_id=1, qty="1", **fields):
     return order(id, day, **fields), line(id, id, subtotal, product_id, qty)
 
 
+class Records(Mapping):
+    """Bronze tables made from records when asked for."""
+
+    def __init__(self, spark: SparkSession, tables: dict[str, list[dict]]) -> None:
+        self._spark, self._tables = spark, tables
+
+    def __getitem__(self, table: str) -> DataFrame:
+        columns = contract.TABLES[table]
+        unknown = {k for r in self._tables[table] for k in r} - set(columns)
+        assert not unknown, unknown
+        data = [
+            tuple(None if r.get(c) is None else str(r[c]) for c in columns)
+            for r in self._tables[table]
+        ]
+        ddl = ", ".join(f"{c} STRING" for c in columns)
+        return small_table(self._spark, data, ddl)
+
+    def __iter__(self):
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables)
+
+
 @pytest.fixture
 def bronze(spark):
     """Build Bronze from ``BASE`` with some tables replaced."""
-
-    def build(**tables: list[dict]) -> dict[str, DataFrame]:
-        frames = {}
-        for table, records in {**BASE, **tables}.items():
-            columns = contract.TABLES[table]
-            unknown = {k for r in records for k in r} - set(columns)
-            assert not unknown, unknown
-            data = [
-                tuple(None if r.get(c) is None else str(r[c]) for c in columns) for r in records
-            ]
-            frames[table] = spark.createDataFrame(data, contract.schema(table))
-        return frames
-
-    return build
+    return lambda **tables: Records(spark, {**BASE, **tables})
 
 
 @pytest.fixture

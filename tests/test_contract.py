@@ -44,7 +44,7 @@ def test_missing_columns_and_tables():
 
 
 def test_conformance_report(spark, bronze):
-    source = bronze(sale_order=[], uom_uom=[{"id": 1}, {"id": 2}])
+    source = dict(bronze(sale_order=[], uom_uom=[{"id": 1}, {"id": 2}]))
     source["sale_order"] = source["sale_order"].drop("name", "client_order_ref")
     report = contract.conformance(
         spark, contract.introspect(source), row_counts(source, sorted(source))

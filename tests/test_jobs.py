@@ -25,7 +25,7 @@ def test_load_build_and_changes(spark, bronze, tmp_path, capsys):
     erp, lake = f"erp_{tag}", f"lake_{tag}"
     spark.sql(f"CREATE SCHEMA {erp}")
     o, ln = sale(1, 10)
-    tables = bronze(sale_order=[o], sale_order_line=[ln])
+    tables = dict(bronze(sale_order=[o], sale_order_line=[ln]))
     last = tables.pop("uom_uom")
     for name, df in tables.items():
         write_table(df, f"{erp}.{name}")
@@ -51,5 +51,5 @@ def test_load_build_and_changes(spark, bronze, tmp_path, capsys):
     lane = str(tmp_path / "lane")
     assert main(["ingest", "--lane", lane, "--feed", str(tmp_path / "feed")]) == 0
     assert main(["apply", "--lane", lane, "--folder", landed, "--bronze-schema", lake]) == 0
-    assert main(["build", "--bronze-schema", lake]) == 0
-    assert gold.fact_sales.sparkSession.table("gold_dev.fact_sales").count() == 0
+    assert spark.table(f"{lake}.sale_order_line").count() == 0
+    assert spark.table(f"{lake}.sale_order").count() == 1

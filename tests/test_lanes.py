@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from starmart import contract
 from starmart.config import MartConfig
 from starmart.operators import assets, audit, constraints
-from starmart.plans.mart import CatalogTables, GoldTables, Mart, build_all
+from starmart.plans.mart import CatalogTables, GoldTables, Mart, build_all, write_gold
 from starmart.plans.vocabulary import catalog_comments
 from starmart.sources import landing
 from starmart.sources.retail import ConformedTables, RetailSource, order_changes
@@ -65,7 +65,7 @@ def test_reading_foreign_files(spark, tmp_path):
 
 
 def test_export_needs_every_table(spark, bronze, tmp_path):
-    source = bronze()
+    source = dict(bronze())
     del source["stock_quant"]
     with pytest.raises(contract.MissingTables, match="stock_quant"):
         landing.land(source, str(tmp_path))
@@ -97,9 +97,10 @@ def test_full_build(spark, tmp_path):
                 catalog_comments(spark, cfg.schema("gold")).collect()}
     assert ("dim_customer", "state") in comments and ("fact_sales", "subtotal") in comments
 
-    # A second build replaces the first.
-    build_all(spark, cfg)
-    assert GoldTables(spark, cfg).fact_sales.count() == direct.fact_sales.count()
+    # A second write replaces the first.
+    write_gold(direct.fact_sales.filter("sale_year = 1997"), "fact_sales", cfg)
+    assert [r[0] for r in built.fact_sales.sparkSession.table(
+        cfg.table("gold", "fact_sales")).select("sale_year").distinct().collect()] == [1997]
 
 
 def test_build_refuses_a_source_without_tables(spark):
@@ -125,6 +126,8 @@ def test_constraint_report(mart):
     with pytest.raises(constraints.ConstraintViolation, match="fk_sales_customer on fact_sales: 2"):
         constraints.enforce(m.constraint_report())
     constraints.enforce(mart([sale(1, 1)]).constraint_report())
+    empty = {r.constraint_name: r.checked for r in mart().constraint_report().collect()}
+    assert len(empty) == 15 and empty["fk_sales_customer"] == empty["pk_order"] == 0
 
 
 def test_null_keys_are_reported(mart):
@@ -181,6 +184,13 @@ def test_apply_changes(spark):
     assert set(rows(again)) == want
 
 
+@pytest.mark.parametrize("image", [None, '{"id": "1", "name": '])
+def test_a_broken_row_image_fails_the_job(spark, image):
+    broken = feed(spark, [(UOM, "U", 1, None, "1", image)])
+    with pytest.raises(Exception, match="without a row image|MALFORMED_RECORD"):
+        apply_changes(snapshot(spark, ("1", "one")), broken, UOM).collect()
+
+
 def fold(start, records):
     """The state after the changes, in plain Python."""
     state = dict(start)
