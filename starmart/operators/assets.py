@@ -172,7 +172,7 @@ def stockout_risk(star: Star, p_days: int = 30) -> DataFrame:
     )
     # An INT parameter divides as DECIMAL(10,0); a literal would narrow to its own digits.
     per_day = F.col("units") / F.lit(p_days).cast("decimal(10,0)")
-    cover = (F.col("available") / F.nullif(per_day, F.lit(0).cast("decimal(38,13)"))).cast("decimal(9,1)")
+    cover = F.col("available") / F.nullif(per_day, F.lit(0).cast("decimal(38,13)"))
     return (
         star.fact_inventory.join(recent, "product_id")
         .join(star.dim_product.select("product_id", "product"), "product_id")
@@ -181,11 +181,13 @@ def stockout_risk(star: Star, p_days: int = 30) -> DataFrame:
             "warehouse",
             F.col("available").cast(QUANTITY).alias("available"),
             F.col("units").cast(QUANTITY).alias("sold_in_period"),
-            cover.alias("days_of_cover"),
+            cover.cast("decimal(9,1)").alias("days_of_cover"),
             "product_id",
             "location",
         )
-        .orderBy(F.asc_nulls_last("days_of_cover"), "product", "warehouse", "product_id", "location")
+        .orderBy(
+            F.asc_nulls_last("days_of_cover"), "product", "warehouse", "product_id", "location"
+        )
         .drop("product_id", "location")
     )
 
@@ -197,8 +199,9 @@ def lapsed_customers(star: Star, p_days: int = 60) -> DataFrame:
         .groupBy("customer_id")
         .agg(F.max("sale_date").alias("last_order"), F.sum("subtotal").alias("lifetime_sales"))
     )
+    named = star.dim_customer.select("customer_id", "customer", "state")
     return (
-        by_customer.join(star.dim_customer.select("customer_id", "customer", "state"), "customer_id")
+        by_customer.join(named, "customer_id")
         .groupBy("customer", "state")
         .agg(F.max("last_order").alias("last_order"), _total("lifetime_sales", MONEY))
         .withColumn("days_since_order", F.datediff(today(star.cfg.as_of), "last_order"))

@@ -90,7 +90,7 @@ COLUMN_COMMENTS = {
         "category": "Categoría a la que pertenece el producto.",
     },
     "fact_sales": {
-        "subtotal": "Monto de la línea con descuento y sin impuesto; se suma para obtener la venta.",
+        "subtotal": "Monto de la línea con descuento y sin impuesto; sumado es la venta.",
         "order_status": "Estado del pedido: draft es cotización, sent enviada, sale confirmado, "
         "cancel cancelado.",
         "quantity_delivered": "Cantidad entregada; quantity menos esta es lo pendiente.",
@@ -149,8 +149,9 @@ def sales_metrics(
     For aggregates use :mod:`starmart.plans.metrics`, which joins only what a question
     names: Spark keeps an unused left join, because it cannot know that keys are unique.
     """
+    customers = customer.select("customer_id", "customer", "state", "city")
     return (
-        fact.join(customer.select("customer_id", "customer", "state", "city"), "customer_id", "left")
+        fact.join(customers, "customer_id", "left")
         .join(territory.select("territory_id", "territory", "manager"), "territory_id", "left")
         .join(salesperson.select("salesperson_id", "salesperson"), "salesperson_id", "left")
         .join(product.select("product_id", "product", "category"), "product_id", "left")

@@ -100,6 +100,7 @@ def products(
 ) -> DataFrame:
     """V4. Variants named, priced and flagged by their template; no template, no product."""
     strict = cfg.strict_casts
+    category_names = _localised(categories, "complete_name", "category", cfg.locales)
     described = (
         templates.select(
             F.col("id").alias("product_tmpl_id"),
@@ -110,7 +111,7 @@ def products(
             F.col("categ_id").alias("category_id"),
             "uom_id",
         )
-        .join(_localised(categories, "complete_name", "category", cfg.locales), "category_id", "left")
+        .join(category_names, "category_id", "left")
         .join(_localised(units, "name", "uom", cfg.locales), "uom_id", "left")
     )
     return (

@@ -40,7 +40,9 @@ def kpi_month(star: Star, as_of: dt.date | None = None) -> DataFrame:
         F.lit(now[0]).alias("month"),
         F.col("sales").cast(MONEY).alias("sales"),
         F.col("sales_last_year").cast(MONEY).alias("sales_last_year"),
-        change_pct(F.col("sales"), F.col("sales_last_year")).cast("decimal(9,2)").alias("change_pct"),
+        change_pct(F.col("sales"), F.col("sales_last_year"))
+        .cast("decimal(9,2)")
+        .alias("change_pct"),
         "orders",
         ratio(F.col("sales"), F.col("orders")).cast(MONEY).alias("avg_ticket"),
     )

@@ -169,27 +169,14 @@ class MetricView:
                 raise MetricError(f"cannot order by {name!r} {direction!r}")
 
         parts = list(dict.fromkeys(p for m in chosen for p in m.parts))
-        used = [*groups, *[d for d, _ in conditions]]
-        tables = list(
-            dict.fromkeys(
-                [d.table for d in used if d.table is not None]
-                + [p.table for p in parts if isinstance(p, DistinctNames)]
-            )
-        )
-        fact = self._filtered(star, conditions)
-        rows = self._grouped(
-            star, fact, groups, conditions, parts, tables, currencies is not None
-        )
-        result = rows.select(
-            *[F.col(f"g{i}").alias(d.name, metadata={"comment": d.comment}) for i, d in enumerate(groups)],
-            *[
-                m.combine(*[F.col(f"p{parts.index(p)}") for p in m.parts]).alias(
-                    m.name, metadata={"comment": m.comment, "format": dict(m.format)}
-                )
-                for m in chosen
-            ],
-            *([F.col("currencies")] if currencies else []),
-        )
+        question = _Question(star, groups, conditions, parts, currencies is not None)
+        rows = question.answer(self.filter)
+        values = [F.col(f"g{i}").alias(d.name, metadata=_about(d)) for i, d in enumerate(groups)]
+        for m in chosen:
+            value = m.combine(*[F.col(f"p{parts.index(p)}") for p in m.parts])
+            about = {**_about(m), "format": dict(m.format)}
+            values.append(value.alias(m.name, metadata=about))
+        result = rows.select(*values, *(["currencies"] if currencies else []))
         if currencies == "raise":
             if not result.filter("currencies > 1").isEmpty():
                 raise MixedCurrencies("a group adds up amounts of different currencies")
@@ -203,9 +190,64 @@ class MetricView:
             result = result.orderBy(*keys) if keys else result
         return result if limit is None else result.limit(limit)
 
-    def _filtered(self, star: Star, conditions) -> DataFrame:
-        fact = star.fact_sales.filter(self.filter)
-        for dimension, wanted in conditions:
+
+@dataclass(frozen=True)
+class _Question:
+    """A query resolved to columns: group i becomes ``g<i>`` and part i ``p<i>``."""
+
+    star: Star
+    groups: list[Dimension]
+    conditions: list[tuple[Dimension, object]]
+    parts: list[Total | Orders | DistinctNames]
+    currencies: bool
+
+    def answer(self, view_filter: str) -> DataFrame:
+        fact = self._filtered(self.star.fact_sales.filter(view_filter))
+        if not self._tables and not self.currencies:
+            return _aggregate(fact, self._names, self._numbered(_direct))
+        counts_orders = any(isinstance(p, Orders) for p in self.parts)
+        if counts_orders and any(d.within_order for d in self._touched):
+            return self._by_order(fact)
+        return self._by_key(fact)
+
+    @property
+    def _names(self) -> list[Column]:
+        return [F.col(d.column).alias(f"g{i}") for i, d in enumerate(self.groups)]
+
+    @property
+    def _outer(self) -> list[tuple[Dimension, object]]:
+        """Conditions on dimension tables."""
+        return [(d, wanted) for d, wanted in self.conditions if d.table is not None]
+
+    @property
+    def _touched(self) -> list[Dimension]:
+        return [*self.groups, *[d for d, _ in self._outer]]
+
+    @property
+    def _tables(self) -> list[Table]:
+        named = [d.table for d in self._touched if d.table is not None]
+        counted = [p.table for p in self.parts if isinstance(p, DistinctNames)]
+        return list(dict.fromkeys(named + counted))
+
+    @property
+    def _fact_keys(self) -> list[str]:
+        keys = [t.key for t in self._tables]
+        keys += [d.column for d in self.groups if d.table is None]
+        if self.currencies:
+            keys.append("currency")
+        return list(dict.fromkeys(keys))
+
+    def _numbered(self, aggregate, kinds=(Total, Orders, DistinctNames)) -> list[Column]:
+        return [
+            aggregate(p).alias(f"p{i}") for i, p in enumerate(self.parts) if isinstance(p, kinds)
+        ]
+
+    def _currency_count(self) -> list[Column]:
+        return [F.count_distinct("currency").alias("currencies")] if self.currencies else []
+
+    def _filtered(self, fact: DataFrame) -> DataFrame:
+        """Conditions on the fact's own columns, and the months a date range implies."""
+        for dimension, wanted in self.conditions:
             if dimension.table is not None:
                 continue
             fact = fact.filter(_condition(F.col(dimension.column), wanted))
@@ -213,63 +255,49 @@ class MetricView:
                 fact = fact.filter(months_between_dates(wanted.low, wanted.high))
         return fact
 
-    def _grouped(
-        self, star, fact, groups, conditions, parts, tables, with_currencies
-    ) -> DataFrame:
-        names = [F.col(d.column).alias(f"g{i}") for i, d in enumerate(groups)]
-        aliases = [f"g{i}" for i in range(len(groups))]
-        outer = [(d, wanted) for d, wanted in conditions if d.table is not None]
-        touched = [*groups, *[d for d, _ in outer]]
-        fact_keys = [t.key for t in tables]
-        fact_keys += [d.column for d in groups if d.table is None]
-        if with_currencies:
-            fact_keys.append("currency")
-
-        def join_tables(rows: DataFrame) -> DataFrame:
-            for table in tables:
-                columns = [d.column for d in touched if d.table == table]
-                columns += [
-                    p.column for p in parts if isinstance(p, DistinctNames) and p.table == table
-                ]
-                dimension_rows = getattr(star, table.table).select(
-                    table.key, *dict.fromkeys(columns)
-                )
-                rows = rows.join(dimension_rows, table.key, "left")
-            for dimension, wanted in outer:
-                rows = rows.filter(_condition(F.col(dimension.column), wanted))
-            return rows
-
-        if not tables and not with_currencies:
-            return _aggregate(fact, names, [_direct(p).alias(f"p{i}") for i, p in enumerate(parts)])
-
-        if any(isinstance(p, Orders) for p in parts) and any(d.within_order for d in touched):
-            # Keys vary within an order: bring every group down to one row per order first.
-            amounts = [p.column for p in parts if isinstance(p, Total)]
-            rows = join_tables(fact.select(*dict.fromkeys([*fact_keys, "order_id", *amounts])))
-            once = [_of_order(p).alias(f"p{i}") for i, p in enumerate(parts) if not isinstance(p, Orders)]
-            once += [F.max("currency").alias("currency")] if with_currencies else []
-            per_order = _aggregate(rows, [*names, F.col("order_id")], once)
-            final = [
-                (F.count("order_id") if isinstance(p, Orders) else _merged(p, f"p{i}", f"p{i}")).alias(f"p{i}")
-                for i, p in enumerate(parts)
+    def _joined(self, rows: DataFrame) -> DataFrame:
+        """Rows with the columns of the dimension tables the question names."""
+        for table in self._tables:
+            columns = [d.column for d in self._touched if d.table == table]
+            columns += [
+                p.column for p in self.parts if isinstance(p, DistinctNames) and p.table == table
             ]
-            return _aggregate(per_order, aliases, final + _currency_count(with_currencies))
-
-        partial = [
-            _direct(p).alias(f"p{i}")
-            for i, p in enumerate(parts)
-            if not isinstance(p, DistinctNames)
+            named = getattr(self.star, table.table).select(table.key, *dict.fromkeys(columns))
+            rows = rows.join(named, table.key, "left")
+        for dimension, wanted in self._outer:
+            rows = rows.filter(_condition(F.col(dimension.column), wanted))
+        return rows
+
+    def _by_key(self, fact: DataFrame) -> DataFrame:
+        """Reduce to foreign keys, join, merge by name."""
+        reduced = _aggregate(fact, self._fact_keys, self._numbered(_direct, (Total, Orders)))
+        merged = [
+            _merged(p, getattr(p, "column", ""), f"p{i}").alias(f"p{i}")
+            for i, p in enumerate(self.parts)
         ]
-        reduced = _aggregate(fact, list(dict.fromkeys(fact_keys)), partial)
-        return _aggregate(
-            join_tables(reduced),
-            names,
-            [
-                _merged(p, f"p{i}", getattr(p, "column", "")).alias(f"p{i}")
-                for i, p in enumerate(parts)
-            ]
-            + _currency_count(with_currencies),
+        return _aggregate(self._joined(reduced), self._names, merged + self._currency_count())
+
+    def _by_order(self, fact: DataFrame) -> DataFrame:
+        """Keys vary within an order: join, reduce every group to its orders, count those."""
+        amounts = [p.column for p in self.parts if isinstance(p, Total)]
+        wanted = dict.fromkeys([*self._fact_keys, "order_id", *amounts])
+        once = self._numbered(_of_order, (Total, DistinctNames))
+        if self.currencies:
+            once.append(F.max("currency").alias("currency"))
+        per_order = _aggregate(
+            self._joined(fact.select(*wanted)), [*self._names, F.col("order_id")], once
         )
+        merged = [
+            (F.count("order_id") if isinstance(p, Orders) else _merged(p, f"p{i}", f"p{i}"))
+            .alias(f"p{i}")
+            for i, p in enumerate(self.parts)
+        ]
+        groups = [f"g{i}" for i in range(len(self.groups))]
+        return _aggregate(per_order, groups, merged + self._currency_count())
+
+
+def _about(member: Dimension | Measure) -> dict[str, str]:
+    return {"comment": member.comment}
 
 
 def _aggregate(df: DataFrame, groups: list, aggregates: list[Column]) -> DataFrame:
@@ -278,10 +306,6 @@ def _aggregate(df: DataFrame, groups: list, aggregates: list[Column]) -> DataFra
     return df.groupBy(*groups).agg(*aggregates)
 
 
-def _currency_count(wanted: bool) -> list[Column]:
-    return [F.count_distinct("currency").alias("currencies")] if wanted else []
-
-
 def _direct(part) -> Column:
     """The part over fact rows."""
     if isinstance(part, Total):
@@ -294,7 +318,7 @@ def _of_order(part) -> Column:
     return F.max(part.column) if isinstance(part, DistinctNames) else _direct(part)
 
 
-def _merged(part, partial: str, name: str) -> Column:
+def _merged(part, name: str, partial: str) -> Column:
     """The part over rows that were already aggregated by key."""
     if isinstance(part, Total):
         return F.sum(partial).cast(part.data_type)

@@ -63,7 +63,8 @@ def catalog(spark: SparkSession, view: MetricView) -> DataFrame:
             source = m.column if kind == "dimension" else None
             fmt = m.format.get("currency_code") if kind == "measure" else None
             for term in (m.name, *m.synonyms):
-                rows.append((kind, view.name, m.name, term, fold_text(term), source, m.comment, fmt))
+                folded = fold_text(term)
+                rows.append((kind, view.name, m.name, term, folded, source, m.comment, fmt))
     for table, comments in gold.COLUMN_COMMENTS.items():
         for column, comment in comments.items():
             for term in (column, *COLUMN_SYNONYMS.get(column, ())):
@@ -140,7 +141,9 @@ def entity_values(star: Star, view: MetricView) -> DataFrame:
     )
 
 
-def match_entity(values: DataFrame, term: str | Column, max_distance: int = 3, limit: int = 10) -> DataFrame:
+def match_entity(
+    values: DataFrame, term: str | Column, max_distance: int = 3, limit: int = 10
+) -> DataFrame:
     """Values closest to a term: equal after folding first, then by edit distance."""
     wanted = fold(F.lit(term) if isinstance(term, str) else term)
     distance = F.levenshtein(fold("value"), wanted, max_distance)

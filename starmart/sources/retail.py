@@ -83,7 +83,9 @@ class RetailSource(Mapping):
                 "CASE WHEN o_orderkey % 1000 = 500 THEN NULL WHEN o_orderkey % 10 = 9 THEN 2 "
                 "ELSE 1 END AS company_id",
             )
-            .withColumn("amount_total", F.expr("CAST(amount_untaxed + amount_tax AS DECIMAL(18,2))"))
+            .withColumn(
+                "amount_total", F.expr("CAST(amount_untaxed + amount_tax AS DECIMAL(18,2))")
+            )
         )
 
     def _sale_order_line(self) -> DataFrame:
@@ -98,8 +100,8 @@ class RetailSource(Mapping):
                 "AS qty_delivered",
                 "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DECIMAL(18,4)) AS price_unit",
                 "CAST(CAST(l_discount AS DECIMAL(4,2)) * 100 AS DECIMAL(9,4)) AS discount",
-                "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) "
-                "AS DECIMAL(18,2)) AS price_subtotal",
+                "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) "
+                "* (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2)) AS price_subtotal",
                 "CASE WHEN l_linenumber = 7 THEN 'line_section' WHEN l_linenumber = 6 THEN '' END "
                 "AS display_type",
                 "l_tax",

@@ -147,6 +147,7 @@ def test_fact_files_are_sorted_once(spark, star):
 def test_a_hot_order_is_split(spark, conf):
     """One order holds a third of all lines: AQE splits its partition, rows stay whole."""
     conf(
+        spark__sql__shuffle__partitions="8",
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="4KB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.2",
@@ -186,6 +187,7 @@ def test_a_hot_order_is_split(spark, conf):
 
 def test_a_hot_customer_is_split_in_the_wide_view(spark, conf, star):
     conf(
+        spark__sql__shuffle__partitions="8",
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
