@@ -1,4 +1,4 @@
-"""Casts from Bronze text and guarded ratios."""
+"""Strict casts and guarded ratios."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def typed(value: Column | str, data_type: str, strict: bool = True) -> Column:
-    """Text to a type (E2): a value that does not parse fails the job, or is NULL if not strict."""
+    """Strict cast (E2): a value that does not fit fails the job, or is NULL if not strict."""
     column = F.col(value) if isinstance(value, str) else value
     return column.cast(data_type) if strict else column.try_cast(data_type)
 

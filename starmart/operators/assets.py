@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.config import MONEY, QUANTITY, SALE_STATUS, current_year, today
-from starmart.functions.numbers import change_pct, ratio
+from starmart.functions.numbers import change_pct, ratio, typed
 from starmart.plans.mart import Star
 from starmart.plans.metrics import months_between_dates
 
@@ -126,6 +126,7 @@ def sales_year_over_year(star: Star, p_year: int) -> DataFrame:
         return F.sum(F.when(F.col("sale_year") == year, F.col("subtotal")))
 
     current, previous = F.col("sales_current"), F.col("sales_previous")
+    strict = star.cfg.strict_casts
     return (
         years.groupBy("sale_month")
         .agg(
@@ -135,7 +136,7 @@ def sales_year_over_year(star: Star, p_year: int) -> DataFrame:
             "sale_month",
             current.cast(MONEY).alias("sales_current"),
             previous.cast(MONEY).alias("sales_previous"),
-            change_pct(current, previous).cast("decimal(9,2)").alias("change_pct"),
+            typed(change_pct(current, previous), "decimal(9,2)", strict).alias("change_pct"),
         )
         .orderBy("sale_month")
     )
@@ -181,7 +182,7 @@ def stockout_risk(star: Star, p_days: int = 30) -> DataFrame:
             "warehouse",
             F.col("available").cast(QUANTITY).alias("available"),
             F.col("units").cast(QUANTITY).alias("sold_in_period"),
-            cover.cast("decimal(9,1)").alias("days_of_cover"),
+            typed(cover, "decimal(9,1)", star.cfg.strict_casts).alias("days_of_cover"),
             "product_id",
             "location",
         )

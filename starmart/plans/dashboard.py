@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.config import MONEY, QUANTITY
-from starmart.functions.numbers import change_pct, ratio
+from starmart.functions.numbers import change_pct, ratio, typed
 from starmart.operators.assets import confirmed, stockout_risk, top_salespeople
 from starmart.plans.mart import Star
 from starmart.plans.metrics import Between, compare_periods, months_between_dates
@@ -36,13 +36,12 @@ def kpi_month(star: Star, as_of: dt.date | None = None) -> DataFrame:
         F.sum(F.when(~this_month, F.col("subtotal"))).alias("sales_last_year"),
         F.count_distinct(F.when(this_month, F.col("order_id"))).alias("orders"),
     )
+    change = change_pct(F.col("sales"), F.col("sales_last_year"))
     return totals.select(
         F.lit(now[0]).alias("month"),
         F.col("sales").cast(MONEY).alias("sales"),
         F.col("sales_last_year").cast(MONEY).alias("sales_last_year"),
-        change_pct(F.col("sales"), F.col("sales_last_year"))
-        .cast("decimal(9,2)")
-        .alias("change_pct"),
+        typed(change, "decimal(9,2)", star.cfg.strict_casts).alias("change_pct"),
         "orders",
         ratio(F.col("sales"), F.col("orders")).cast(MONEY).alias("avg_ticket"),
     )
