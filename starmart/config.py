@@ -31,9 +31,9 @@ class MartConfig:
     """Namespaces and semantics of one mart.
 
     ``currency`` selects the companies whose books are kept in it. ``locales`` is the
-    fallback order for translatable text. ``as_of`` replaces the clock wherever the
-    reference reads it; ``None`` means the current date. ``strict_casts=False`` turns
-    text that does not parse into NULL instead of failing the job.
+    fallback order for translatable text. ``as_of`` replaces the clock wherever a question
+    reads it; ``None`` means the current date. ``strict_casts=False`` turns text that does
+    not parse, and ratios that overflow, into NULL instead of failing the job.
     """
 
     catalog: str | None = None

@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import ArithmeticException
 
 from starmart.config import MartConfig
 from starmart.operators import assets
@@ -115,6 +116,14 @@ def test_year_over_year(mart):
     ]
 
 
+def test_a_change_too_large_for_its_type(mart):
+    sales = [sale(1, "99999999.00", "2024-01-05"), sale(2, "0.01", "2023-01-05")]
+    with pytest.raises(ArithmeticException):
+        rows(assets.sales_year_over_year(mart(sales), 2024))
+    lenient = MartConfig(strict_casts=False)
+    assert rows(assets.sales_year_over_year(mart(sales, cfg=lenient), 2024))[0][3] is None
+
+
 def test_sales_by_state_counts_ids(mart):
     partners = [*BASE["res_partner"], {"id": 4, "name": "Ana", "state_id": 1}]
     m = mart(
