@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +42,9 @@ def _bronze(spark: SparkSession, sf_dir: str) -> ConformedTables:
     return ConformedTables(_source(spark, sf_dir))
 
 
+@lru_cache(maxsize=16)
 def _mart(spark: SparkSession, sf_dir: str, **choices) -> Mart:
+    """The lazy mart over a folder: its plans are kept between queries, never its rows."""
     return Mart(_bronze(spark, sf_dir), MartConfig(as_of=AS_OF, **choices))
 
 

@@ -17,6 +17,7 @@ leaves a plain count. At no point does Spark have to expand rows for several dis
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -113,6 +114,15 @@ def _condition(column: Column, wanted) -> Column:
     return column.isNull() if wanted is None else column == wanted
 
 
+def _ends(wanted) -> tuple[object, object]:
+    """Lowest and highest value a condition admits; None where it does not say."""
+    if isinstance(wanted, Between):
+        return wanted.low, wanted.high
+    if isinstance(wanted, (list, tuple, set, frozenset)) and wanted:
+        return min(wanted), max(wanted)
+    return (wanted, wanted) if isinstance(wanted, (dt.date, str)) else (None, None)
+
+
 @dataclass(frozen=True)
 class MetricView:
     """Dimensions, measures and a filter that always applies."""
@@ -251,8 +261,8 @@ class _Question:
             if dimension.table is not None:
                 continue
             fact = fact.filter(_condition(F.col(dimension.column), wanted))
-            if dimension.column == "sale_date" and isinstance(wanted, Between):
-                fact = fact.filter(months_between_dates(wanted.low, wanted.high))
+            if dimension.column in ("sale_date", "month_start"):
+                fact = fact.filter(months_between_dates(*_ends(wanted)))
         return fact
 
     def _joined(self, rows: DataFrame) -> DataFrame:

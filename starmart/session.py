@@ -19,6 +19,8 @@ Result = TypeVar("Result")
 CONCURRENT_JOBS = 4
 
 SETTINGS = {
+    # Casts and divisions must fail loudly instead of turning into NULL.
+    "spark.sql.ansi.enabled": "true",
     # Day and month boundaries follow the session zone.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",

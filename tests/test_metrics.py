@@ -129,6 +129,11 @@ def test_conditions(mart):
     assert total(Fecha=Between(None, dt.date(2024, 1, 31))) == 9
     assert total(Fecha=Between(dt.date(2024, 2, 1))) == 6
     assert total(Fecha=Between()) == 15
+    assert total(Fecha=dt.date(2024, 3, 1)) == 4
+    assert total(Fecha=[dt.date(2024, 3, 1), dt.date(2023, 2, 28)]) == 12
+    assert total(Fecha=lambda c: c > "2024-01-31") == 6
+    assert total(Fecha=None) is None
+    assert total(**{"Mes inicio": dt.datetime(2024, 2, 1)}) == 2
     assert total(Anio=[2023, 2024], Mes=[2]) == 10
     assert total(Zona="Zona Sur") == 4
     assert total(Zona=lambda c: c.startswith("Zona")) == 7

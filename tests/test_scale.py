@@ -70,6 +70,8 @@ def test_a_period_prunes_months_and_pushes_filters(star):
     for question in (
         assets.stockout_risk(star),
         VENTAS.query(star, ["Zona"], ["Venta"], where={"Fecha": Between(*YEAR)}),
+        VENTAS.query(star, ["Zona"], ["Venta"], where={"Fecha": YEAR[0]}),
+        VENTAS.query(star, [], ["Venta"], where={"Mes inicio": dt.datetime(1997, 3, 1)}),
         assets.sales_year_over_year(star, 2001),
     ):
         (scan,) = scan_of(plan(question), "fact_sales")
