@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Columns of the star, in order.
 DIM_CUSTOMER = [
     "customer_id", "customer", "tax_id", "city", "state", "country", "is_company", "is_active",
 ]
