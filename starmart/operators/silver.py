@@ -31,8 +31,8 @@ def _companies(companies: DataFrame, currencies: DataFrame, currency: str) -> Da
 def salespeople(users: DataFrame, partners: DataFrame, cfg: MartConfig) -> DataFrame:
     """V1. A user has no name of its own; it is the name of its partner.
 
-    Partners are cut down to those that are users first, so that the left join never
-    shuffles the whole partner table.
+    Partners are cut down to those that are users first. While the user ids are few enough
+    to broadcast, the partner table is then not shuffled, which a left join alone would do.
     """
     strict = cfg.strict_casts
     referenced = users.select(F.col("partner_id").alias("id"))
