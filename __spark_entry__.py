@@ -314,6 +314,18 @@ QUERIES: dict[str, Query] = {
 }
 
 
+# The corpus operators are a part of their own; without it everything else still works.
+try:
+    from corpus_pipeline import ORACLE_SQL, run
+    from starmart.llm.registry import ORACLES as LLM_ORACLES
+    from starmart.llm.registry import QUERIES as LLM_QUERIES
+except ImportError:
+    LLM_ORACLES: dict[str, str] = {}
+else:
+    QUERIES.update(LLM_QUERIES, pipeline=run)
+    LLM_ORACLES = {**LLM_ORACLES, **({"pipeline": ORACLE_SQL} if ORACLE_SQL else {})}
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Sales by zone for 1997 on the smallest data, from source rows to the answer."""
     return QUERIES["sales_by_territory"](spark, "/root/testdata/sf0.001")
@@ -324,4 +336,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: ORACLES[name] for name in QUERIES if name in ORACLES}
+    known = {**ORACLES, **LLM_ORACLES}
+    return {name: known[name] for name in QUERIES if name in known}
