@@ -85,10 +85,6 @@ def _variants(rows: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, max_bits: int) -> DataFrame:
-    return pairs.where(F.bit_count(F.expr("a ^ b")) <= max_bits).select("a", "b")
-
-
 def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     """Pairs ``(a, b)`` of distinct fingerprints ``fp`` at 1 to ``max_bits`` differing bits.
 
@@ -99,17 +95,10 @@ def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
     rows = prints.select("fp", F.lit(0).cast("bigint").alias("parent"), F.lit(0).alias("start"))
     found, width = [], 64
     while True:
-        buckets = _variants(rows, width)
-        shared = stored(
-            buckets.groupBy("key")
-            .agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
-            .where("n > 1"),
-            "buckets",
-        )
-        found.append(_verified(shared.where("n = 2"), max_bits))
-        members = stored(
-            buckets.join(shared.where("n > 2").select("key", "n"), "key"), "members"
-        )
+        # a fingerprint is in a bucket once, so none has more than 1/64 of the rows to move
+        buckets = _variants(rows, width).repartition("key")
+        shared = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+        members = stored(buckets.join(shared.hint("shuffle_hash"), "key"), "members")
         few = members.where(F.col("n") <= CROWD)
         left, right = few.alias("l"), few.alias("r")
         pair = left.join(
