@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from starmart.llm import simhash
+from starmart.llm import simhash, superkmers
 
 QUERIES = {
+    "op6_superkmers": superkmers.op6_superkmers,
     "op7_simhash": simhash.op7_simhash,
 }
 
