@@ -14,6 +14,7 @@ in an ordinary aggregation.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -30,6 +31,8 @@ WINDOW = 50
 GRAM = 8
 #: Different pieces of one minimiser that one task sorts at a time.
 CROWD = 200
+#: Pieces of crowded minimisers that a task takes at a time.
+CHUNK = 1000
 #: Word hashes a task remembers.
 REMEMBERED = 1 << 18
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -149,12 +152,12 @@ def _windows(packed: bytes, window: int) -> list[bytes]:
 
 
 def sorted_buckets(rows: DataFrame, window: int) -> DataFrame:
-    """Per piece the runs of windows that start in a smaller document than its own first.
+    """``piece, runs``: its windows that start in a smaller document than its own first.
 
     ``rows``: ``minimiser, piece, packed, first_doc``, at most ``CROWD`` of a minimiser.
     """
 
-    def repeated(group: list[tuple]) -> Iterator[tuple[bytes, int, int]]:
+    def repeated(group: list[tuple]) -> Iterator[tuple[bytes, list[dict]]]:
         entries = sorted(
             (w, doc, k, at)
             for k, (_, _, packed, doc) in enumerate(group)
@@ -167,8 +170,7 @@ def sorted_buckets(rows: DataFrame, window: int) -> DataFrame:
                 if doc > same[0][1]:
                     flags.setdefault(k, []).append(at)
         for k, at in flags.items():
-            for first, n in _runs(sorted(at)):
-                yield group[k][1], first, n
+            yield group[k][1], [{"run": a, "n": n} for a, n in _runs(sorted(at))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[tuple] = []
@@ -189,52 +191,101 @@ def sorted_buckets(rows: DataFrame, window: int) -> DataFrame:
         rows.select("minimiser", "piece", "packed", "first_doc")
         .repartition("minimiser")
         .sortWithinPartitions("minimiser")
-        .mapInArrow(run, "piece binary, run int, n int")
+        .mapInArrow(run, "piece binary, runs array<struct<run:int,n:int>>")
     )
 
 
 def _run_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.binary(), pa.int32(), pa.int32()]
+    runs = pa.list_(pa.struct([("run", pa.int32()), ("n", pa.int32())]))
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-        names=["piece", "run", "n"],
+        [pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], runs)],
+        names=["piece", "runs"],
     )
 
 
+def _least(packs: list[bytes], docs: list[int], window: int) -> dict[bytes, int]:
+    """The smallest document of each window, by the window's digest."""
+    least: dict[bytes, int] = {}
+    for packed, doc in zip(packs, docs, strict=True):
+        for w in _windows(packed, window):
+            digest = xxhash.xxh3_128_digest(w)
+            if least.get(digest, doc) >= doc:
+                least[digest] = doc
+    return least
+
+
 def crowded_buckets(rows: DataFrame, window: int) -> DataFrame:
-    """The same for minimisers with many pieces, by digests of single windows."""
+    """The same for minimisers with many pieces, by digests of single windows.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+    Pieces are dealt into chunks of about ``CHUNK``. A chunk sends each different window once,
+    with its smallest document, to the part that settles the window's digest, and learns
+    which of them start earlier elsewhere. So a window that all pieces share travels once a
+    chunk, and chunks and parts stay of one size however large the crowd is.
+    """
+    parts = max(1, math.ceil(rows.count() / CHUNK))
+    chunked = rows.select(
+        "piece", "packed", "first_doc", F.expr(f"pmod(xxhash64(piece), {parts})").alias("chunk")
+    )
+
+    def send(chunk: pa.Table) -> pa.Table:
+        packs, docs = chunk["packed"].to_pylist(), chunk["first_doc"].to_pylist()
+        by_part: dict[int, list] = {}
+        for digest, doc in _least(packs, docs, window).items():
+            part = int.from_bytes(digest[:8], "big") % parts
+            by_part.setdefault(part, []).append((digest, doc))
+        return _letters([(p, chunk["chunk"][0].as_py(), x) for p, x in by_part.items()])
+
+    def settle(letters: pa.Table) -> pa.Table:
+        rows = list(zip(*(letters[c].to_pylist() for c in ("chunk", "digests", "docs")), strict=True))
+        least: dict[bytes, int] = {}
+        for _, digests, docs in rows:
+            for digest, doc in zip(digests, docs, strict=True):
+                if least.get(digest, doc) >= doc:
+                    least[digest] = doc
+        answers = []
+        for chunk, digests, docs in rows:
             found = [
-                [xxhash.xxh3_128_digest(w) for w in _windows(p, window)] for p in _texts(batch, 1)
+                (x, least[x]) for x, doc in zip(digests, docs, strict=True) if least[x] < doc
             ]
-            size = [len(x) for x in found]
-            at = pa.array(np.repeat(np.arange(len(found)), size))
-            run_at = np.concatenate([*(np.arange(n) for n in size), np.zeros(0, np.int64)])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(at),
-                    pa.array(run_at, pa.int32()),
-                    batch.column(2).take(at),
-                    pa.array([x for part in found for x in part], pa.binary()),
-                ],
-                names=["piece", "run", "first_doc", "digest"],
-            )
+            answers.append((letters["part"][0].as_py(), chunk, found))
+        return _letters(answers)
+
+    def flag(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        packs, docs = chunk["packed"].to_pylist(), chunk["first_doc"].to_pylist()
+        least = _least(packs, docs, window)
+        for digests, found in zip(
+            answers["digests"].to_pylist(), answers["docs"].to_pylist(), strict=True
+        ):
+            least.update(zip(digests, found, strict=True))
+        out = []
+        for piece, packed, doc in zip(chunk["piece"].to_pylist(), packs, docs, strict=True):
+            at = [
+                k
+                for k, w in enumerate(_windows(packed, window))
+                if least[xxhash.xxh3_128_digest(w)] < doc
+            ]
+            if at:
+                out.append((piece, [{"run": a, "n": n} for a, n in _runs(at)]))
+        return pa.Table.from_batches([_run_batch(out)])
 
-    cut = stored(
-        rows.select("piece", "packed", "first_doc").mapInArrow(
-            run, "piece binary, run int, first_doc bigint, digest binary"
-        ),
-        "windows",
-    )
-    least = cut.groupBy("digest").agg(
-        F.min("first_doc").alias("least"), F.max("first_doc").alias("most")
-    )
+    letter = "part bigint, chunk bigint, digests array<binary>, docs array<bigint>"
+    sent = chunked.groupBy("chunk").applyInArrow(send, letter)
+    settled = sent.groupBy("part").applyInArrow(settle, letter)
     return (
-        cut.join(least.where("least < most"), "digest")
-        .where("first_doc > least")
-        .select("piece", "run", F.lit(1).alias("n"))
+        chunked.groupBy("chunk")
+        .cogroup(settled.groupBy("chunk"))
+        .applyInArrow(flag, "piece binary, runs array<struct<run:int,n:int>>")
+    )
+
+
+def _letters(rows: list[tuple[int, int, list[tuple[bytes, int]]]]) -> pa.Table:
+    return pa.table(
+        {
+            "part": pa.array([r[0] for r in rows], pa.int64()),
+            "chunk": pa.array([r[1] for r in rows], pa.int64()),
+            "digests": pa.array([[x[0] for x in r[2]] for r in rows], pa.list_(pa.binary())),
+            "docs": pa.array([[x[1] for x in r[2]] for r in rows], pa.list_(pa.int64())),
+        }
     )
 
 
@@ -272,22 +323,21 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
         firsts, ["minimiser", "piece"]
     )
     later = at.where("doc_id > first_doc").select(
-        "doc_id", "text_key", "start", (F.col("start") + F.col("n")).alias("stop")
+        "doc_id", "text_key", "start", F.expr("array(struct(0 AS run, n))").alias("runs")
     )
     first = (
         at.where("doc_id = first_doc")
-        .drop("n")
         .join(runs, "piece")
-        .select(
-            "doc_id",
-            "text_key",
-            (F.col("start") + F.col("run")).alias("start"),
-            (F.col("start") + F.col("run") + F.col("n")).alias("stop"),
-        )
+        .select("doc_id", "text_key", "start", "runs")
+    )
+    spans = F.expr(
+        "transform(runs, r -> struct(start + r.run AS start, "
+        f"start + r.run + r.n + {window - 1} AS stop))"
     )
-    span = F.struct("start", (F.col("stop") + F.lit(window - 1)).alias("stop"))
     return (
-        later.union(first).groupBy("doc_id", "text_key").agg(F.collect_set(span).alias("spans"))
+        later.union(first)
+        .groupBy("doc_id", "text_key")
+        .agg(F.flatten(F.collect_list(spans)).alias("spans"))
     )
 
 
