@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from starmart.session import shared_dir
 
-#: Words of most contracts: runs without ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
+#: What stands between the words of most contracts.
+SPACE = r"[\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +28,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def words(text: Column) -> Column:
+def words(text: Column, between: str = SPACE) -> Column:
     """The words of a text, an empty array for NULL."""
     return F.coalesce(
-        F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(0)), F.array().cast("array<string>")
+        F.array_remove(F.split(text, between), ""), F.array().cast("array<string>")
     )
 
 

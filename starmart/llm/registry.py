@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from starmart.llm import simhash, superkmers
+from starmart.llm import contamination, mixing, simhash, superkmers
 
 QUERIES = {
     "op6_superkmers": superkmers.op6_superkmers,
     "op7_simhash": simhash.op7_simhash,
+    "op8_mixing": mixing.op8_mixing,
+    "op10_contamination": contamination.op10_contamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_contamination": contamination.ORACLE,
+}
