@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from starmart.llm import contamination, mixing, simhash, superkmers
+from starmart.llm import (
+    contamination,
+    language,
+    mixing,
+    quality,
+    simhash,
+    superkmers,
+    toxicity,
+)
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
+    "op5_language": language.op5_language,
     "op6_superkmers": superkmers.op6_superkmers,
     "op7_simhash": simhash.op7_simhash,
     "op8_mixing": mixing.op8_mixing,
+    "op9_quality": quality.op9_quality,
     "op10_contamination": contamination.op10_contamination,
 }
 
