@@ -22,6 +22,8 @@ BUCKETS = 1 << 14
 #: N-grams of the whole corpus that the good texts' model starts from.
 PRIOR = 10_000.0
 REMEMBERED = 1 << 18
+#: Good labelled texts the target model is fitted on at most, in the order of a hash of the id.
+MAX_GOOD = 50_000
 BINS = 1024
 #: Keys that are sorted on the driver to find the last of the top k.
 FEW = 10_000
@@ -70,14 +72,19 @@ def buckets(text: str | None, hashes: Hashes) -> np.ndarray:
     return (grams >> np.uint64(50)).astype(np.int64)
 
 
-def gram_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``bucket, good, raw``: n-grams of the good texts and of all texts."""
-    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("_good")
-    )
-    marked = docs.join(good.distinct(), docs["doc_id"] == F.col("_good"), "left").select(
-        "text", F.col("_good").isNotNull().alias("good")
+def gram_counts(docs: DataFrame, labels: DataFrame, max_good: int = MAX_GOOD) -> DataFrame:
+    """``bucket, good, raw``: n-grams of the labelled good texts and of all texts."""
+    good = (
+        labels.where("quality = 1 AND doc_id IS NOT NULL")
+        .select(F.col("doc_id").alias("_good"))
+        .distinct()
+        .orderBy(F.xxhash64("_good"))
+        .limit(max_good)
     )
+    # at most ``max_good`` ids: a bound that holds at any size, so no text need move
+    marked = docs.join(
+        F.broadcast(stored(good, "good")), docs["doc_id"] == F.col("_good"), "left"
+    ).select("text", F.col("_good").isNotNull().alias("good"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = Hashes(), np.zeros((2, BUCKETS), np.int64)
