@@ -5,15 +5,21 @@ from __future__ import annotations
 from starmart.llm import (
     contamination,
     language,
+    licenses,
     mixing,
+    multiindex,
     quality,
     simhash,
     superkmers,
+    toolcalls,
     toxicity,
 )
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
+    "op2_toolcalls": toolcalls.op2_toolcalls,
+    "op3_licenses": licenses.op3_licenses,
+    "op4_multiindex": multiindex.op4_multiindex,
     "op5_language": language.op5_language,
     "op6_superkmers": superkmers.op6_superkmers,
     "op7_simhash": simhash.op7_simhash,
@@ -23,5 +29,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_multiindex": multiindex.ORACLE,
     "op10_contamination": contamination.ORACLE,
 }

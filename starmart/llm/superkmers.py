@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -397,6 +398,40 @@ def strip_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
     )
 
 
+def cut_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """The input rows, all columns, without the words of repeated passages.
+
+    A text that loses words keeps the others joined by single spaces, and ``n_chars``, if
+    there is such a column, counts what is left. Texts that lose nothing stay as they are; a
+    document that loses every word goes.
+    """
+    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
+    light = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text"
+    )
+    spans = repeated_spans(light, window, gram).toDF("_id", "_key", "_spans")
+
+    @F.pandas_udf("string")
+    def rest(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        out = []
+        for text, found in zip(texts, spans, strict=True):
+            words = text.encode().split() if found is not None else []
+            mask = kept_mask(len(words), found if found is not None else [])
+            kept = b" ".join(w for w, keep in zip(words, mask.tolist(), strict=True) if keep)
+            out.append(kept.decode())
+        return pd.Series(out, dtype=object)
+
+    joined = keyed.join(
+        spans, (F.col("doc_id") == F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left"
+    )
+    whole = joined.where("_spans IS NULL").select(docs.columns)
+    cut = joined.where("_spans IS NOT NULL").withColumn("text", rest("text", "_spans"))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        cut = cut.withColumn("n_chars", F.length("text").cast(kind))
+    return whole.union(cut.where("text <> ''").select(docs.columns))
+
+
 def op6_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return strip_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
