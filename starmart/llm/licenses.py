@@ -96,20 +96,17 @@ def band_of(template: list[str]) -> int:
     return max(1, min(8, len(template) // 3))
 
 
-def align(template: list[str], words: list[str], slack: int) -> tuple[int, int, int]:
+def align(template: list[str], words: list[str], lead: int, reach: int) -> tuple[int, int, int]:
     """Most words of the template met in order within the band: count, first, stop.
 
-    The template may start up to ``slack`` words into ``words``, which is the band's half
-    width too. A skipped or changed word costs a fraction of a match; ends of ``words`` are
-    free.
+    The template's word ``i`` may meet words ``i + lead`` to ``i + lead + reach``. A skipped
+    or changed word costs a fraction of a match; ends of ``words`` are free.
     """
-    width = len(words) - len(template) + 1
-    reach = max(2 * slack, width) + 1
     none = (0.0, 0, -1, -1)
-    above: dict[int, tuple] = {j: none for j in range(reach + 1)}
+    above: dict[int, tuple] = {j: none for j in range(max(0, lead + reach) + 1)}
     for i, want in enumerate(template):
         row: dict[int, tuple] = {}
-        for j in range(max(0, i), min(len(words), i + reach) + 1):
+        for j in range(max(0, i + lead), min(len(words), i + lead + reach + 1) + 1):
             best = above.get(j, none)
             best = (best[0] - 0.3, *best[1:])
             if j > 0:
@@ -129,7 +126,10 @@ def align(template: list[str], words: list[str], slack: int) -> tuple[int, int,
 
 
 def candidates(docs: DataFrame, templates: dict[str, list[str]]) -> DataFrame:
-    """``doc_id, text_key, template, start, words``: stretches that share fingerprints."""
+    """``doc_id, text_key, template, start, reach, words``: stretches that share fingerprints.
+
+    A band of diagonals from ``start``, which may lie before the text, to ``start + reach``.
+    """
     names = sorted(templates)
     index: dict[int, list[tuple[int, int]]] = {}
     for t, name in enumerate(names):
@@ -154,7 +154,7 @@ def candidates(docs: DataFrame, templates: dict[str, list[str]]) -> DataFrame:
             while k < len(found) and found[k][0] == t and found[k][1] - high <= band[t]:
                 high = found[k][1]
                 k += 1
-            yield t, max(0, low - band[t]), min(len(words), high + size[t] + band[t])
+            yield t, low - band[t], high + band[t]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -162,7 +162,10 @@ def candidates(docs: DataFrame, templates: dict[str, list[str]]) -> DataFrame:
             rows = []
             for i, text in enumerate(batch.column(2).to_pylist()):
                 words = WORD.findall((text or "").lower())
-                rows += [(i, names[t], a, words[a:b]) for t, a, b in stretches(words, hashes)]
+                rows += [
+                    (i, names[t], a, b - a, words[max(0, a) : b + size[t]])
+                    for t, a, b in stretches(words, hashes)
+                ]
             at = pa.array([r[0] for r in rows], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -170,16 +173,18 @@ def candidates(docs: DataFrame, templates: dict[str, list[str]]) -> DataFrame:
                     batch.column(1).take(at),
                     pa.array([r[1] for r in rows], pa.string()),
                     pa.array([r[2] for r in rows], pa.int64()),
-                    pa.array([r[3] for r in rows], pa.list_(pa.string())),
+                    pa.array([r[3] for r in rows], pa.int64()),
+                    pa.array([r[4] for r in rows], pa.list_(pa.string())),
                 ],
-                names=["doc_id", "text_key", "template", "start", "words"],
+                names=["doc_id", "text_key", "template", "start", "reach", "words"],
             )
 
     return docs.select(
         F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_key"), "text"
     ).mapInArrow(
         run,
-        "doc_id bigint, text_key bigint, template string, start bigint, words array<string>",
+        "doc_id bigint, text_key bigint, template string, start bigint, reach bigint, "
+        "words array<string>",
     )
 
 
@@ -200,14 +205,13 @@ def scan(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            _, names, starts, reaches, parts = (c.to_pylist() for c in batch.columns)
             found = [
-                align(wanted[name], words, band_of(wanted[name]))
-                for name, words in zip(
-                    batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True
-                )
+                align(wanted[n], words, min(0, start), reach)
+                for n, start, reach, words in zip(names, starts, reaches, parts, strict=True)
             ]
-            start = batch.column(2).to_pylist()
-            size = [len(wanted[n]) for n in batch.column(1).to_pylist()]
+            start = [max(0, x) for x in starts]
+            size = [len(wanted[n]) for n in names]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -224,7 +228,7 @@ def scan(
 
     return (
         candidates(docs, wanted)
-        .select("doc_id", "template", "start", "words")
+        .select("doc_id", "template", "start", "reach", "words")
         .mapInArrow(
             run,
             "doc_id bigint, template string, start_word bigint, end_word bigint, "
