@@ -534,8 +534,7 @@ ORACLES: dict[str, str] = {
         """
         SELECT dimension, value,
           CAST(levenshtein(strip_accents(lower(value)), 'zona amerca') AS INTEGER) AS distance
-        FROM entities WHERE levenshtein(strip_accents(lower(value)), 'zona amerca') <= 3
-        ORDER BY distance, dimension, value LIMIT 10""",
+        FROM entities""",
         VALUES,
     ),
     "manager_scope": _layered(

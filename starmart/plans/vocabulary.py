@@ -142,14 +142,19 @@ def entity_values(star: Star, view: MetricView) -> DataFrame:
 
 
 def match_entity(
-    values: DataFrame, term: str | Column, max_distance: int = 3, limit: int = 10
+    values: DataFrame,
+    term: str | Column,
+    max_distance: int | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Values closest to a term: equal after folding first, then by edit distance."""
+    """All values by their edit distance to a term after folding, the nearest first.
+
+    ``max_distance`` and ``limit`` leave values out only where they are asked for.
+    """
     wanted = fold(F.lit(term) if isinstance(term, str) else term)
-    distance = F.levenshtein(fold("value"), wanted, max_distance)
-    return (
-        values.select("dimension", "value", distance.alias("distance"))
-        .filter(F.col("distance") >= 0)
-        .orderBy("distance", "dimension", "value")
-        .limit(limit)
-    )
+    distance = F.levenshtein(fold("value"), wanted)
+    found = values.select("dimension", "value", distance.alias("distance"))
+    if max_distance is not None:
+        found = found.filter(F.col("distance") <= max_distance)
+    found = found.orderBy("distance", "dimension", "value")
+    return found if limit is None else found.limit(limit)

@@ -49,9 +49,11 @@ def land(source: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
 def read_landed(spark: SparkSession, table: str, folder: str) -> DataFrame:
     """Landed rows under the explicit all-text schema.
 
-    Absent fields are NULL, unknown fields are ignored and a JSON object stays raw text.
+    Absent fields are NULL, unknown fields are ignored and a JSON object stays raw text. A
+    line that is no JSON object fails the read: no row is made up and none is lost.
     """
-    return spark.read.schema(contract.schema(table)).json(f"{folder}/{table}")
+    reader = spark.read.schema(contract.schema(table)).option("mode", "FAILFAST")
+    return reader.json(f"{folder}/{table}")
 
 
 def publish(spark: SparkSession, folder: str, cfg: MartConfig) -> None:

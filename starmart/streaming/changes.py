@@ -84,10 +84,14 @@ class ChangeLane:
         self._offsets = f"{folder}/offsets"
 
     def read_feed(self, feed: str, max_files: int = 1000) -> DataFrame:
-        """Streaming frame over a folder where change files arrive as JSON Lines."""
+        """Streaming frame over a folder where change files arrive as JSON Lines.
+
+        A broken line stops the stream before its offsets are committed.
+        """
         return (
             self._spark.readStream.schema(FEED_SCHEMA)
             .option("maxFilesPerTrigger", max_files)
+            .option("mode", "FAILFAST")
             .json(feed)
         )
 
@@ -101,15 +105,25 @@ class ChangeLane:
         )
 
     def _append(self, batch: DataFrame, batch_id: int) -> None:
+        """Log the changes of all tables; those asked for are picked when the log is read."""
+        told = F.col("table").isNotNull() & F.col("op").isNotNull() & F.col("lsn").isNotNull()
+        refused = F.raise_error(F.lit("a change without table, operation or log position"))
+        checked = F.when(told, F.col("table")).otherwise(refused.cast("string"))
         (
-            latest(batch.filter(F.col("table").isin(self._tables)))
+            latest(batch.withColumn("table", checked))
             .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
             .partitionBy("table")
             .parquet(f"{self._log}/batch={batch_id}")
         )
 
     def changes(self) -> DataFrame:
-        """The change log so far."""
+        """The change log so far; without a batch it is empty."""
+        jvm = self._spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self._log)
+        hadoop = self._spark.sparkContext._jsc.hadoopConfiguration()
+        if not path.getFileSystem(hadoop).exists(path):
+            return self._spark.createDataFrame([], f"{FEED_SCHEMA}, batch BIGINT")
         return (
             self._spark.read.schema(f"{FEED_SCHEMA}, batch BIGINT")
             .option("basePath", self._log)

@@ -58,10 +58,13 @@ def test_reading_foreign_files(spark, tmp_path):
     folder = tmp_path / "uom_uom"
     folder.mkdir()
     (folder / "part.json").write_text(
-        '{"id": 7, "name": {"en_US": "a,b", "es_ES": "c"}, "extra": 1}\n{"id": "8"}\nnot json\n'
+        '{"id": 7, "name": {"en_US": "a,b", "es_ES": "c"}, "extra": 1}\n{"id": "8"}\n'
     )
     found = rows(landing.read_landed(spark, "uom_uom", str(tmp_path)))
-    assert found == [("7", '{"en_US": "a,b", "es_ES": "c"}'), ("8", None), (None, None)]
+    assert found == [("7", '{"en_US": "a,b", "es_ES": "c"}'), ("8", None)]
+    (folder / "bad.json").write_text("not json\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        rows(landing.read_landed(spark, "uom_uom", str(tmp_path)))
 
 
 def test_export_needs_every_table(spark, bronze, tmp_path):

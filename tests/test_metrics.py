@@ -203,9 +203,12 @@ def test_entity_values_and_match(mart):
     assert ("Cliente", "Ana") in found and ("Cliente", "Berta") not in found
     assert ("Zona", "Zona Norte") in found and ("Departamento", "Cortés") in found
     assert len(found) == len(set(found))
-    assert rows(vocabulary.match_entity(values, "cortes")) == [("Departamento", "Cortés", 0)]
+    assert len(rows(vocabulary.match_entity(values, "cortes"))) == len(found)
+    assert len(rows(vocabulary.match_entity(values, "cortes", limit=2))) == 2
+    near = vocabulary.match_entity(values, "cortes", max_distance=3)
+    assert rows(near) == [("Departamento", "Cortés", 0)]
     assert rows(vocabulary.match_entity(values, "zona nrte"))[0] == ("Zona", "Zona Norte", 1)
-    assert rows(vocabulary.match_entity(values, "xxxxxxxxxx")) == []
+    assert rows(vocabulary.match_entity(values, "xxxxxxxxxx", 3)) == []
 
 
 def test_managers_see_their_zones_only(mart):
