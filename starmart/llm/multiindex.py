@@ -301,8 +301,8 @@ ORACLE = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), l AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
   WHERE list_cosine_similarity(a.e, b.e) >= 0.93
@@ -310,10 +310,10 @@ WITH RECURSIVE v AS (
   SELECT a AS vec_id, b AS reached FROM l
   UNION
   SELECT r.vec_id, l.b FROM r JOIN l ON r.reached = l.a
-), c AS (SELECT vec_id, min(reached) AS least FROM r GROUP BY vec_id
+), m AS (SELECT vec_id, min(reached) AS low FROM r GROUP BY vec_id
 ), n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a)
 SELECT e.vec_id, coalesce(n_links, 0)::BIGINT AS n_links,
-  least(e.vec_id, coalesce(least, e.vec_id))::BIGINT AS component_id,
-  e.vec_id = least(e.vec_id, coalesce(least, e.vec_id)) AS kept
-FROM embeddings e LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)
+  least(e.vec_id, coalesce(low, e.vec_id))::BIGINT AS component_id,
+  e.vec_id = least(e.vec_id, coalesce(low, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN n USING (vec_id) LEFT JOIN m USING (vec_id)
 """
