@@ -28,6 +28,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def as_row(docs: DataFrame) -> DataFrame:
+    """All columns in one, ``row``, so that no column name of the input can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
 def words(text: Column, between: str = SPACE) -> Column:
     """The words of a text, an empty array for NULL."""
     return F.coalesce(

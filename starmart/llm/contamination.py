@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from starmart.llm.common import lower_ascii, stored, table, words
+from starmart.llm.common import as_row, lower_ascii, stored, table, words
 
 WINDOW = 10
 #: What stands between words: ASCII other than letters and digits.
@@ -124,40 +124,39 @@ def phrase_candidates(docs: DataFrame, windows: DataFrame) -> DataFrame:
 
 
 def phrase_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The input rows with ``_words`` and ``_hits``, the exact occurrences of item windows.
+    """Each input row as ``row``, its ``words``, and as ``hits`` the occurrences of item windows.
 
     A hit is ``(phrase, n, items, start)``. Only ``text``, and ``item_id`` and ``text`` of
     the items, are read. NULL and empty texts have no words and no hits; an item without
     words has no window; an item with a NULL id hits words but is not named.
     """
-    cands = phrase_candidates(docs, item_windows(items, window)).withColumnRenamed(
-        "text_key", "_text_key"
-    )
-    joined = docs.withColumn("_text_key", F.xxhash64("text")).join(cands, "_text_key", "left")
+    cands = phrase_candidates(docs, item_windows(items, window))
+    joined = as_row(docs).withColumn("text_key", F.xxhash64("row.text"))
+    joined = joined.join(cands, "text_key", "left")
     exact = F.expr(
-        "filter(cands, c -> array_join(slice(_words, c.start + 1, c.n), ' ') = c.phrase)"
+        "filter(cands, c -> array_join(slice(words, c.start + 1, c.n), ' ') = c.phrase)"
     )
-    return joined.withColumn("_words", tokens(F.col("text"))).select(
-        *docs.columns, "_words", F.when(F.col("cands").isNotNull(), exact).alias("_hits")
+    return joined.withColumn("words", tokens(F.col("row.text"))).select(
+        "row", "words", F.when(F.col("cands").isNotNull(), exact).alias("hits")
     )
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per input row: counts of words, hit words and items, and whether it is hit."""
     names = F.expr(
-        "coalesce(array_sort(array_distinct(flatten(transform(_hits, h -> h.items)))), array())"
+        "coalesce(array_sort(array_distinct(flatten(transform(hits, h -> h.items)))), array())"
     ).cast("array<string>")
     hit = F.expr(
-        "coalesce(size(array_distinct(flatten(transform(_hits, "
+        "coalesce(size(array_distinct(flatten(transform(hits, "
         "h -> sequence(h.start, h.start + h.n - 1))))), 0)"
     )
     return (
-        phrase_matches(docs, items, window)
-        .withColumn("_hits", F.expr("if(size(_hits) > 0, _hits, NULL)"))
+        phrase_matches(docs.select("doc_id", "text"), items, window)
+        .withColumn("hits", F.expr("if(size(hits) > 0, hits, NULL)"))
         .select(
-            "doc_id",
-            F.size("_words").cast("bigint").alias("n_words"),
-            F.when(F.col("_hits").isNotNull(), hit).otherwise(0).cast("bigint").alias("n_hit"),
+            "row.doc_id",
+            F.size("words").cast("bigint").alias("n_words"),
+            F.when(F.col("hits").isNotNull(), hit).otherwise(0).cast("bigint").alias("n_hit"),
             names.alias("items"),
         )
         .select(
@@ -174,7 +173,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The input rows, all columns, whose texts hold no item window."""
     found = phrase_matches(docs, items, window)
-    return found.where("coalesce(size(_hits), 0) < 1").select(docs.columns)
+    return found.where("coalesce(size(hits), 0) < 1").select("row.*")
 
 
 def proximity_matches(

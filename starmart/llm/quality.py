@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm.common import stored, table
+from starmart.llm.common import as_row, stored, table
 
 BUCKETS = 1 << 14
 #: N-grams of the whole corpus that the good texts' model starts from.
@@ -82,8 +82,9 @@ def gram_counts(docs: DataFrame, labels: DataFrame, max_good: int = MAX_GOOD) ->
         .limit(max_good)
     )
     # at most ``max_good`` ids: a bound that holds at any size, so no text need move
-    marked = docs.join(
-        F.broadcast(stored(good, "good")), docs["doc_id"] == F.col("_good"), "left"
+    texts = docs.select("doc_id", "text")
+    marked = texts.join(
+        F.broadcast(stored(good, "good")), F.col("doc_id") == F.col("_good"), "left"
     ).select("text", F.col("_good").isNotNull().alias("good"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,9 +195,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, share: float | None = None) ->
         .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
         .distinct()
     )
-    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
-    same = (F.col("_text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    return keyed.join(kept, same, "left_semi").select(docs.columns)
+    keyed = as_row(docs).withColumn("key", F.xxhash64("row.text"))
+    same = (F.col("key") == F.col("_key")) & F.col("row.doc_id").eqNullSafe(F.col("_id"))
+    return keyed.join(kept, same, "left_semi").select("row.*")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

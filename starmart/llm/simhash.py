@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm.common import components, stored, table
+from starmart.llm.common import as_row, components, stored, table
 
 SEED = 42
 #: Fingerprints of one bucket that are compared pair by pair; larger buckets are cut again.
@@ -167,11 +167,11 @@ def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFram
     chosen = chosen.join(copies, same(chosen, copies)).select(
         chosen["doc_id"].alias("_id"), chosen["text_key"].alias("_key"), "n"
     )
-    joined = docs.withColumn("_text_key", F.xxhash64("text")).join(
-        chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
+    joined = as_row(docs).withColumn("key", F.xxhash64("row.text")).join(
+        chosen, F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
     )
-    once = joined.where("n = 1").select(docs.columns)
-    again = joined.where("n > 1").dropDuplicates(["_id", "_key"]).select(docs.columns)
+    once = joined.where("n = 1").select("row.*")
+    again = joined.where("n > 1").dropDuplicates(["_id", "_key"]).select("row.*")
     return once.union(again)
 
 

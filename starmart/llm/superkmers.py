@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm.common import stored, table
+from starmart.llm.common import as_row, stored, table
 
 WINDOW = 50
 #: Words of the grams that minimisers are taken from.
@@ -405,7 +405,7 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
     there is such a column, counts what is left. Texts that lose nothing stay as they are; a
     document that loses every word goes.
     """
-    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
+    keyed = as_row(docs).withColumn("key", F.xxhash64("row.text"))
     light = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text"
     )
@@ -422,14 +422,16 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
         return pd.Series(out, dtype=object)
 
     joined = keyed.join(
-        spans, (F.col("doc_id") == F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left"
+        spans, (F.col("row.doc_id") == F.col("_id")) & (F.col("key") == F.col("_key")), "left"
     )
-    whole = joined.where("_spans IS NULL").select(docs.columns)
-    cut = joined.where("_spans IS NOT NULL").withColumn("text", rest("text", "_spans"))
+    whole = joined.where("_spans IS NULL").select("row.*")
+    cut = joined.where("_spans IS NOT NULL").withColumn("rest", rest("row.text", "_spans"))
+    cut = cut.where("rest <> ''").withColumn("row", F.col("row").withField("text", F.col("rest")))
+    cut = cut.select("row.*")
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         cut = cut.withColumn("n_chars", F.length("text").cast(kind))
-    return whole.union(cut.where("text <> ''").select(docs.columns))
+    return whole.union(cut)
 
 
 def op6_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -211,7 +211,8 @@ def train_weights(
 ) -> dict[str, float]:
     sample = stored(labelled_sample(docs, labels, max_labelled), "labelled")
     # at most ``max_labelled`` rows of two numbers: the one side here with a proven bound
-    train = docs.join(F.broadcast(sample), docs["doc_id"] == sample["id"]).select("text", "toxic")
+    texts = docs.select("doc_id", "text")
+    train = texts.join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select("text", "toxic")
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
         return {"": math.log(99.0) if n.get(1) else -math.log(99.0)}

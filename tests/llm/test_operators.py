@@ -8,6 +8,7 @@ import random
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from starmart.llm import (
     contamination,
@@ -322,3 +323,31 @@ def test_pipeline_stages_keep_columns(spark, docs):
         kept = stage(spark, kept, "/root/testdata/sf0.001")
         assert kept.columns == docs.columns
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_columns_with_clashing_names(spark, docs):
+    """Extra columns named like the operators' own come through, and none is mistaken."""
+    names = ["n", "key", "row", "cands", "_id", "_key", "_spans", "words", "hits", "text_key"]
+    names += ["good", "_good", "toxic", "quality", "id", "w", "minimiser", "rest", "kept", "size2"]
+    extra = docs.where("doc_id < 10").select("*", *[F.lit(7).alias(c) for c in names])
+    labels = spark.createDataFrame([(1, 1, 0), (10, 0, 1)], "doc_id bigint, quality int, toxic int")
+    bench = spark.createDataFrame([(2, "one two")], "item_id bigint, text string")
+    kept = {
+        "quality": quality.keep_good(extra, labels, 1.0),
+        "simhash": simhash.keep_first(extra),
+        "superkmers": superkmers.cut_repeats(extra),
+        "contamination": contamination.clean_documents(extra, bench),
+    }
+    for name, rows in kept.items():
+        assert rows.columns == extra.columns, name
+        assert rows.count() == rows.where("n = 7 AND row = 7 AND hits = 7").count(), name
+    assert kept["quality"].count() == extra.count()
+    assert kept["contamination"].count() == extra.count() - 1
+    for rows in (
+        toxicity.classify(extra, labels),
+        language.identify(extra, language.learn(extra)),
+        superkmers.strip_repeats(extra),
+        contamination.contamination(extra, bench),
+    ):
+        assert rows.count() == extra.count()
+    assert mixing.mixed_texts(extra).count() > 0
