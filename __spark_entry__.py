@@ -216,8 +216,8 @@ def entity_match(spark, sf_dir):
 
 def manager_scope(spark, sf_dir):
     star = _mart(spark, sf_dir)
-    entitled = scope.manager_entitlements(star)
-    return assets.sales_by_territory(scope.ScopedStar(star, entitled, "user1@example.com"), *YEAR)
+    zones = scope.managed_zones(star, "user1@example.com")
+    return assets.sales_by_territory(scope.ScopedStar(star, zones), *YEAR)
 
 
 def tenant_union(spark, sf_dir):
@@ -270,6 +270,9 @@ QUERIES: dict[str, Query] = {
     ),
     "sql_top_salespeople": _sql_function("top_salespeople(DATE'1997-01-01', DATE'1997-12-31')"),
     "sql_top_products": _sql_function("top_products(DATE'1997-01-01', DATE'1997-12-31')"),
+    "sql_top_products_2000": _sql_function(
+        "top_products(DATE'1997-01-01', DATE'1997-12-31', 2000)"
+    ),
     "sql_sales_year_over_year": _sql_function("sales_year_over_year(2001)"),
     "sql_sales_by_state": _sql_function("sales_by_state(DATE'1997-01-01', DATE'1997-12-31')"),
     "sql_stockout_risk": _sql_function("stockout_risk()"),

@@ -51,7 +51,10 @@ priced AS (
             AS DECIMAL(18,2)) AS net
   FROM lineitem),
 silver_order_lines AS (
-  SELECT ((l_orderkey * 8 + l_linenumber) * 32768 + l_partkey) * 1024 + l_suppkey AS line_id,
+  SELECT CAST('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+      CAST(l_quantity AS DECIMAL(18,3)), CAST(l_extendedprice AS DECIMAL(18,2)),
+      CAST(l_discount AS DECIMAL(4,2)), CAST(l_tax AS DECIMAL(4,2)), l_returnflag, l_linestatus,
+      CAST(l_shipdate AS DATE))), 1, 15) AS BIGINT) AS line_id,
     l_orderkey AS order_id, l_partkey AS product_id,
     CAST(l_quantity AS DECIMAL(18,3)) AS quantity,
     CAST(CASE WHEN l_linestatus = 'F' THEN l_quantity ELSE 0 END AS DECIMAL(18,3))
@@ -77,7 +80,7 @@ party AS (
     c_mktsegment AS city, c_nationkey AS nation_id, c_custkey % 2 = 0 AS is_company,
     1 AS customer_rank, c_custkey % 10 <> 9 AS is_active FROM customer
   UNION ALL
-  SELECT s_suppkey + 1000000000, s_name, NULL, NULL, s_nationkey, FALSE, 0, TRUE FROM supplier),
+  SELECT -1 - s_suppkey, s_name, NULL, NULL, s_nationkey, FALSE, 0, TRUE FROM supplier),
 silver_customers AS (
   SELECT customer_id, customer, tax_id, city, n_name AS state,
     CASE WHEN n_nationkey <> 24 THEN 'País ' || r_name END AS country,
@@ -212,7 +215,7 @@ EVENTS = """events AS (
   FROM b_order_text WHERE k % 7 = 0 UNION ALL
   SELECT CAST(id AS BIGINT) AS k, k, 'I', 1000000000000 + 10 * k + 4, 'draft'
   FROM b_order_text WHERE k % 21 = 0 UNION ALL
-  SELECT CAST(id AS BIGINT) AS k, k + 10000000000, 'I', 1000000000000 + 10 * k + 5, state
+  SELECT CAST(id AS BIGINT) AS k, -1 - k, 'I', 1000000000000 + 10 * k + 5, state
   FROM b_order_text WHERE k % 11 = 0),
 history AS (
   SELECT k, key, op, lsn, new_state FROM events WHERE lsn > 1000000000000 UNION ALL
@@ -440,6 +443,7 @@ ORACLES: dict[str, str] = {
     "sql_sales_by_territory": T1,
     "sql_top_salespeople": T2,
     "sql_top_products": T3,
+    "sql_top_products_2000": T3.replace("LIMIT 15", "LIMIT 2000"),
     "sql_sales_year_over_year": T4,
     "sql_sales_by_state": T5,
     "sql_stockout_risk": T6,

@@ -102,7 +102,10 @@ def _foreign_keys(tables: Mapping[str, DataFrame], counts: DataFrame) -> DataFra
         .groupBy("constraint_name", "keyed", "value")
         .agg(F.count("*").alias("n"))
     )
-    known = counts.select("keyed", "value", F.lit(True).alias("known"))
+    # no foreign key looks up order headers, the largest set of keys
+    known = counts.filter(F.col("keyed").isin([d.table for d in DIMENSIONS])).select(
+        "keyed", "value", F.lit(True).alias("known")
+    )
     orphan = F.col("value").isNotNull() & F.col("known").isNull()
     return (
         used.join(known, ["keyed", "value"], "left")

@@ -3,8 +3,9 @@
 ``SELECT * FROM top_products(DATE'1997-01-01', DATE'1997-12-31', p_limit => 5)`` answers
 like the Python function of the same name. Functions and parameters carry Spanish
 comments, because tools choose a function by them. A SQL function cannot take its row
-limit as a parameter of LIMIT, so rankings number their rows; Spark pushes the bound below
-the window when the argument is a literal. Nor may a parameter stand inside an aggregate.
+limit as a parameter of LIMIT, so rankings number their rows, in two steps: within hashed
+parts first, then what each part's first rows leave. The last task sees ``RANK_PARTS`` times
+the limit, however many rows there are. Nor may a parameter stand inside an aggregate.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ class TableFunction:
         )
 
 
+RANK_PARTS = 64
+
 FROM = Parameter("p_from", "DATE", "Primer día del período")
 TO = Parameter("p_to", "DATE", "Último día del período")
 SOLD = (
@@ -87,9 +90,14 @@ def table_functions(today: str = "current_date()") -> tuple[TableFunction, ...]:
               FROM seller JOIN dim_salesperson USING (salesperson_id)
               LEFT JOIN dim_territory USING (territory_id)
               GROUP BY salesperson, territory),
+            dealt AS (
+              SELECT *, row_number() OVER (
+                PARTITION BY pmod(hash(salesperson, territory), {RANK_PARTS})
+                ORDER BY amount DESC, salesperson, territory) AS near
+              FROM named),
             ranked AS (
               SELECT *, row_number() OVER (ORDER BY amount DESC, salesperson, territory) AS place
-              FROM named)
+              FROM dealt WHERE near <= p_limit)
             SELECT salesperson, territory, n AS orders, amount AS sales,
                    CAST(amount / nullif(n, 0) AS DECIMAL(18,2)) AS avg_ticket
             FROM ranked WHERE place <= p_limit ORDER BY place""",
@@ -106,9 +114,14 @@ def table_functions(today: str = "current_date()") -> tuple[TableFunction, ...]:
             named AS (
               SELECT product, category, sum(pieces) AS pieces, sum(amount) AS amount
               FROM item JOIN dim_product USING (product_id) GROUP BY product, category),
+            dealt AS (
+              SELECT *, row_number() OVER (
+                PARTITION BY pmod(hash(product, category), {RANK_PARTS})
+                ORDER BY amount DESC, product, category) AS near
+              FROM named),
             ranked AS (
               SELECT *, row_number() OVER (ORDER BY amount DESC, product, category) AS place
-              FROM named)
+              FROM dealt WHERE near <= p_limit)
             SELECT product, category, pieces AS units, amount AS sales
             FROM ranked WHERE place <= p_limit ORDER BY place""",
         ),

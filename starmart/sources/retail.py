@@ -33,8 +33,17 @@ FILES = {
     "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
 }
 
-SUPPLIER_OFFSET = 1_000_000_000
 TEMPLATE_OFFSET = 500_000
+#: Ids that no customer and no order can have, at any size.
+SUPPLIER_PARTNER = "-1 - s_suppkey"
+#: Some lines share order, number, part and supplier, so the id is 60 bits of a digest of all
+#: columns: two lines may share one by chance, at odds of n * n / 2**61 for n lines.
+LINE_ID = (
+    "CAST(conv(substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+    "CAST(l_quantity AS DECIMAL(18,3)), CAST(l_extendedprice AS DECIMAL(18,2)), "
+    "CAST(l_discount AS DECIMAL(4,2)), CAST(l_tax AS DECIMAL(4,2)), l_returnflag, "
+    "l_linestatus, CAST(l_shipdate AS DATE))), 1, 15), 16, 10) AS BIGINT)"
+)
 
 
 class RetailSource(Mapping):
@@ -92,7 +101,7 @@ class RetailSource(Mapping):
         return (
             self.raw("lineitem")
             .selectExpr(
-                "((l_orderkey * 8 + l_linenumber) * 32768 + l_partkey) * 1024 + l_suppkey AS id",
+                f"{LINE_ID} AS id",
                 "l_orderkey AS order_id",
                 "l_partkey AS product_id",
                 "CAST(l_quantity AS DECIMAL(18,3)) AS product_uom_qty",
@@ -126,7 +135,7 @@ class RetailSource(Mapping):
             "c_custkey % 10 <> 9 AS active",
         )
         suppliers = self.raw("supplier").selectExpr(
-            f"s_suppkey + {SUPPLIER_OFFSET} AS id",
+            f"{SUPPLIER_PARTNER} AS id",
             "s_name AS name",
             "CAST(NULL AS STRING) AS vat",
             "CAST(NULL AS STRING) AS city",
@@ -144,7 +153,7 @@ class RetailSource(Mapping):
     def _res_users(self) -> DataFrame:
         return self.raw("supplier").selectExpr(
             "s_suppkey AS id",
-            f"CASE WHEN s_suppkey % 10 <> 3 THEN s_suppkey + {SUPPLIER_OFFSET} END AS partner_id",
+            f"CASE WHEN s_suppkey % 10 <> 3 THEN {SUPPLIER_PARTNER} END AS partner_id",
             "concat('user', s_suppkey, '@example.com') AS login",
             "s_suppkey % 7 <> 6 AS active",
         )
@@ -282,7 +291,7 @@ def order_changes(orders: DataFrame, snapshot_lsn: int) -> DataFrame:
             event(k % 3 == 0, "U", 2, snapshot_lsn, text("sale"), k),
             event(k % 7 == 0, "D", 3, snapshot_lsn, text(None), k),
             event(k % 21 == 0, "I", 4, snapshot_lsn, text("draft"), k),
-            event(k % 11 == 0, "I", 5, snapshot_lsn, F.col("state"), k + 10**10),
+            event(k % 11 == 0, "I", 5, snapshot_lsn, F.col("state"), -1 - k),
         )
     )
     events = F.when(k % 5 == 0, F.concat(events, events)).otherwise(events)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from starmart.config import MartConfig
 from starmart.operators import assets, gold
+from starmart.plans import scope, sqlfunctions
 from starmart.plans.mart import GOLD, GoldTables, Mart, write_gold
 from starmart.plans.metrics import Between
 from starmart.plans.ventas import VENTAS
@@ -138,6 +139,33 @@ def test_rankings_keep_only_the_top_rows(star):
     assert "Window" not in plan(assets.top_salespeople(star, *YEAR))
 
 
+def test_a_long_ranking_takes_the_top_of_each_part_first(spark, star):
+    sqlfunctions.register(spark, star)
+    top = spark.sql("SELECT * FROM top_products(DATE'1997-01-01', DATE'1997-12-31', 2000)")
+    text = plan(top).split("SinglePartition")[-1]
+    assert "WindowGroupLimit" in text or "Filter (near" in text
+
+
+def test_a_managers_zones_are_broadcast(spark, star):
+    """With many zones and sellers the fact is not shuffled to find the rows of one manager."""
+    many = GoldTables(spark, star.cfg)
+    many.dim_territory = spark.range(200).select(
+        F.col("id").alias("territory_id"), F.lit("z").alias("territory"),
+        F.col("id").alias("manager_id"), F.lit("m").alias("manager"),
+    )
+    many.dim_salesperson = spark.range(20_000).select(
+        F.col("id").alias("salesperson_id"), F.concat(F.lit("u"), "id").alias("email")
+    )
+    text = plan(scope.ScopedStar(many, scope.managed_zones(many, "u7")).fact_sales)
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 2
+
+
+def test_line_ids_are_unique(spark):
+    for size in ("0.001", "0.01", "0.1"):
+        ids = RetailSource(spark, f"/root/testdata/sf{size}")["sale_order_line"].select("id")
+        assert ids.count() == ids.distinct().count(), size
+
+
 def test_fact_files_are_sorted_once(spark, star):
     df = star.fact_sales.hint("rebalance", *gold.FACT_PARTITIONS)
     df = df.sortWithinPartitions(*gold.FACT_PARTITIONS, "sale_date")
