@@ -409,29 +409,33 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
     light = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text"
     )
-    spans = repeated_spans(light, window, gram).toDF("_id", "_key", "_spans")
+    spans = stored(repeated_spans(light, window, gram), "spans").toDF("_id", "_key", "_spans")
 
     @F.pandas_udf("string")
     def rest(texts: pd.Series, spans: pd.Series) -> pd.Series:
         out = []
         for text, found in zip(texts, spans, strict=True):
-            words = text.encode().split() if found is not None else []
-            mask = kept_mask(len(words), found if found is not None else [])
-            kept = b" ".join(w for w, keep in zip(words, mask.tolist(), strict=True) if keep)
-            out.append(kept.decode())
+            if found is None:
+                out.append(None)
+                continue
+            words = text.encode().split()
+            mask = kept_mask(len(words), found)
+            out.append(b" ".join(w for w, keep in zip(words, mask.tolist(), strict=True) if keep).decode())
         return pd.Series(out, dtype=object)
 
     joined = keyed.join(
         spans, (F.col("row.doc_id") == F.col("_id")) & (F.col("key") == F.col("_key")), "left"
     )
-    whole = joined.where("_spans IS NULL").select("row.*")
-    cut = joined.where("_spans IS NOT NULL").withColumn("rest", rest("row.text", "_spans"))
-    cut = cut.where("rest <> ''").withColumn("row", F.col("row").withField("text", F.col("rest")))
-    cut = cut.select("row.*")
+    # texts that lose nothing do not go through Python
+    touched = F.col("_spans").isNotNull()
+    left = joined.withColumn("rest", rest(F.when(touched, F.col("row.text")), "_spans"))
+    left = left.where("_spans IS NULL OR rest <> ''")
+    row = F.col("row").withField("text", F.coalesce("rest", "row.text"))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        cut = cut.withColumn("n_chars", F.length("text").cast(kind))
-    return whole.union(cut)
+        count = F.when(touched, F.length("rest").cast(kind)).otherwise(F.col("row.n_chars"))
+        row = row.withField("n_chars", count)
+    return left.select(row.alias("row")).select("row.*")
 
 
 def op6_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -131,7 +131,14 @@ def test_repeated_passages(docs, empty, monkeypatch, crowd):
     assert pairs(found, "doc_id", "n_words", "n_removed", "kept_sha256") == want
     assert sum(r[2] for r in want) > 250
     assert superkmers.strip_repeats(empty).count() == 0
-    assert superkmers.cut_repeats(docs).columns == docs.columns
+    cut = superkmers.cut_repeats(docs)
+    assert cut.columns == docs.columns
+    left = [(r["doc_id"], hashlib.sha256(" ".join((r["text"] or "").split()).encode()).hexdigest()) for r in cut.collect()]
+    assert sorted(left, key=repr) == sorted(((r[0], r[3]) for r in want if r[1] > r[2] or not r[1]), key=repr)
+    before = {(r[0], r[1]): r[4] for r in _rows()}
+    for r in cut.collect():  # untouched rows keep their count, the others are counted anew
+        assert r["n_chars"] == before.get((r["doc_id"], r["text"]), len(r["text"] or ""))
+    assert superkmers.cut_repeats(empty).count() == 0
 
 
 def test_contamination(spark, docs, empty):
