@@ -16,12 +16,12 @@ from starmart.config import MONEY, MartConfig
 from starmart.functions.text import txt
 from starmart.operators import assets, audit
 from starmart.plans import dashboard, scope, sqlfunctions, vocabulary
-from starmart.plans.mart import Mart
+from starmart.plans.mart import Mart, UncheckedMart
 from starmart.plans.metrics import Between
 from starmart.plans.ventas import VENTAS
 from starmart.session import configure, shared_dir
-from starmart.sources.landing import row_counts
-from starmart.sources.retail import ConformedTables, RetailSource, order_changes
+from starmart.sources.landing import land_table, read_landed, row_counts
+from starmart.sources.retail import ConformedTables, FaultyTables, RetailSource, order_changes
 from starmart.streaming.changes import ChangeLane, apply_changes
 
 # The given orders end on 2001-08-01; questions that read the clock are asked a day later.
@@ -96,6 +96,24 @@ def source_target_reconcile(spark, sf_dir):
     return audit.reconcile(source, ConformedTables(source))
 
 
+def _landed(spark, source, tables) -> dict[str, DataFrame]:
+    """Tables written as JSON Lines to the shared folder and read back as they landed."""
+    folder = f"{shared_dir(spark)}/landed-{uuid.uuid4().hex}"
+    for table in tables:
+        land_table(source[table], table, folder)
+    return {table: read_landed(spark, table, folder) for table in tables}
+
+
+def landing_round_trip(spark, sf_dir):
+    return _landed(spark, _source(spark, sf_dir), ["sale_order"])["sale_order"]
+
+
+def reconcile_faulty(spark, sf_dir):
+    """The source against a landing with rows lost, repeated and added."""
+    source = _bronze(spark, sf_dir)
+    return audit.reconcile(source, _landed(spark, FaultyTables(source), audit.RECONCILED))
+
+
 def company_currency_audit(spark, sf_dir):
     return audit.company_currencies(_bronze(spark, sf_dir))
 
@@ -149,6 +167,15 @@ def constraint_report(spark, sf_dir):
     return _mart(spark, sf_dir).constraint_report()
 
 
+def quality_report_faulty(spark, sf_dir):
+    return Mart(FaultyTables(_bronze(spark, sf_dir)), MartConfig(as_of=AS_OF)).quality_report()
+
+
+def constraint_report_faulty(spark, sf_dir):
+    faulty = FaultyTables(_bronze(spark, sf_dir))
+    return UncheckedMart(faulty, MartConfig(as_of=AS_OF)).constraint_report()
+
+
 # ----------------------------------------------------------------------------- questions
 
 
@@ -251,6 +278,8 @@ QUERIES: dict[str, Query] = {
     "bronze_conform_drift": bronze_conform_drift,
     "contract_conformance": contract_conformance,
     "source_target_reconcile": source_target_reconcile,
+    "reconcile_faulty": reconcile_faulty,
+    "landing_round_trip": landing_round_trip,
     "company_currency_audit": company_currency_audit,
     "bronze_cdc_apply": bronze_cdc_apply,
     "bronze_cdc_stream": bronze_cdc_stream,
@@ -258,6 +287,8 @@ QUERIES: dict[str, Query] = {
     **{name: _view(name) for name in VIEWS},
     "silver_quality_report": silver_quality_report,
     "constraint_report": constraint_report,
+    "quality_report_faulty": quality_report_faulty,
+    "constraint_report_faulty": constraint_report_faulty,
     "sales_by_territory": _asset(assets.sales_by_territory, *YEAR),
     "top_salespeople": _asset(assets.top_salespeople, *YEAR, 10),
     "top_products": _asset(assets.top_products, *YEAR, 15),

@@ -243,6 +243,93 @@ VALUES = """entities AS (
   WHERE value IS NOT NULL)"""
 
 
+def _faulty(name: str, key: str, missing: bool) -> str:
+    """Rows with the planted faults: missing, twice, and again without their key."""
+    gone = f" WHERE {key} % 10 <> 2" if missing else ""
+    return (
+        f"(SELECT * FROM {name}{gone} UNION ALL SELECT * FROM {name} WHERE {key} % 10 = 4 "
+        f"UNION ALL SELECT * REPLACE (NULL AS {key}) FROM {name} WHERE {key} % 10 = 3)"
+    )
+
+
+FAULTY = f"""faulty_silver_salespeople AS {_faulty("silver_salespeople", "salesperson_id", True)},
+faulty_silver_territories AS (
+  SELECT territory_id, territory, manager_id, salesperson AS manager
+  FROM {_faulty("silver_territories", "territory_id", True)} AS t
+  LEFT JOIN faulty_silver_salespeople ON salesperson_id = manager_id),
+faulty_silver_customers AS {_faulty("silver_customers", "customer_id", True)},
+faulty_silver_products AS {_faulty("silver_products", "product_id", True)},
+faulty_silver_orders AS {_faulty("silver_orders", "order_id", False)},
+faulty_silver_order_lines AS (
+  SELECT * FROM silver_order_lines UNION ALL
+  SELECT * REPLACE (NULL AS order_id) FROM silver_order_lines WHERE order_id % 10 = 3),
+faulty_dim_salesperson AS (SELECT * FROM faulty_silver_salespeople),
+faulty_dim_territory AS (SELECT * FROM faulty_silver_territories),
+faulty_dim_customer AS (SELECT * FROM faulty_silver_customers),
+faulty_dim_product AS (SELECT * FROM faulty_silver_products),
+faulty_fact_sales AS (
+  SELECT customer_id, salesperson_id, territory_id, product_id
+  FROM faulty_silver_order_lines JOIN faulty_silver_orders USING (order_id)),
+faulty_fact_inventory AS (SELECT * FROM silver_inventory)"""
+
+
+def _quality(prefix: str = "") -> str:
+    rules = [
+        (f"silver_{view}", f"{one}_has_id", "drop", f"{one}_id IS NULL")
+        for view, one in (
+            ("salespeople", "salesperson"),
+            ("territories", "territory"),
+            ("customers", "customer"),
+            ("products", "product"),
+            ("orders", "order"),
+        )
+    ]
+    unknown = "order_status NOT IN ('draft', 'sent', 'sale', 'cancel', 'done')"
+    rules.append(("silver_orders", "status_is_known", "warn", unknown))
+    rules.append(("silver_order_lines", "line_has_order", "drop", "order_id IS NULL"))
+    return "\nUNION ALL ".join(
+        f"SELECT '{view}' AS view_name, '{name}' AS constraint_name, '{action}' AS action, "
+        f"count(*) AS evaluated, count(*) FILTER (WHERE {fails}) AS failed FROM {prefix}{view}"
+        for view, name, action, fails in rules
+    )
+
+
+def _constraints(prefix: str = "") -> str:
+    keyed = [
+        f"""SELECT '{table}' AS table_name, '{kind}_{name}' AS constraint_name,
+          '{label}' AS kind, count(*) AS checked, {found} AS violations FROM {prefix}{table}"""
+        for table, name, key in (
+            ("dim_customer", "customer", "customer_id"),
+            ("dim_territory", "territory", "territory_id"),
+            ("dim_salesperson", "salesperson", "salesperson_id"),
+            ("dim_product", "product", "product_id"),
+            ("silver_orders", "order", "order_id"),
+        )
+        for kind, label, found in (
+            ("nn", "not_null", f"count(*) - count({key})"),
+            (
+                "pk",
+                "primary_key",
+                f"(SELECT count(*) FROM (SELECT {key} FROM {prefix}{table} "
+                f"WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1) AS d)",
+            ),
+        )
+    ]
+    foreign = [
+        f"""SELECT '{fact}', '{name}', 'foreign_key', count(*),
+          count(*) FILTER (WHERE f.{key} IS NOT NULL AND d.{key} IS NULL)
+          FROM {prefix}{fact} f
+          LEFT JOIN (SELECT DISTINCT {key} FROM {prefix}{dim}) d ON d.{key} = f.{key}"""
+        for fact, name, dim, key in (
+            ("fact_sales", "fk_sales_customer", "dim_customer", "customer_id"),
+            ("fact_sales", "fk_sales_salesperson", "dim_salesperson", "salesperson_id"),
+            ("fact_sales", "fk_sales_territory", "dim_territory", "territory_id"),
+            ("fact_sales", "fk_sales_product", "dim_product", "product_id"),
+            ("fact_inventory", "fk_inventory_product", "dim_product", "product_id"),
+        )
+    ]
+    return "\nUNION ALL ".join(keyed + foreign)
+
 def _two_years(year: int) -> str:
     return _layered(
         f"""
@@ -340,6 +427,20 @@ ORACLES: dict[str, str] = {
         WHERE table_name IN ('sale_order', 'sale_order_line', 'res_partner', 'stock_quant')""",
         SIZES,
     ),
+    "reconcile_faulty": _layered(
+        """
+        SELECT table_name, n AS source_rows, n + added - missing AS target_rows,
+          missing - added AS difference FROM sizes JOIN (
+          SELECT 'sale_order' AS table_name, CAST(0 AS BIGINT) AS missing,
+            count(*) FILTER (WHERE id % 10 IN (3, 4)) AS added FROM b_order UNION ALL
+          SELECT 'sale_order_line', 0, count(*) FILTER (WHERE l_orderkey % 10 = 3)
+          FROM lineitem UNION ALL
+          SELECT 'res_partner', count(*) FILTER (WHERE customer_id % 10 = 2),
+            count(*) FILTER (WHERE customer_id % 10 IN (3, 4)) FROM party UNION ALL
+          SELECT 'stock_quant', 0, 0) AS faults USING (table_name)""",
+        SIZES,
+    ),
+    "landing_round_trip": _layered("SELECT * FROM b_order_text"),
     "company_currency_audit": _layered(
         """
         SELECT c.company_id, company, currency, count(o.id) AS orders,
@@ -378,61 +479,10 @@ ORACLES: dict[str, str] = {
             "sales_metrics",
         )
     },
-    "silver_quality_report": _layered(
-        """
-        SELECT 'silver_salespeople' AS view_name, 'salesperson_has_id' AS constraint_name,
-          'drop' AS action, count(*) AS evaluated,
-          count(*) FILTER (WHERE salesperson_id IS NULL) AS failed FROM silver_salespeople
-        UNION ALL SELECT 'silver_territories', 'territory_has_id', 'drop', count(*),
-          count(*) FILTER (WHERE territory_id IS NULL) FROM silver_territories
-        UNION ALL SELECT 'silver_customers', 'customer_has_id', 'drop', count(*),
-          count(*) FILTER (WHERE customer_id IS NULL) FROM silver_customers
-        UNION ALL SELECT 'silver_products', 'product_has_id', 'drop', count(*),
-          count(*) FILTER (WHERE product_id IS NULL) FROM silver_products
-        UNION ALL SELECT 'silver_orders', 'order_has_id', 'drop', count(*),
-          count(*) FILTER (WHERE order_id IS NULL) FROM silver_orders
-        UNION ALL SELECT 'silver_orders', 'status_is_known', 'warn', count(*),
-          count(*) FILTER (WHERE order_status NOT IN ('draft', 'sent', 'sale', 'cancel', 'done'))
-          FROM silver_orders
-        UNION ALL SELECT 'silver_order_lines', 'line_has_order', 'drop', count(*),
-          count(*) FILTER (WHERE order_id IS NULL) FROM silver_order_lines"""
-    ),
-    "constraint_report": _layered(
-        "\nUNION ALL ".join(
-            [
-                f"""SELECT '{table}' AS table_name, '{kind}_{name}' AS constraint_name,
-                  '{label}' AS kind, count(*) AS checked, {found} AS violations FROM {table}"""
-                for table, name, key in (
-                    ("dim_customer", "customer", "customer_id"),
-                    ("dim_territory", "territory", "territory_id"),
-                    ("dim_salesperson", "salesperson", "salesperson_id"),
-                    ("dim_product", "product", "product_id"),
-                    ("silver_orders", "order", "order_id"),
-                )
-                for kind, label, found in (
-                    ("nn", "not_null", f"count(*) - count({key})"),
-                    (
-                        "pk",
-                        "primary_key",
-                        f"(SELECT count(*) FROM (SELECT {key} FROM {table} "
-                        f"WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1) AS d)",
-                    ),
-                )
-            ]
-            + [
-                f"""SELECT '{fact}', '{name}', 'foreign_key', count(*),
-                  count(*) FILTER (WHERE f.{key} IS NOT NULL AND d.{key} IS NULL)
-                  FROM {fact} f LEFT JOIN {dim} d ON d.{key} = f.{key}"""
-                for fact, name, dim, key in (
-                    ("fact_sales", "fk_sales_customer", "dim_customer", "customer_id"),
-                    ("fact_sales", "fk_sales_salesperson", "dim_salesperson", "salesperson_id"),
-                    ("fact_sales", "fk_sales_territory", "dim_territory", "territory_id"),
-                    ("fact_sales", "fk_sales_product", "dim_product", "product_id"),
-                    ("fact_inventory", "fk_inventory_product", "dim_product", "product_id"),
-                )
-            ]
-        )
-    ),
+    "silver_quality_report": _layered(_quality()),
+    "constraint_report": _layered(_constraints()),
+    "quality_report_faulty": _layered(_quality("faulty_"), FAULTY),
+    "constraint_report_faulty": _layered(_constraints("faulty_"), FAULTY),
     "sales_by_territory": T1,
     "top_salespeople": T2,
     "top_products": T3,

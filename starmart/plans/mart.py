@@ -166,6 +166,13 @@ class Mart(Star):
         return constraints.report(_Named(lambda name: getattr(self, name), (*GOLD, *SILVER)))
 
 
+class UncheckedMart(Mart):
+    """A mart that drops no row: what the key checks would find without the expectations."""
+
+    def checked(self, view: str, observation: Observation | None = None) -> DataFrame:
+        return self.unchecked(view)
+
+
 class _Named(Mapping):
     def __init__(self, get, names) -> None:
         self._get, self._names = get, names

@@ -328,3 +328,44 @@ class ConformedTables(Mapping):
 
     def __len__(self) -> int:
         return len(contract.TABLE_NAMES)
+
+
+#: Tables with planted faults: the column, whether rows go missing, whether rows come twice.
+FAULTY = {
+    "res_users": ("id", True, True),
+    "crm_team": ("id", True, True),
+    "res_partner": ("id", True, True),
+    "product_product": ("id", True, True),
+    "sale_order": ("id", False, True),
+    "sale_order_line": ("order_id", False, False),
+}
+
+
+class FaultyTables(Mapping):
+    """Bronze with faults planted by rule, for checks that must find something.
+
+    With k the value of the column: rows of k % 10 = 3 come again with NULL, rows of
+    k % 10 = 4 come twice and rows of k % 10 = 2 are missing, as ``FAULTY`` says.
+    """
+
+    def __init__(self, bronze: Mapping[str, DataFrame]) -> None:
+        self._bronze = bronze
+
+    def __getitem__(self, table: str) -> DataFrame:
+        df = self._bronze[table]
+        if table not in FAULTY:
+            return df
+        column, missing, twice = FAULTY[table]
+        value, k = F.col(column), F.col(column).cast("bigint") % 10
+        values = F.when(k == 3, F.array(value, F.lit(None).cast("string")))
+        if twice:
+            values = values.when(k == 4, F.array(value, value))
+        if missing:
+            values = values.when(k == 2, F.array().cast("array<string>"))
+        return df.withColumn(column, F.explode(values.otherwise(F.array(value))))
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._bronze)
+
+    def __len__(self) -> int:
+        return len(self._bronze)

@@ -21,6 +21,7 @@ from starmart.session import run_jobs
 from starmart.sources.landing import read_landed
 
 # Operations of the feed are I(nsert), U(pdate) and D(elete).
+OPERATIONS = ("I", "U", "D")
 DELETE = "D"
 FEED_SCHEMA = "table STRING, op STRING, lsn BIGINT, commit_ts TIMESTAMP, id STRING, row STRING"
 BEFORE_EVERYTHING = -1
@@ -51,6 +52,9 @@ def apply_changes(
     ``snapshot`` has the contract's columns and reflects the source up to
     ``snapshot_lsn``; changes up to there are already in it and are ignored (C3), so
     applying a feed that overlaps the snapshot, or applying it twice, gives the same rows.
+
+    The changes are read twice, once for their ids alone: an anti-join with few ids leaves
+    the snapshot where it is, which a full outer join with the changes would shuffle.
     """
     newer = changes.filter((F.col("table") == table) & (F.col("lsn") > snapshot_lsn))
     untouched = snapshot.join(newer.select("id").distinct(), "id", "left_anti")
@@ -106,8 +110,9 @@ class ChangeLane:
 
     def _append(self, batch: DataFrame, batch_id: int) -> None:
         """Log the changes of all tables; those asked for are picked when the log is read."""
-        told = F.col("table").isNotNull() & F.col("op").isNotNull() & F.col("lsn").isNotNull()
-        refused = F.raise_error(F.lit("a change without table, operation or log position"))
+        known = F.coalesce(F.col("op").isin(*OPERATIONS), F.lit(False))
+        told = known & F.col("table").isNotNull() & F.col("id").isNotNull() & F.col("lsn").isNotNull()
+        refused = F.raise_error(F.lit("a change without table, id, log position or known operation"))
         checked = F.when(told, F.col("table")).otherwise(refused.cast("string"))
         (
             latest(batch.withColumn("table", checked))

@@ -256,6 +256,22 @@ def test_replayed_batch_replaces_its_folder(spark, tmp_path):
     assert sorted((r.batch, r.lsn, r.table) for r in log.collect()) == [(0, 2, UOM), (1, 3, UOM)]
 
 
+@pytest.mark.parametrize(
+    "spoiled", [{"table": None}, {"op": None}, {"op": "X"}, {"lsn": None}, {"id": None}]
+)
+def test_a_change_that_says_too_little_is_refused(spark, tmp_path, spoiled):
+    record = dict(zip(("table", "op", "lsn", "commit_ts", "id", "row"), change("U", 2, 1, "b")))
+    lane = ChangeLane(spark, str(tmp_path))
+    batch = feed(spark, [change("I", 1, 1, "a"), tuple({**record, **spoiled}.values())])
+    with pytest.raises(Exception, match="a change without table, id"):
+        lane._append(batch, 0)
+
+
+def test_without_a_batch_the_log_is_empty(spark, tmp_path):
+    snap = snapshot(spark, ("1", "one"))
+    assert rows(ChangeLane(spark, str(tmp_path)).current(UOM, snap)) == [("1", "one")]
+
+
 def test_both_lanes_give_the_same_bronze(spark, tmp_path):
     """A reload of the final source equals snapshot plus change log, table by table."""
     source = ConformedTables(RetailSource(spark, SF_DIR))

@@ -23,6 +23,21 @@ def test_query_equals_sql(spark, duck, name):
     assert differences(have, oracle_rows(duck, ORACLES[name])) == []
 
 
+@pytest.mark.parametrize(
+    "name, found",
+    [
+        ("quality_report_faulty", "failed"),
+        ("constraint_report_faulty", "violations"),
+        ("reconcile_faulty", "abs(difference)"),
+    ],
+)
+def test_checks_can_fail(spark, name, found):
+    """Every rule finds some planted fault; stock is the one table that lands whole."""
+    report = entry.queries()[name](spark, SF_DIR)
+    quiet = report.where(f"{found} = 0").collect()
+    assert [r.table_name for r in quiet] == (["stock_quant"] if name == "reconcile_faulty" else [])
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["territory", "manager", "orders", "sales"] and df.count() > 0
