@@ -10,9 +10,9 @@ A :class:`MetricView` is data. ``query`` turns a choice of names into one lazy D
 
 Order counts stay exact through both steps. An order has one header, hence one customer,
 seller, zone, currency and date, so its distinct count adds up over those keys. Products
-differ within an order: with a product dimension there is little to reduce by key, so the
-dimensions are joined first and every group is brought down to one row per order, which
-leaves a plain count. No fact row is expanded for several distinct counts; rows already reduced
+differ within an order: with a product dimension only the product table is joined to fact rows.
+Every group is then brought down to one row per order, next to the keys of whole orders with a
+plain count, and the other tables are joined at that grain. No fact row is expanded for several distinct counts; rows already reduced
 by key may be, where names of customers and currencies are counted together.
 """
 
@@ -263,9 +263,9 @@ class _Question:
                 fact = fact.filter(months_between_dates(*_ends(wanted)))
         return fact
 
-    def _joined(self, rows: DataFrame) -> DataFrame:
-        """Rows with the columns of the dimension tables the question names."""
-        for table in self._tables:
+    def _joined(self, rows: DataFrame, tables: list[Table]) -> DataFrame:
+        """Rows with the columns of these dimension tables that the question names."""
+        for table in tables:
             columns = [d.column for d in self._touched if d.table == table]
             columns += [
                 p.column for p in self.parts if isinstance(p, DistinctNames) and p.table == table
@@ -273,35 +273,42 @@ class _Question:
             named = getattr(self.star, table.table).select(table.key, *dict.fromkeys(columns))
             rows = rows.join(named, table.key, "left")
         for dimension, wanted in self._outer:
-            rows = rows.filter(_condition(F.col(dimension.column), wanted))
+            if dimension.table in tables:
+                rows = rows.filter(_condition(F.col(dimension.column), wanted))
         return rows
 
     def _by_key(self, fact: DataFrame) -> DataFrame:
         """Reduce to foreign keys, join, merge by name."""
         reduced = _aggregate(fact, self._fact_keys, self._numbered(_direct, (Total, Orders)))
-        merged = [
-            _merged(p, getattr(p, "column", ""), f"p{i}").alias(f"p{i}")
-            for i, p in enumerate(self.parts)
-        ]
-        return _aggregate(self._joined(reduced), self._names, merged + self._currency_count())
+        return self._by_name(self._joined(reduced, self._tables))
 
     def _by_order(self, fact: DataFrame) -> DataFrame:
-        """Keys vary within an order: join, reduce every group to its orders, count those."""
+        """Some names vary within an order: join those, reduce to orders, then as by key."""
+        varying = [d.table for d in self._touched if d.within_order]
+        lines = [t for t in self._tables if t in varying]
+        whole = [t for t in self._tables if t not in varying]
+        keys = [k for k in self._fact_keys if k not in {t.key for t in lines}]
+        names = [d.column for d in self.groups if d.table in lines]
         amounts = [p.column for p in self.parts if isinstance(p, Total)]
-        wanted = dict.fromkeys([*self._fact_keys, "order_id", *amounts])
-        once = self._numbered(_of_order, (Total, DistinctNames))
-        if self.currencies:
-            once.append(F.max("currency").alias("currency"))
+        rows = fact.select(*dict.fromkeys([*self._fact_keys, "order_id", *amounts]))
+        grain = list(dict.fromkeys([*names, *keys]))
         per_order = _aggregate(
-            self._joined(fact.select(*wanted)), [*self._names, F.col("order_id")], once
+            self._joined(rows, lines), [*grain, "order_id"], self._numbered(_direct, (Total,))
         )
+        counted = [
+            (F.count("order_id") if isinstance(p, Orders) else _merged(p, "", f"p{i}")).alias(f"p{i}")
+            for i, p in enumerate(self.parts)
+            if isinstance(p, (Total, Orders))
+        ]
+        return self._by_name(self._joined(_aggregate(per_order, grain, counted), whole))
+
+    def _by_name(self, rows: DataFrame) -> DataFrame:
+        """Merge rows reduced by key whose names are equal."""
         merged = [
-            (F.count("order_id") if isinstance(p, Orders) else _merged(p, f"p{i}", f"p{i}"))
-            .alias(f"p{i}")
+            _merged(p, getattr(p, "column", ""), f"p{i}").alias(f"p{i}")
             for i, p in enumerate(self.parts)
         ]
-        groups = [f"g{i}" for i in range(len(self.groups))]
-        return _aggregate(per_order, groups, merged + self._currency_count())
+        return _aggregate(rows, self._names, merged + self._currency_count())
 
 
 def _about(member: Dimension | Measure) -> dict[str, str]:
@@ -321,11 +328,6 @@ def _direct(part) -> Column:
     return F.count_distinct("order_id")
 
 
-def _of_order(part) -> Column:
-    """The part within one order, where a name has a single value."""
-    return F.max(part.column) if isinstance(part, DistinctNames) else _direct(part)
-
-
 def _merged(part, name: str, partial: str) -> Column:
     """The part over rows that were already aggregated by key."""
     if isinstance(part, Total):

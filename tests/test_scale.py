@@ -114,7 +114,37 @@ def test_only_named_dimensions_are_joined(star):
 def test_the_fact_is_aggregated_before_any_join_or_shuffle(star, conf, question):
     """Between the scan of the fact and the first exchange above it stands an aggregate."""
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    text = plan(question(star)).splitlines()
+    first = next(ln for ln in above_fact(question(star)) if re.search(STEPS, ln))
+    assert "Aggregate" in first and ("partial_" in first or "functions=[]" in first)
+
+
+@pytest.mark.parametrize(
+    "dimensions, measures, tables",
+    [
+        (["Producto", "Categoria"], ["Pedidos", "Clientes", "Venta"], 2),
+        (["Ciudad", "Categoria"], ["Pedidos", "Venta"], 2),
+        (["Zona", "Vendedor", "Producto"], ["Pedidos", "Clientes"], 4),
+    ],
+)
+def test_only_products_are_joined_to_fact_rows(star, conf, dimensions, measures, tables):
+    """One join below the first aggregate, the other tables after the second."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    steps = re.findall(
+        "Join|Aggregate",
+        " ".join(
+            ln.split("(")[0] for ln in above_fact(VENTAS.query(star, dimensions, measures))
+        ),
+    )
+    assert steps.count("Join") == tables
+    assert steps.index("Aggregate") == 1 and steps[1:].index("Join") >= 4
+
+
+STEPS = r"Exchange|Join|Aggregate"
+
+
+def above_fact(question) -> list[str]:
+    """The plan's nodes from the scan of the fact upwards."""
+    text = plan(question).splitlines()
     (at,) = [i for i, ln in enumerate(text) if "FileScan" in ln and "fact_sales[" in ln]
     above = []
     depth = len(re.match(r"[ :|+\-]*", text[at]).group())
@@ -123,8 +153,7 @@ def test_the_fact_is_aggregated_before_any_join_or_shuffle(star, conf, question)
         if here < depth:
             depth = here
             above.append(ln)
-    first = next(ln for ln in above if re.search(r"Exchange|Join|Aggregate", ln))
-    assert "Aggregate" in first and ("partial_" in first or "functions=[]" in first)
+    return above
 
 
 def test_distinct_counts_do_not_expand_rows(star):
