@@ -332,6 +332,7 @@ QUERIES: dict[str, Query] = {
         ["venta", "venta_con_impuesto", "ticket_promedio"],
     ),
     "mv_currency_check": _ventas(["Zona"], ["Venta"], ["venta"], currencies="flag"),
+    "mv_this_year": _ventas(["Zona"], ["Pedidos", "Venta"], ["venta"], this_year=True),
     "mv_yoy_pivot": mv_yoy_pivot,
     "mv_top_products_in_zone": mv_top_products_in_zone,
     "mv_lowest_states": _ventas(

@@ -546,6 +546,11 @@ ORACLES: dict[str, str] = {
         SELECT territory AS zona, {SUM_SALES} AS venta, count(DISTINCT currency) AS currencies
         FROM ventas GROUP BY territory"""
     ),
+    "mv_this_year": _layered(
+        f"""
+        SELECT territory AS zona, count(DISTINCT order_id) AS pedidos, {SUM_SALES} AS venta
+        FROM ventas WHERE sale_year = 2001 GROUP BY territory"""
+    ),
     "mv_yoy_pivot": _two_years(2001),
     "mv_top_products_in_zone": _layered(
         f"""

@@ -25,11 +25,16 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.config import current_year
 from starmart.functions.numbers import change_pct
 from starmart.operators.gold import Dimension as Table
 from starmart.plans.mart import Star
 
 
+#: Columns of the fact that say when a sale was.
+PERIODS = ("sale_date", "sale_year", "month_start")
+
+
 class MetricError(ValueError):
     """A question that the metric view does not answer, such as a measure in a filter."""
 
@@ -156,6 +161,7 @@ class MetricView:
         order_by: Sequence[tuple[str, str]] = (),
         limit: int | None = None,
         currencies: str | None = None,
+        this_year: bool = False,
     ) -> DataFrame:
         """Measures at the grain of ``dimensions``.
 
@@ -163,12 +169,17 @@ class MetricView:
         function of its column. ``order_by`` lists ``(name, "asc" | "desc")``; the
         dimensions follow as tie-breakers. ``currencies="flag"`` adds the number of
         distinct currencies in each group; with ``"raise"`` the job fails if a group mixes them.
+        With ``this_year`` a question without a condition on the period is about the calendar
+        year of the star's reference date (M13).
         """
         if not dimensions and not measures:
             raise MetricError("name at least one dimension or measure")
         groups = [self.dimension(n) for n in dimensions]
         chosen = [self.measure(n) for n in measures]
         conditions = [(self.dimension(n), wanted) for n, wanted in (where or {}).items()]
+        if this_year and not any(d.column in PERIODS for d, _ in conditions):
+            day = next(d for d in self.dimensions if d.column == "sale_date")
+            conditions.append((day, Between(*current_year(star.cfg.as_of))))
         if currencies not in (None, "flag", "raise"):
             raise MetricError(f"currencies must be None, 'flag' or 'raise', not {currencies!r}")
         known = {*dimensions, *measures}

@@ -18,7 +18,7 @@ from starmart import contract
 from starmart.config import MartConfig
 from starmart.plans.mart import write_table
 from starmart.session import run_jobs
-from starmart.sources.landing import read_landed
+from starmart.sources.landing import land_table, read_landed
 
 # Operations of the feed are I(nsert), U(pdate) and D(elete).
 OPERATIONS = ("I", "U", "D")
@@ -151,3 +151,22 @@ class ChangeLane:
             write_table(self.current(table, snapshot, snapshot_lsn), cfg.table("bronze", table))
 
         run_jobs({table: partial(replace, table) for table in self._tables})
+
+    def advance(
+        self, landed: str, target: str, position: int, snapshot_lsn: int = BEFORE_EVERYTHING
+    ) -> dict[str, int]:
+        """Land the snapshot as of ``position`` in a new folder; returns the rows per table.
+
+        The feed must be complete up to ``position``. Read with that position, the new
+        snapshot gives the same Bronze, and the filter on the log position, which reaches
+        the Parquet scan, skips what it already holds.
+        """
+        if target.rstrip("/") == landed.rstrip("/"):
+            raise ValueError("the new snapshot needs a folder of its own")
+
+        def land(table: str) -> int:
+            snapshot = read_landed(self._spark, table, landed)
+            known = self.changes().filter(F.col("lsn") <= position)
+            return land_table(apply_changes(snapshot, known, table, snapshot_lsn), table, target)
+
+        return run_jobs({table: partial(land, table) for table in self._tables})

@@ -53,3 +53,11 @@ def test_load_build_and_changes(spark, bronze, tmp_path, capsys):
     assert main(["apply", "--lane", lane, "--folder", landed, "--bronze-schema", lake]) == 0
     assert spark.table(f"{lake}.sale_order_line").count() == 0
     assert spark.table(f"{lake}.sale_order").count() == 1
+
+    later = str(tmp_path / "later")
+    advance = ["advance", "--lane", lane, "--folder", landed, "--new-folder", later, "--position"]
+    assert main([*advance, "5"]) == 0
+    again = ["apply", "--lane", lane, "--folder", later, "--bronze-schema", lake]
+    assert main([*again, "--snapshot-lsn", "5"]) == 0
+    assert spark.table(f"{lake}.sale_order_line").count() == 0
+    assert spark.table(f"{lake}.sale_order").count() == 1

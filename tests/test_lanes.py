@@ -272,6 +272,18 @@ def test_without_a_batch_the_log_is_empty(spark, tmp_path):
     assert rows(ChangeLane(spark, str(tmp_path)).current(UOM, snap)) == [("1", "one")]
 
 
+@pytest.mark.parametrize("position", [0, 2, 3, 5])
+def test_a_snapshot_moved_forward_gives_the_same_bronze(spark, tmp_path, position):
+    lane = ChangeLane(spark, str(tmp_path / "lane"), [UOM])
+    landing.land_table(snapshot(spark, ("1", "one"), ("2", "two")), UOM, str(tmp_path / "a"))
+    lane._append(feed(spark, [change("U", 1, 1, "b"), change("D", 2, 2), change("I", 3, 3, "c")]), 0)
+    lane._append(feed(spark, [change("U", 4, 1, "d"), change("D", 5, 3)]), 1)
+    before = landing.read_landed(spark, UOM, str(tmp_path / "a"))
+    lane.advance(str(tmp_path / "a"), str(tmp_path / "b"), position)
+    after = landing.read_landed(spark, UOM, str(tmp_path / "b"))
+    assert rows(lane.current(UOM, after, position)) == rows(lane.current(UOM, before)) == [("1", "d")]
+
+
 def test_both_lanes_give_the_same_bronze(spark, tmp_path):
     """A reload of the final source equals snapshot plus change log, table by table."""
     source = ConformedTables(RetailSource(spark, SF_DIR))
