@@ -18,9 +18,11 @@ def duck():
 
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query_equals_sql(spark, duck, name):
+    """A query that SQL cannot express has a brute-force test beside its operator."""
     have = spark_rows(entry.queries()[name](spark, SF_DIR))
     assert have[1], "no rows"
-    assert differences(have, oracle_rows(duck, ORACLES[name])) == []
+    if name in ORACLES:
+        assert differences(have, oracle_rows(duck, ORACLES[name])) == []
 
 
 @pytest.mark.parametrize(
