@@ -30,5 +30,6 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op4_multiindex": multiindex.ORACLE,
+    "op6_superkmers": superkmers.ORACLE,
     "op10_contamination": contamination.ORACLE,
 }

@@ -441,3 +441,25 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Data
 def op6_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return strip_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+#: The contract in SQL, by a digest of every window.
+ORACLE = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS digest
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM texts) AS starts),
+firsts AS (SELECT digest, min(doc_id) AS first_doc FROM windows GROUP BY digest),
+covered AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p
+  FROM windows JOIN firsts USING (digest) WHERE doc_id > first_doc),
+kept AS (
+  SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS rest
+  FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM texts) AS w
+  ANTI JOIN covered USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+  CAST(len(ws) - coalesce(n_kept, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(rest, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""
