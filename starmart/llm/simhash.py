@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.llm.common import as_row, components, stored, table
@@ -158,9 +158,14 @@ def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFram
     leave one.
     """
     classes = stored(near_classes(docs, shingle, max_bits), "classes")
-    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key")
     # a component without any id is named by its fingerprint
     by = ["component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint"))]
+    return first_rows(docs, classes, by)
+
+
+def first_rows(docs: DataFrame, classes: DataFrame, by: list[Column | str]) -> DataFrame:
+    """The rows of ``docs`` that come first in each class of ``doc_id, text_key`` rows."""
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_key")
     chosen = classes.groupBy(*by).agg(F.min(order).alias("o")).select("o.doc_id", "o.text_key")
     copies = classes.groupBy("doc_id", "text_key").agg(F.count("*").alias("n"))
     same = lambda x, y: x["doc_id"].eqNullSafe(y["doc_id"]) & (x["text_key"] == y["text_key"])

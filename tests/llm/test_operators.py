@@ -103,6 +103,45 @@ def test_simhash_links_in_crowds(spark, monkeypatch, crowd):
     assert {tuple(r) for r in simhash.links(frame).collect()} == want
 
 
+def edited(text: str, places) -> str:
+    words = text.split()
+    for k in places:
+        words[k] = f"edit{k}"
+    return " ".join(words)
+
+
+def grams(text: str | None) -> frozenset[str]:
+    words = (text or "").lower().split()
+    return frozenset(" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def test_near_duplicate_stage(spark):
+    import corpus_pipeline
+
+    rows = [(i, t) for i, t, *_ in _rows()]
+    for k in range(30):
+        base, at = prose(100 + k, 300), random.Random(k).sample(range(10, 290), 8)
+        rows += [(100 + 10 * k, base)] + [(101 + 10 * k + n, edited(base, at[: 2 * n + k % 3])) for n in range(4)]
+    crowd = prose(77, 250)  # more copies than are alike pair by pair
+    rows += [(1000 + n, edited(crowd, random.Random(n).sample(range(250), 1 + n % 7))) for n in range(120)]
+    sets = [grams(t) for _, t in rows]
+    alike = lambda x, y: x == y or 10 * len(x & y) >= 8 * len(x | y)
+    first = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if alike(sets[a], sets[b]) and first[a] != first[b]:
+                least, most = sorted((first[a], first[b]))
+                first = [least if x == most else x for x in first]
+    ids = [float("inf") if i is None else i for i, _ in rows]
+    want = sorted(min(i for i, f in zip(ids, first, strict=True) if f == c) for c in set(first))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = corpus_pipeline.near_duplicates(spark, frame, "")
+    assert kept.columns == frame.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == want
+    assert len(want) < len(set(sets)) - 60
+    assert corpus_pipeline.near_duplicates(spark, frame.limit(0), "").count() == 0
+
+
 def brute_strip(rows: list[tuple]) -> list[tuple]:
     first: dict[bytes, int] = {}
     for i, text, *_ in rows:
