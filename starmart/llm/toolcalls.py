@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from starmart.llm.common import table
+from starmart.llm.common import stored, table
 
 CALLS = (
     "struct<tool_calls:array<struct<id:string,name:string,arguments:variant,after:array<string>>>>"
 )
 RESULT = "struct<tool_call_id:string,content:string>"
+#: Turns of one block.
+TURNS = 1024
 SCHEMA = "name string, field string, type string, required boolean, max_length int, minimum double"
 
 
@@ -99,22 +101,67 @@ def validated(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     )
 
 
-def ordered(calls: str) -> str:
-    """SQL: the rank of each call of an array, NULL for calls that wait in a circle.
+def ranked(calls: DataFrame) -> DataFrame:
+    """``r_key, r_call, rank`` of each call; the rank is NULL for calls that wait in a circle.
 
-    Round by round, the calls whose predecessors all have a rank get the round's number.
-    Identifiers that name no call of the conversation are not waited for.
+    The rank is the length of the longest chain of calls up to this one. Every call has rows
+    ``(of, floor)``: its rank is at least ``floor`` above that of the call ``of``, or at least
+    ``floor`` if ``of`` is NULL. In each round a row's call is replaced by what that call waits
+    for itself, if it is one call at most, so a chain's reach doubles; rounds end when none
+    gets its rank. Identifiers that name no call of the conversation are not waited for.
     """
-    waits = (
-        f"transform({calls}, c -> transform(filter(c.after, a -> exists({calls}, o -> o.id = a)), "
-        f"a -> int(array_position(transform({calls}, o -> o.id), a) - 1)))"
+    key = F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit("null"))
+    known = calls.select(key.alias("key"), F.col("call_id").alias("id"))
+    waits = calls.select(
+        key.alias("key"), F.col("call_id").alias("id"), F.explode("after").alias("of")
+    ).distinct()
+    waits = waits.join(known.withColumnRenamed("id", "of"), ["key", "of"], "left_semi")
+    none = F.lit(None).cast("string")
+    rows = waits.select("key", "id", "of", F.lit(1).cast("bigint").alias("floor")).union(
+        known.select("key", "id", none, F.lit(1).cast("bigint"))
     )
-    return (
-        f"transform(array({waits}), w -> aggregate(sequence(1, size(w)), "
-        "transform(w, x -> cast(NULL AS int)), (rank, round) -> "
-        "if(forall(rank, x -> x IS NOT NULL), rank, transform(w, (x, i) -> "
-        "CASE WHEN rank[i] IS NOT NULL THEN rank[i] "
-        "WHEN forall(x, d -> rank[d] IS NOT NULL) THEN round END))))[0]"
+    rows, open_before = stored(rows, "waits"), -1
+    while True:
+        state = rows.groupBy("key", "id").agg(
+            F.count("of").alias("open"),
+            F.max(F.when(F.col("of").isNull(), F.col("floor"))).alias("rank"),
+            F.max("of").alias("next"),
+            F.max(F.when(F.col("of").isNotNull(), F.col("floor"))).alias("step"),
+        )
+        n_open = rows.where("of IS NOT NULL").select("key", "id").distinct().count()
+        if n_open in (0, open_before):
+            break
+        open_before = n_open
+        before = state.select(
+            "key", F.col("id").alias("of"), "open", "rank", "next", "step"
+        )
+        # circles would go on growing; no chain has 2^40 calls
+        put = "least({}, 1099511627776L)"
+        moved = (
+            rows.where("of IS NOT NULL")
+            .join(before, ["key", "of"])
+            .select(
+                "key",
+                "id",
+                F.explode(
+                    F.expr(
+                        "CASE WHEN open > 1 THEN array(named_struct('of', of, 'floor', floor)) "
+                        f"WHEN open = 1 THEN array(named_struct('of', next, 'floor', {put.format('floor + step')}), "
+                        f"named_struct('of', CAST(NULL AS STRING), 'floor', {put.format('floor + rank')})) "
+                        f"ELSE array(named_struct('of', CAST(NULL AS STRING), 'floor', {put.format('floor + rank')})) END"
+                    )
+                ).alias("e"),
+            )
+            .select("key", "id", "e.of", "e.floor")
+        )
+        rows = stored(
+            rows.where("of IS NULL").union(moved).groupBy("key", "id", "of").agg(F.max("floor").alias("floor")),
+            "waits",
+        )
+    return state.select(
+        F.col("key").alias("r_key"),
+        F.col("id").alias("r_call"),
+        F.when(F.col("open") == 0, F.col("rank")).alias("rank"),
     )
 
 
@@ -124,76 +171,58 @@ def link_calls(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     ``conv_id, n_calls, n_linked, n_invalid, n_circular, n_orphans, canonical``. Calls are
     listed by rank, turn and place; calls that wait in a circle come last, marked. A call
     without result is unlinked, a result without call an orphan; of several results the first
-    counts. Texts that are NULL, empty or no such JSON hold neither. Messages with a NULL
-    ``conv_id`` are one conversation; identifiers that are NULL are skipped.
+    counts. Texts that are NULL, empty or no such JSON hold neither. Calls and results with a
+    NULL ``conv_id`` link with each other, but belong to no conversation: each call, and each
+    orphan, has a row of its own. Identifiers that are NULL are skipped.
     """
-    calls = validated(calls_of(messages), schemas)
+    calls = stored(calls_of(messages), "calls")
     results = results_of(messages)
-    both = calls.join(
+    both = validated(calls, schemas).join(
         results,
         calls["conv_id"].eqNullSafe(results["r_conv"]) & (calls["call_id"] == results["r_id"]),
         "full",
     )
-    entry = F.when(
-        F.col("call_id").isNotNull(),
+    key = F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit("null"))
+    ranks = ranked(calls)
+    both = both.join(ranks, (key == ranks["r_key"]) & (F.col("call_id") == ranks["r_call"]), "left")
+    is_call = F.col("call_id").isNotNull()
+    text = F.to_json(
         F.struct(
-            "turn",
-            "nth",
             F.array_sort("after").alias("after"),
             "arguments",
+            F.when(F.col("rank").isNull(), F.lit(True)).alias("circular"),
             "errors",
             F.col("call_id").alias("id"),
             "name",
-            "content",
-            "n_results",
-        ),
-    )
-    grouped = (
-        both.groupBy(F.coalesce("conv_id", "r_conv").alias("conv_id"))
-        .agg(
-            F.collect_list(entry).alias("listed"),
-            F.array_sort(F.collect_list(F.when(F.col("call_id").isNull(), F.col("r_id")))).alias(
-                "orphans"
-            ),
-        )
-        .withColumn(
-            "calls",
-            F.expr(
-                "array_sort(listed, (a, b) -> CASE WHEN a.turn < b.turn THEN -1 "
-                "WHEN a.turn > b.turn THEN 1 ELSE int(a.nth - b.nth) END)"
-            ),
-        )
-        .withColumn(
-            "rank",
-            F.when(F.size("calls") > 0, F.expr(ordered("calls"))).otherwise(
-                F.array().cast("array<int>")
-            ),
+            F.col("content").alias("result"),
+            "turn",
         )
     )
-    listed = F.expr(
-        "array_sort(transform(calls, (c, i) -> named_struct('rank', coalesce(rank[i], 2147483647), "
-        "'at', i)))"
+    entry = F.struct(
+        F.coalesce("rank", F.lit(2**62)).alias("rank"), "turn", "nth", "call_id", text.alias("text")
     )
-    items = F.expr(
-        "transform(places, p -> transform(array(calls[p.at]), c -> named_struct("
-        "'after', c.after, 'arguments', c.arguments, "
-        "'circular', if(p.rank = 2147483647, true, NULL), 'errors', c.errors, 'id', c.id, "
-        "'name', c.name, 'result', c.content, 'turn', c.turn))[0])"
+    conv = F.coalesce("conv_id", "r_conv")
+    count = lambda x: F.count(F.when(is_call & x, 1)).cast("int")
+    grouped = both.groupBy(
+        conv.alias("conv_id"), F.when(conv.isNull(), F.coalesce("call_id", "r_id")).alias("alone")
+    ).agg(
+        count(F.lit(True)).alias("n_calls"),
+        count(F.col("n_results").isNotNull()).alias("n_linked"),
+        count(F.size("errors") > 0).alias("n_invalid"),
+        count(F.col("rank").isNull()).alias("n_circular"),
+        F.array_sort(F.collect_list(F.when(is_call, entry))).alias("listed"),
+        F.array_sort(F.collect_list(F.when(~is_call, F.col("r_id")))).alias("orphans"),
     )
-    return (
-        grouped.withColumn("places", listed)
-        .withColumn("items", items)
-        .select(
-            "conv_id",
-            F.size("calls").alias("n_calls"),
-            F.expr("size(filter(calls, c -> c.n_results IS NOT NULL))").alias("n_linked"),
-            F.expr("size(filter(calls, c -> size(c.errors) > 0))").alias("n_invalid"),
-            F.expr("size(filter(rank, x -> x IS NULL))").alias("n_circular"),
-            F.size("orphans").alias("n_orphans"),
-            F.to_json(F.struct(F.col("items").alias("calls"), "conv_id", "orphans")).alias(
-                "canonical"
-            ),
-        )
+    listed = F.array_join(F.transform("listed", lambda c: c["text"]), ",")
+    rest = F.substr(F.to_json(F.struct("conv_id", "orphans")), F.lit(2))
+    return grouped.select(
+        "conv_id",
+        "n_calls",
+        "n_linked",
+        "n_invalid",
+        "n_circular",
+        F.size("orphans").alias("n_orphans"),
+        F.concat(F.lit('{"calls":['), listed, F.lit("],"), rest).alias("canonical"),
     )
 
 
@@ -201,17 +230,36 @@ def as_messages(conversations: DataFrame) -> DataFrame:
     """Plain conversations as tool traffic: who asks is a caller, who answers a tool.
 
     A system turn calls ``instruct``, a user turn ``ask`` after the caller's turn before;
-    an assistant turn is the result of the nearest such turn above it, or of none.
+    an assistant turn is the result of the nearest such turn with a lower number, or of none.
     """
-    by = W.partitionBy("conv_id").orderBy("turn")
     own = F.when(F.col("role") != "assistant", F.concat(F.lit("call-"), F.col("turn").cast("string")))
     rows = (
         conversations.where("turn IS NOT NULL AND role IS NOT NULL")
         .select("conv_id", "turn", "role", "text")
         .withColumn("own", own)
-        .withColumn(
-            "above", F.last("own", True).over(by.rowsBetween(W.unboundedPreceding, -1))
-        )
+    )
+    # within blocks of turns, then over blocks, so that no long conversation is one task's work
+    turns = (
+        rows.groupBy("conv_id", "turn")
+        .agg(F.max(F.when(F.col("own").isNotNull(), F.col("turn"))).alias("asks"))
+        .withColumn("block", F.expr(f"turn div {TURNS}"))
+    )
+    inside = W.partitionBy("conv_id", "block").orderBy("turn").rowsBetween(W.unboundedPreceding, -1)
+    over = W.partitionBy("conv_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    blocks = turns.groupBy("conv_id", "block").agg(F.max("asks").alias("top")).select(
+        F.col("conv_id").alias("b_conv"),
+        F.col("block").alias("b_block"),
+        F.last("top", True).over(over).alias("earlier"),
+    )
+    turns = turns.withColumn("near", F.last("asks", True).over(inside)).join(
+        blocks, F.col("conv_id").eqNullSafe(F.col("b_conv")) & (F.col("block") == F.col("b_block"))
+    )
+    above = F.concat(F.lit("call-"), F.coalesce("near", "earlier").cast("string"))
+    turns = turns.select(
+        F.col("conv_id").alias("t_conv"), F.col("turn").alias("t_turn"), above.alias("above")
+    )
+    rows = rows.join(
+        turns, F.col("conv_id").eqNullSafe(F.col("t_conv")) & (F.col("turn") == F.col("t_turn"))
     )
     call = F.to_json(
         F.struct(

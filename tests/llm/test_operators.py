@@ -361,6 +361,31 @@ def test_tool_calls(spark):
     assert found[1]["canonical"] == json.dumps(first, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
+def test_call_ranks_and_calls_without_conversation(spark):
+    rng = random.Random(5)
+    after = {f"c{i:03d}": [f"c{j:03d}" for j in range(i) if rng.random() < 0.05] for i in range(80)}
+    after |= {f"k{i:03d}": [f"k{i - 1:03d}"] for i in range(1, 150)} | {"k000": ["gone"]}
+    after |= {"x": ["y", "c001"], "y": ["x"], "z": ["x"], "self": ["self"]}
+    want: dict[str, int] = {}
+    for _ in after:
+        for i, waits in after.items():
+            waits = [w for w in waits if w in after]
+            if all(w in want for w in waits):
+                want[i] = 1 + max((want[w] for w in waits), default=0)
+    rows = [(conv, i, waits) for conv in (1, None) for i, waits in after.items()]
+    calls = spark.createDataFrame(rows, "conv_id bigint, call_id string, after array<string>")
+    found = [tuple(r) for r in toolcalls.ranked(calls).collect()]
+    assert sorted(found, key=repr) == sorted(((k, i, want.get(i)) for k in ("c1", "null") for i in after), key=repr)
+
+    one = lambda i: {"id": i, "name": "ask", "arguments": {"turn": 1, "prompt": ""}, "after": []}
+    messages = [(None, k, "assistant", json.dumps({"tool_calls": [one(f"n{k}")]})) for k in range(3)]
+    messages += [(None, 9, "tool", json.dumps({"tool_call_id": i, "content": "ok"})) for i in ("n1", "lost")]
+    frame = spark.createDataFrame(messages, "conv_id bigint, turn bigint, role string, text string")
+    linked = toolcalls.link_calls(frame, toolcalls.conversation_tools(spark)).collect()
+    counts = sorted((r["n_calls"], r["n_linked"], r["n_orphans"]) for r in linked)
+    assert counts == [(0, 0, 1), (1, 0, 0), (1, 0, 0), (1, 1, 0)]
+
+
 def test_pipeline_stages_keep_columns(spark, docs):
     import corpus_pipeline
 
