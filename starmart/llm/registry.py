@@ -5,6 +5,7 @@ from __future__ import annotations
 from starmart.llm import (
     contamination,
     language,
+    lattice,
     licenses,
     mixing,
     multiindex,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_quality": quality.op9_quality,
     "op10_contamination": contamination.op10_contamination,
+    "op11_lattice": lattice.op11_lattice,
 }
 
 ORACLES: dict[str, str] = {
