@@ -9,6 +9,7 @@ from starmart.llm import (
     licenses,
     mixing,
     multiindex,
+    negatives,
     quality,
     simhash,
     superkmers,
@@ -28,10 +29,12 @@ QUERIES = {
     "op9_quality": quality.op9_quality,
     "op10_contamination": contamination.op10_contamination,
     "op11_lattice": lattice.op11_lattice,
+    "op13_negatives": negatives.op13_negatives,
 }
 
 ORACLES: dict[str, str] = {
     "op4_multiindex": multiindex.ORACLE,
     "op6_superkmers": superkmers.ORACLE,
     "op10_contamination": contamination.ORACLE,
+    "op13_negatives": negatives.ORACLE,
 }
