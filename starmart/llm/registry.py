@@ -12,6 +12,7 @@ from starmart.llm import (
     negatives,
     quality,
     simhash,
+    structure,
     superkmers,
     toolcalls,
     toxicity,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_quality": quality.op9_quality,
     "op10_contamination": contamination.op10_contamination,
     "op11_lattice": lattice.op11_lattice,
+    "op12_structure": structure.op12_structure,
     "op13_negatives": negatives.op13_negatives,
 }
 
@@ -36,5 +38,6 @@ ORACLES: dict[str, str] = {
     "op4_multiindex": multiindex.ORACLE,
     "op6_superkmers": superkmers.ORACLE,
     "op10_contamination": contamination.ORACLE,
+    "op12_structure": structure.ORACLE,
     "op13_negatives": negatives.ORACLE,
 }
