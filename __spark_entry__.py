@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from contextlib import suppress
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +17,10 @@ from starmart.config import MONEY, MartConfig
 from starmart.functions.text import txt
 from starmart.operators import assets, audit
 from starmart.plans import dashboard, scope, sqlfunctions, vocabulary
-from starmart.plans.mart import Mart, UncheckedMart
+from starmart.plans.mart import CatalogTables, Mart, UncheckedMart, write_table
 from starmart.plans.metrics import Between
 from starmart.plans.ventas import VENTAS
+from starmart.plans.versions import Publication
 from starmart.session import configure, shared_dir
 from starmart.sources.landing import land_table, read_landed, row_counts
 from starmart.sources.retail import ConformedTables, FaultyTables, RetailSource, order_changes
@@ -134,6 +136,39 @@ def bronze_cdc_stream(spark, sf_dir):
     return lane.current("sale_order", orders, SNAPSHOT_LSN)
 
 
+def bronze_versions(spark, sf_dir):
+    """Orders by state for a reader from before and one from after a second publication; a
+    third one, which fails when half of it is written, shows in neither."""
+    source = _bronze(spark, sf_dir)
+    orders = source["sale_order"]
+    changes = order_changes(orders, SNAPSHOT_LSN)
+    later = apply_changes(orders, changes, "sale_order", SNAPSHOT_LSN)
+    name = f"bronze_{uuid.uuid4().hex}"
+    layer = Publication(spark, name, f"{shared_dir(spark)}/{name}")
+    cfg, tables = MartConfig(bronze_schema=name), ("sale_order", "res_currency")
+
+    def publish(rows: DataFrame, currencies: Callable[[], DataFrame]) -> CatalogTables:
+        layer.publish({"sale_order": lambda: rows, "res_currency": currencies}, write_table)
+        return CatalogTables(spark, cfg, "bronze", tables)
+
+    def broken() -> DataFrame:
+        raise LookupError("no currencies")
+
+    readers = {"before": publish(orders, lambda: source["res_currency"])}
+    publish(later, lambda: source["res_currency"])
+    with suppress(LookupError):
+        publish(orders.limit(0), broken)
+    readers["after"] = CatalogTables(spark, cfg, "bronze", tables)
+    parts = [
+        reader["sale_order"]
+        .groupBy("state")
+        .agg(F.count("*").alias("orders"), F.sum(F.col("amount_total").cast(MONEY)).cast(MONEY).alias("amount"))
+        .select(F.lit(when).alias("reader"), "*")
+        for when, reader in readers.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 # ------------------------------------------------------------------------------ Silver
 
 
@@ -283,6 +318,7 @@ QUERIES: dict[str, Query] = {
     "company_currency_audit": company_currency_audit,
     "bronze_cdc_apply": bronze_cdc_apply,
     "bronze_cdc_stream": bronze_cdc_stream,
+    "bronze_versions": bronze_versions,
     "localized_text": localized_text,
     **{name: _view(name) for name in VIEWS},
     "silver_quality_report": silver_quality_report,

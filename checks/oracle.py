@@ -452,6 +452,15 @@ ORACLES: dict[str, str] = {
     ),
     "bronze_cdc_apply": CDC,
     "bronze_cdc_stream": CDC,
+    "bronze_versions": _layered(
+        """
+        SELECT reader, state, count(*) AS orders,
+          CAST(sum(CAST(amount_total AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS amount
+        FROM (SELECT 'before' AS reader, state, amount_total FROM b_order_text
+          UNION ALL SELECT 'after', state, amount_total FROM final) AS both_times
+        GROUP BY reader, state""",
+        EVENTS,
+    ),
     "localized_text": _layered(
         """
         SELECT 'crm_team' AS table_name, territory_id AS id, territory AS text FROM dim_territory

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starmart import contract
 from starmart.config import MartConfig
 from starmart.plans.mart import CatalogTables, build_all
+from starmart.plans.versions import current_schema
 from starmart.session import configure
 from starmart.sources import landing
 from starmart.sources.jdbc import JdbcSource
@@ -75,7 +76,7 @@ def source_tables(spark: SparkSession, args: argparse.Namespace) -> Mapping[str,
         options = {"url": args.jdbc_url, **options}
         return JdbcSource(spark, options, args.jdbc_partitions, args.jdbc_fetch_size)
     schema = args.source_schema
-    present = contract.introspect_catalog(spark, schema)
+    present = contract.introspect_catalog(spark, current_schema(spark, schema))
     cfg = MartConfig(bronze_schema=schema)
     return CatalogTables(spark, cfg, "bronze", sorted(present))
 

@@ -11,6 +11,7 @@ from starmart import contract
 from starmart.config import MartConfig
 from starmart.functions.text import register_txt
 from starmart.operators import constraints, gold, quality, silver
+from starmart.plans.versions import Publication, current_schema
 from starmart.session import run_jobs
 
 SILVER = (
@@ -188,13 +189,20 @@ class _Named(Mapping):
 
 
 class CatalogTables(Mapping):
-    """Tables of one layer read from the catalog."""
+    """Tables of one layer read from the catalog.
 
-    def __init__(self, spark: SparkSession, cfg: MartConfig, layer: str, names) -> None:
-        self._spark, self._cfg, self._layer, self._names = spark, cfg, layer, tuple(names)
+    All of one version: the one that was current when this was made, or the given one.
+    """
+
+    def __init__(
+        self, spark: SparkSession, cfg: MartConfig, layer: str, names, version: int | None = None
+    ) -> None:
+        self._spark, self._names = spark, tuple(names)
+        schema = cfg.schema(layer)
+        self._schema = f"{schema}_v{version}" if version else current_schema(spark, schema)
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._spark.table(self._cfg.table(self._layer, name))
+        return self._spark.table(f"{self._schema}.{name}")
 
     def __iter__(self) -> Iterator[str]:
         return iter(self._names)
@@ -204,12 +212,16 @@ class CatalogTables(Mapping):
 
 
 class GoldTables(Star):
-    """The star as written by :func:`build_all`; the way to serve questions at scale."""
+    """The star as written by :func:`build_all`; the way to serve questions at scale.
 
-    def __init__(self, spark: SparkSession, cfg: MartConfig) -> None:
+    It stays with the version that was current when it was made, so its tables agree with
+    each other while a rebuild goes on.
+    """
+
+    def __init__(self, spark: SparkSession, cfg: MartConfig, names=GOLD) -> None:
         self.cfg = cfg
-        tables = CatalogTables(spark, cfg, "gold", GOLD)
-        for name in GOLD:
+        tables = CatalogTables(spark, cfg, "gold", names)
+        for name in names:
             setattr(self, name, tables[name])
 
 
@@ -240,13 +252,14 @@ def write_table(
         df.sparkSession.sql(f"COMMENT ON TABLE {name} IS '{quoted}'")
 
 
-def write_gold(df: DataFrame, name: str, cfg: MartConfig) -> None:
+def write_gold(df: DataFrame, name: str) -> None:
     """Write one Gold table; the sales fact by month and, within a file, by day."""
-    by_month = name == "fact_sales"
+    table = name.rpartition(".")[2]
+    by_month = table == "fact_sales"
     write_table(
         df,
-        cfg.table("gold", name),
-        gold.TABLE_COMMENTS[name],
+        name,
+        gold.TABLE_COMMENTS[table],
         gold.FACT_PARTITIONS if by_month else None,
         ["sale_date"] if by_month else None,
     )
@@ -255,29 +268,38 @@ def write_gold(df: DataFrame, name: str, cfg: MartConfig) -> None:
 def build_all(spark: SparkSession, cfg: MartConfig) -> dict[str, dict[str, int]]:
     """Rebuild Silver and Gold from the Bronze tables of the catalog.
 
-    Order: schemas and ``txt``, Silver, constraints, Gold. Silver is written before Gold
-    because each view feeds several tables. Returns the expectation counts per view, taken
-    while the views are written.
+    Order: ``txt``, Silver, constraints, Gold. Silver is written before Gold because each view
+    feeds several tables. Both layers are written as new versions and published at the end,
+    so a rebuild that fails, or whose keys are broken, leaves the ones being read as they
+    are. Returns the expectation counts per view, taken while the views are written.
     """
-    contract.require_tables(contract.introspect_catalog(spark, cfg.schema("bronze")))
-    for layer in ("silver", "gold"):
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {cfg.schema(layer)}")
+    contract.require_tables(
+        contract.introspect_catalog(spark, current_schema(spark, cfg.schema("bronze")))
+    )
     register_txt(spark, cfg.locales)
     mart = Mart(CatalogTables(spark, cfg, "bronze", contract.TABLE_NAMES), cfg)
-    written = CatalogTables(spark, cfg, "silver", SILVER)
+    silver_layer = Publication(spark, cfg.schema("silver"))
+    gold_layer = Publication(spark, cfg.schema("gold"))
+    version = silver_layer.stage()
+    written = CatalogTables(spark, cfg, "silver", SILVER, version)
 
     def write_silver(view: str) -> dict[str, int]:
         observation = Observation(view) if quality.expectations(view) else None
-        write_table(mart.checked(view, observation), cfg.table("silver", view))
+        write_table(mart.checked(view, observation), f"{silver_layer.staged(version)}.{view}")
         # Later views and Gold read what was written instead of recomputing it.
         setattr(mart, view, written[view])
         return observation.get if observation else {}
 
-    # Territories read the salespeople view; the other views stand alone.
-    first, *others = SILVER
-    counts = {first: write_silver(first)}
-    counts.update(run_jobs({view: partial(write_silver, view) for view in others}))
-    # keys are checked before any Gold table is replaced, so broken ones are never served
-    constraints.enforce(mart.constraint_report())
-    run_jobs({name: partial(write_gold, getattr(mart, name), name, cfg) for name in GOLD})
+    try:
+        # Territories read the salespeople view; the other views stand alone.
+        first, *others = SILVER
+        counts = {first: write_silver(first)}
+        counts.update(run_jobs({view: partial(write_silver, view) for view in others}))
+        # keys are checked before Gold is published, so broken ones are never served
+        constraints.enforce(mart.constraint_report())
+        gold_layer.publish({name: partial(getattr, mart, name) for name in GOLD}, write_gold)
+    except BaseException:
+        silver_layer.discard(version)
+        raise
+    silver_layer.switch(version)
     return counts

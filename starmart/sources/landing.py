@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from starmart import contract
 from starmart.config import MartConfig
 from starmart.plans.mart import write_table
+from starmart.plans.versions import Publication
 from starmart.session import run_jobs
 
 
@@ -56,17 +57,12 @@ def read_landed(spark: SparkSession, table: str, folder: str) -> DataFrame:
     return reader.json(f"{folder}/{table}")
 
 
-def publish(spark: SparkSession, folder: str, cfg: MartConfig) -> None:
-    """Replace every Bronze table with what has landed."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {cfg.schema('bronze')}")
-    run_jobs(
-        {
-            table: partial(
-                write_table, read_landed(spark, table, folder), cfg.table("bronze", table)
-            )
-            for table in contract.TABLE_NAMES
-        }
-    )
+def publish(spark: SparkSession, folder: str, cfg: MartConfig) -> int:
+    """Replace all Bronze tables with what has landed, in one switch."""
+    tables = {
+        table: partial(read_landed, spark, table, folder) for table in contract.TABLE_NAMES
+    }
+    return Publication(spark, cfg.schema("bronze")).publish(tables, write_table)
 
 
 def row_counts(tables: Mapping[str, DataFrame], names: list[str] | None = None) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from starmart import contract
 from starmart.config import MartConfig
 from starmart.plans.mart import write_table
+from starmart.plans.versions import Publication, current_schema
 from starmart.session import run_jobs
 from starmart.sources.landing import land_table, read_landed
 
@@ -143,14 +144,23 @@ class ChangeLane:
     def publish(
         self, landed: str, cfg: MartConfig, snapshot_lsn: int = BEFORE_EVERYTHING
     ) -> None:
-        """Replace the Bronze tables with the landed snapshot plus the log (C4)."""
-        self._spark.sql(f"CREATE SCHEMA IF NOT EXISTS {cfg.schema('bronze')}")
+        """Replace the Bronze tables with the landed snapshot plus the log, in one switch (C4).
 
-        def replace(table: str) -> None:
-            snapshot = read_landed(self._spark, table, landed)
-            write_table(self.current(table, snapshot, snapshot_lsn), cfg.table("bronze", table))
+        Tables that this lane does not take part in stay as they are.
+        """
+        present = current_schema(self._spark, cfg.schema("bronze"))
 
-        run_jobs({table: partial(replace, table) for table in self._tables})
+        def fresh(table: str) -> DataFrame:
+            snapshot = read_landed(self._spark, table, landed)
+            return self.current(table, snapshot, snapshot_lsn)
+
+        kept = {
+            t.name: partial(self._spark.table, f"{present}.{t.name}")
+            for t in (self._spark.catalog.listTables(present) if self._spark.catalog.databaseExists(present) else [])
+            if not t.isTemporary
+        }
+        tables = kept | {table: partial(fresh, table) for table in self._tables}
+        Publication(self._spark, cfg.schema("bronze")).publish(tables, write_table)
 
     def advance(
         self, landed: str, target: str, position: int, snapshot_lsn: int = BEFORE_EVERYTHING

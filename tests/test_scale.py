@@ -27,7 +27,7 @@ def star(spark):
     spark.sql(f"CREATE SCHEMA {cfg.schema('gold')}")
     mart = Mart(ConformedTables(RetailSource(spark, SF_DIR)), cfg)
     for name in GOLD:
-        write_gold(getattr(mart, name), name, cfg)
+        write_gold(getattr(mart, name), cfg.table("gold", name))
     return GoldTables(spark, cfg)
 
 
