@@ -24,6 +24,7 @@ from starmart.plans.versions import Publication
 from starmart.session import configure, shared_dir
 from starmart.sources.landing import land_table, read_landed, row_counts
 from starmart.sources.retail import ConformedTables, FaultyTables, RetailSource, order_changes
+from starmart.streaming.buckets import Buckets, StateLane
 from starmart.streaming.changes import ChangeLane, apply_changes
 
 # The given orders end on 2001-08-01; questions that read the clock are asked a day later.
@@ -136,6 +137,34 @@ def bronze_cdc_stream(spark, sf_dir):
     return lane.current("sale_order", orders, SNAPSHOT_LSN)
 
 
+def bronze_cdc_buckets(spark, sf_dir):
+    """The change feed applied to hash buckets of the id, the later half of it first."""
+    orders = _bronze(spark, sf_dir)["sale_order"]
+    changes = order_changes(orders, SNAPSHOT_LSN)
+    folder = f"{shared_dir(spark)}/buckets-{uuid.uuid4().hex}"
+    bronze = Buckets(spark, folder, tables=["sale_order"], snapshot_lsn=SNAPSHOT_LSN)
+    bronze.load("sale_order", orders)
+    late = F.col("lsn") % 10 > 2
+    bronze.apply(changes.where(late))
+    bronze.apply(changes.where(~late))
+    return bronze.current("sale_order")
+
+
+def bronze_cdc_state(spark, sf_dir):
+    """The feed in two deliveries, each row's latest change held in a state store between them."""
+    orders = _bronze(spark, sf_dir)["sale_order"]
+    changes = order_changes(orders, SNAPSHOT_LSN)
+    folder = f"{shared_dir(spark)}/state-{uuid.uuid4().hex}"
+    bronze = Buckets(spark, folder, tables=["sale_order"], snapshot_lsn=SNAPSHOT_LSN)
+    bronze.load("sale_order", orders)
+    lane = StateLane(spark, folder, bronze)
+    late = F.col("lsn") % 10 > 2
+    for delivery in (late, ~late):
+        changes.where(delivery).write.mode("append").json(f"{folder}/feed")
+        lane.start(ChangeLane(spark, folder).read_feed(f"{folder}/feed")).awaitTermination()
+    return bronze.current("sale_order")
+
+
 def bronze_versions(spark, sf_dir):
     """Orders by state for a reader from before and one from after a second publication; a
     third one, which fails when half of it is written, shows in neither."""
@@ -318,6 +347,8 @@ QUERIES: dict[str, Query] = {
     "company_currency_audit": company_currency_audit,
     "bronze_cdc_apply": bronze_cdc_apply,
     "bronze_cdc_stream": bronze_cdc_stream,
+    "bronze_cdc_buckets": bronze_cdc_buckets,
+    "bronze_cdc_state": bronze_cdc_state,
     "bronze_versions": bronze_versions,
     "localized_text": localized_text,
     **{name: _view(name) for name in VIEWS},

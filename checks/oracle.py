@@ -452,6 +452,8 @@ ORACLES: dict[str, str] = {
     ),
     "bronze_cdc_apply": CDC,
     "bronze_cdc_stream": CDC,
+    "bronze_cdc_buckets": CDC,
+    "bronze_cdc_state": CDC,
     "bronze_versions": _layered(
         """
         SELECT reader, state, count(*) AS orders,

@@ -42,6 +42,14 @@ def latest(changes: DataFrame) -> DataFrame:
     )
 
 
+def checked(changes: DataFrame) -> DataFrame:
+    """The same changes; one that says too little to be applied fails the job."""
+    known = F.coalesce(F.col("op").isin(*OPERATIONS), F.lit(False))
+    told = known & F.col("table").isNotNull() & F.col("id").isNotNull() & F.col("lsn").isNotNull()
+    refused = F.raise_error(F.lit("a change without table, id, log position or known operation"))
+    return changes.withColumn("table", F.when(told, F.col("table")).otherwise(refused.cast("string")))
+
+
 def apply_changes(
     snapshot: DataFrame,
     changes: DataFrame,
@@ -111,12 +119,8 @@ class ChangeLane:
 
     def _append(self, batch: DataFrame, batch_id: int) -> None:
         """Log the changes of all tables; those asked for are picked when the log is read."""
-        known = F.coalesce(F.col("op").isin(*OPERATIONS), F.lit(False))
-        told = known & F.col("table").isNotNull() & F.col("id").isNotNull() & F.col("lsn").isNotNull()
-        refused = F.raise_error(F.lit("a change without table, id, log position or known operation"))
-        checked = F.when(told, F.col("table")).otherwise(refused.cast("string"))
         (
-            latest(batch.withColumn("table", checked))
+            latest(checked(batch))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy("table")
