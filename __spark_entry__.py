@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 from contextlib import suppress
-from functools import lru_cache
+from functools import lru_cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +21,15 @@ from starmart.plans.mart import CatalogTables, Mart, UncheckedMart, write_table
 from starmart.plans.metrics import Between
 from starmart.plans.ventas import VENTAS
 from starmart.plans.versions import Publication
-from starmart.session import configure, shared_dir
+from starmart.session import configure, run_jobs, shared_dir
 from starmart.sources.landing import land_table, read_landed, row_counts
-from starmart.sources.retail import ConformedTables, FaultyTables, RetailSource, order_changes
+from starmart.sources.retail import (
+    AlteredTables,
+    ConformedTables,
+    FaultyTables,
+    RetailSource,
+    order_changes,
+)
 from starmart.streaming.buckets import Buckets, StateLane
 from starmart.streaming.changes import ChangeLane, apply_changes
 
@@ -102,8 +108,7 @@ def source_target_reconcile(spark, sf_dir):
 def _landed(spark, source, tables) -> dict[str, DataFrame]:
     """Tables written as JSON Lines to the shared folder and read back as they landed."""
     folder = f"{shared_dir(spark)}/landed-{uuid.uuid4().hex}"
-    for table in tables:
-        land_table(source[table], table, folder)
+    run_jobs({table: partial(land_table, source[table], table, folder) for table in tables})
     return {table: read_landed(spark, table, folder) for table in tables}
 
 
@@ -117,6 +122,13 @@ def reconcile_faulty(spark, sf_dir):
     return audit.reconcile(source, _landed(spark, FaultyTables(source), audit.RECONCILED))
 
 
+def reconcile_rows(spark, sf_dir):
+    """Each row that a landing lost, added or altered."""
+    source = _bronze(spark, sf_dir)
+    faulty = AlteredTables(FaultyTables(source))
+    return audit.reconcile_content(source, _landed(spark, faulty, audit.RECONCILED))
+
+
 def company_currency_audit(spark, sf_dir):
     return audit.company_currencies(_bronze(spark, sf_dir))
 
@@ -343,6 +355,7 @@ QUERIES: dict[str, Query] = {
     "contract_conformance": contract_conformance,
     "source_target_reconcile": source_target_reconcile,
     "reconcile_faulty": reconcile_faulty,
+    "reconcile_rows": reconcile_rows,
     "landing_round_trip": landing_round_trip,
     "company_currency_audit": company_currency_audit,
     "bronze_cdc_apply": bronze_cdc_apply,

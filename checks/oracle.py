@@ -440,6 +440,31 @@ ORACLES: dict[str, str] = {
           SELECT 'stock_quant', 0, 0) AS faults USING (table_name)""",
         SIZES,
     ),
+    "reconcile_rows": _layered(
+        """
+        SELECT 'sale_order' AS table_name, CAST(id AS VARCHAR) AS id, 'added' AS kind,
+          CAST(0 AS BIGINT) AS source_rows, CAST(1 AS BIGINT) AS target_rows,
+          CAST(NULL AS VARCHAR) AS changed
+        FROM b_order WHERE id % 10 = 4
+        UNION ALL SELECT 'sale_order', NULL, 'added', 0, count(*), NULL
+        FROM b_order WHERE id % 10 = 3 HAVING count(*) > 0
+        UNION ALL SELECT 'sale_order', CAST(id AS VARCHAR), 'altered', 1, 1, 'state'
+        FROM b_order WHERE id % 10 = 6
+        UNION ALL SELECT 'sale_order_line', CAST(CAST('0x' || substr(md5(concat_ws('|', l_orderkey,
+          l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS DECIMAL(18,3)),
+          CAST(l_extendedprice AS DECIMAL(18,2)), CAST(l_discount AS DECIMAL(4,2)),
+          CAST(l_tax AS DECIMAL(4,2)), l_returnflag, l_linestatus, CAST(l_shipdate AS DATE))), 1, 15)
+          AS BIGINT) AS VARCHAR) AS line, 'added', 0, count(*), NULL
+        FROM lineitem WHERE l_orderkey % 10 = 3 GROUP BY line
+        UNION ALL SELECT 'res_partner', CAST(customer_id AS VARCHAR), 'added', 0, 1, NULL
+        FROM party WHERE customer_id % 10 = 4
+        UNION ALL SELECT 'res_partner', CAST(customer_id AS VARCHAR), 'lost', 1, 0, NULL
+        FROM party WHERE customer_id % 10 = 2
+        UNION ALL SELECT 'res_partner', NULL, 'added', 0, count(*), NULL
+        FROM party WHERE customer_id % 10 = 3 HAVING count(*) > 0
+        UNION ALL SELECT 'res_partner', CAST(customer_id AS VARCHAR), 'altered', 1, 1, 'vat'
+        FROM party WHERE customer_id % 10 = 7"""
+    ),
     "landing_round_trip": _layered("SELECT * FROM b_order_text"),
     "company_currency_audit": _layered(
         """

@@ -369,3 +369,32 @@ class FaultyTables(Mapping):
 
     def __len__(self) -> int:
         return len(self._bronze)
+
+
+#: Tables with altered values: the last digit of the id, the column and its new value.
+ALTERED = {
+    "sale_order": (6, "state", "changed"),
+    "res_partner": (7, "vat", None),
+}
+
+
+class AlteredTables(Mapping):
+    """Bronze in which some rows keep their id but not a value, as ``ALTERED`` says."""
+
+    def __init__(self, bronze: Mapping[str, DataFrame]) -> None:
+        self._bronze = bronze
+
+    def __getitem__(self, table: str) -> DataFrame:
+        df = self._bronze[table]
+        if table not in ALTERED:
+            return df
+        digit, column, value = ALTERED[table]
+        hit = F.col("id").cast("bigint") % 10 == digit
+        changed = F.when(hit, F.lit(value).cast("string")).otherwise(F.col(column))
+        return df.withColumn(column, changed)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._bronze)
+
+    def __len__(self) -> int:
+        return len(self._bronze)
