@@ -16,6 +16,7 @@ from starmart import contract
 from starmart.config import MONEY, MartConfig
 from starmart.functions.text import txt
 from starmart.operators import assets, audit
+from starmart.operators.quarantine import Quarantine
 from starmart.plans import dashboard, scope, sqlfunctions, vocabulary
 from starmart.plans.mart import CatalogTables, Mart, UncheckedMart, write_table
 from starmart.plans.metrics import Between
@@ -28,6 +29,7 @@ from starmart.sources.retail import (
     ConformedTables,
     FaultyTables,
     RetailSource,
+    SpoiledTables,
     order_changes,
 )
 from starmart.streaming.buckets import Buckets, StateLane
@@ -252,6 +254,30 @@ def constraint_report_faulty(spark, sf_dir):
     return UncheckedMart(faulty, MartConfig(as_of=AS_OF)).constraint_report()
 
 
+def _quarantine(spark, sf_dir) -> Quarantine:
+    """Bronze with missing keys and values that do not parse, inspected."""
+    faulty = SpoiledTables(FaultyTables(_bronze(spark, sf_dir)))
+    return Quarantine(spark, faulty, f"{shared_dir(spark)}/quarantine-{uuid.uuid4().hex}")
+
+
+def quarantine_rows(spark, sf_dir):
+    return _quarantine(spark, sf_dir).report()
+
+
+def quarantine_counts(spark, sf_dir):
+    return _quarantine(spark, sf_dir).counts()
+
+
+def quarantine_sales(spark, sf_dir):
+    """Sales by year from the rows that passed, under strict casts."""
+    bronze = SpoiledTables(_bronze(spark, sf_dir))
+    folder = f"{shared_dir(spark)}/quarantine-{uuid.uuid4().hex}"
+    mart = Mart(Quarantine(spark, bronze, folder), MartConfig(as_of=AS_OF))
+    return mart.fact_sales.groupBy("sale_year").agg(
+        F.count("*").alias("n_lines"), F.sum("subtotal").cast(MONEY).alias("sales")
+    )
+
+
 # ----------------------------------------------------------------------------- questions
 
 
@@ -369,6 +395,9 @@ QUERIES: dict[str, Query] = {
     "constraint_report": constraint_report,
     "quality_report_faulty": quality_report_faulty,
     "constraint_report_faulty": constraint_report_faulty,
+    "quarantine_rows": quarantine_rows,
+    "quarantine_counts": quarantine_counts,
+    "quarantine_sales": quarantine_sales,
     "sales_by_territory": _asset(assets.sales_by_territory, *YEAR),
     "top_salespeople": _asset(assets.top_salespeople, *YEAR, 10),
     "top_products": _asset(assets.top_products, *YEAR, 15),

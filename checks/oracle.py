@@ -7,6 +7,13 @@ are computed on integer cents, because the SQL engine divides decimals as double
 
 from __future__ import annotations
 
+#: The id of an order line as text, see the source's rule.
+LINE_ID = """CAST(CAST('0x' || substr(md5(concat_ws('|', l_orderkey,
+  l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS DECIMAL(18,3)),
+  CAST(l_extendedprice AS DECIMAL(18,2)), CAST(l_discount AS DECIMAL(4,2)),
+  CAST(l_tax AS DECIMAL(4,2)), l_returnflag, l_linestatus, CAST(l_shipdate AS DATE))), 1, 15)
+  AS BIGINT) AS VARCHAR)"""
+
 LAYERS = """
 WITH b_order AS (
   SELECT o_orderkey AS id, 'S' || o_orderkey AS name,
@@ -400,6 +407,25 @@ T7 = _layered(
 
 CDC = _layered(f"SELECT {ORDER_COLUMNS} FROM final", EVENTS)
 
+#: Planted failures, one row each.
+FAILURES = f"""
+SELECT 'sale_order' AS table_name, CAST(id AS VARCHAR) AS id, 'is decimal(18,2)' AS rule,
+  'amount_total' AS column_name, 'n/a' AS raw FROM b_order WHERE id % 10 = 1
+UNION ALL SELECT 'sale_order', CAST(id AS VARCHAR), 'is timestamp', 'date_order', '2024-13-40'
+FROM b_order WHERE id % 10 = 8
+UNION ALL SELECT 'sale_order', NULL, 'order_has_id', 'id', NULL FROM b_order WHERE id % 10 = 3
+UNION ALL SELECT 'sale_order_line', {LINE_ID}, 'is decimal(18,3)', 'product_uom_qty', 'many'
+FROM lineitem WHERE l_orderkey % 10 = 5 AND l_linenumber <> 7
+UNION ALL SELECT 'sale_order_line', {LINE_ID}, 'line_has_order', 'order_id', NULL
+FROM lineitem WHERE l_orderkey % 10 = 3 AND l_linenumber <> 7
+UNION ALL SELECT 'res_partner', CAST(customer_id AS VARCHAR), 'is int', 'customer_rank', '1st'
+FROM party WHERE customer_id % 10 = 6
+UNION ALL SELECT 'res_partner', NULL, 'customer_has_id', 'id', NULL FROM party WHERE customer_id % 10 = 3
+UNION ALL SELECT 'res_users', NULL, 'salesperson_has_id', 'id', NULL FROM supplier WHERE s_suppkey % 10 = 3
+UNION ALL SELECT 'crm_team', NULL, 'territory_has_id', 'id', NULL FROM region WHERE r_regionkey % 10 = 3
+UNION ALL SELECT 'product_product', NULL, 'product_has_id', 'id', NULL FROM part WHERE p_partkey % 10 = 3
+"""
+
 ORACLES: dict[str, str] = {
     "bronze_rowcounts": _layered("SELECT table_name, n AS rows FROM sizes", SIZES),
     "bronze_conform_drift": _layered(
@@ -441,7 +467,7 @@ ORACLES: dict[str, str] = {
         SIZES,
     ),
     "reconcile_rows": _layered(
-        """
+        f"""
         SELECT 'sale_order' AS table_name, CAST(id AS VARCHAR) AS id, 'added' AS kind,
           CAST(0 AS BIGINT) AS source_rows, CAST(1 AS BIGINT) AS target_rows,
           CAST(NULL AS VARCHAR) AS changed
@@ -450,11 +476,7 @@ ORACLES: dict[str, str] = {
         FROM b_order WHERE id % 10 = 3 HAVING count(*) > 0
         UNION ALL SELECT 'sale_order', CAST(id AS VARCHAR), 'altered', 1, 1, 'state'
         FROM b_order WHERE id % 10 = 6
-        UNION ALL SELECT 'sale_order_line', CAST(CAST('0x' || substr(md5(concat_ws('|', l_orderkey,
-          l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS DECIMAL(18,3)),
-          CAST(l_extendedprice AS DECIMAL(18,2)), CAST(l_discount AS DECIMAL(4,2)),
-          CAST(l_tax AS DECIMAL(4,2)), l_returnflag, l_linestatus, CAST(l_shipdate AS DATE))), 1, 15)
-          AS BIGINT) AS VARCHAR) AS line, 'added', 0, count(*), NULL
+        UNION ALL SELECT 'sale_order_line', {LINE_ID} AS line, 'added', 0, count(*), NULL
         FROM lineitem WHERE l_orderkey % 10 = 3 GROUP BY line
         UNION ALL SELECT 'res_partner', CAST(customer_id AS VARCHAR), 'added', 0, 1, NULL
         FROM party WHERE customer_id % 10 = 4
@@ -496,6 +518,33 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT DISTINCT 'product_category',
           CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS BIGINT), 'Todo / ' || p_brand FROM part"""
     ),
+    "quarantine_rows": _layered(f"SELECT * FROM ({FAILURES}) AS failures"),
+    "quarantine_counts": _layered(
+        f"""
+        SELECT table_name, n - coalesce(failed, 0) AS good_rows, coalesce(failed, 0) AS failed_rows
+        FROM (
+          SELECT 'sale_order' AS table_name, count(*)
+            + count(*) FILTER (WHERE id % 10 IN (3, 4)) AS n FROM b_order
+          UNION ALL SELECT 'sale_order_line',
+            count(*) + count(*) FILTER (WHERE l_orderkey % 10 = 3) FROM lineitem
+          UNION ALL SELECT 'res_partner', count(*) + count(*) FILTER (WHERE customer_id % 10 IN (3, 4))
+            - count(*) FILTER (WHERE customer_id % 10 = 2) FROM party
+          UNION ALL SELECT 'res_users', count(*) + count(*) FILTER (WHERE s_suppkey % 10 IN (3, 4))
+            - count(*) FILTER (WHERE s_suppkey % 10 = 2) FROM supplier
+          UNION ALL SELECT 'crm_team', count(*) + count(*) FILTER (WHERE r_regionkey % 10 IN (3, 4))
+            - count(*) FILTER (WHERE r_regionkey % 10 = 2) FROM region
+          UNION ALL SELECT 'product_product', count(*) + count(*) FILTER (WHERE p_partkey % 10 IN (3, 4))
+            - count(*) FILTER (WHERE p_partkey % 10 = 2) FROM part
+          UNION ALL SELECT 'product_template', count(*) FROM part
+          UNION ALL SELECT 'stock_quant', 5 * count(*) FROM part) AS input
+        LEFT JOIN (SELECT table_name, count(*) AS failed FROM ({FAILURES}) AS failures
+          GROUP BY table_name) AS set_aside USING (table_name)"""
+    ),
+    "quarantine_sales": _layered(
+        """
+        SELECT sale_year, count(*) AS n_lines, CAST(sum(subtotal) AS DECIMAL(18,2)) AS sales
+        FROM fact_sales WHERE order_id % 10 NOT IN (1, 5, 8) GROUP BY sale_year"""
+    ),
     **{
         name: _view(name)
         for name in (

@@ -58,7 +58,8 @@ def parser() -> argparse.ArgumentParser:
     jobs.add_parser("check", parents=[source])
     jobs.add_parser("land", parents=[source, folder])
     jobs.add_parser("load", parents=[source, folder, target])
-    jobs.add_parser("build", parents=[target])
+    build = jobs.add_parser("build", parents=[target])
+    build.add_argument("--quarantine", metavar="FOLDER", help="new shared folder for rows that do not fit")
     ingest = jobs.add_parser("ingest", parents=[lane])
     ingest.add_argument("--feed", required=True, help="folder where change files arrive")
     apply = jobs.add_parser("apply", parents=[lane, folder, target])
@@ -117,7 +118,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         if args.job == "load":
             landing.publish(spark, args.folder, config(args))
     elif args.job == "build":
-        for view, found in build_all(spark, config(args)).items():
+        for view, found in build_all(spark, config(args), args.quarantine).items():
             print(view, found)
     else:
         lane = ChangeLane(spark, args.lane, contract.table_list(args.tables))

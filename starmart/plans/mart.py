@@ -11,6 +11,7 @@ from starmart import contract
 from starmart.config import MartConfig
 from starmart.functions.text import register_txt
 from starmart.operators import constraints, gold, quality, silver
+from starmart.operators.quarantine import Quarantine
 from starmart.plans.versions import Publication, current_schema
 from starmart.session import run_jobs
 
@@ -265,9 +266,14 @@ def write_gold(df: DataFrame, name: str) -> None:
     )
 
 
-def build_all(spark: SparkSession, cfg: MartConfig) -> dict[str, dict[str, int]]:
+def build_all(
+    spark: SparkSession, cfg: MartConfig, quarantine: str | None = None
+) -> dict[str, dict[str, int]]:
     """Rebuild Silver and Gold from the Bronze tables of the catalog.
 
+    With a folder for a ``quarantine``, rows that do not fit go there instead of failing the
+    build or vanishing from it.
+
     Order: ``txt``, Silver, constraints, Gold. Silver is written before Gold because each view
     feeds several tables. Both layers are written as new versions and published at the end,
     so a rebuild that fails, or whose keys are broken, leaves the ones being read as they
@@ -277,7 +283,8 @@ def build_all(spark: SparkSession, cfg: MartConfig) -> dict[str, dict[str, int]]
         contract.introspect_catalog(spark, current_schema(spark, cfg.schema("bronze")))
     )
     register_txt(spark, cfg.locales)
-    mart = Mart(CatalogTables(spark, cfg, "bronze", contract.TABLE_NAMES), cfg)
+    bronze = CatalogTables(spark, cfg, "bronze", contract.TABLE_NAMES)
+    mart = Mart(Quarantine(spark, bronze, quarantine) if quarantine else bronze, cfg)
     silver_layer = Publication(spark, cfg.schema("silver"))
     gold_layer = Publication(spark, cfg.schema("gold"))
     version = silver_layer.stage()

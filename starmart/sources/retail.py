@@ -398,3 +398,34 @@ class AlteredTables(Mapping):
 
     def __len__(self) -> int:
         return len(self._bronze)
+
+
+#: Values that no cast takes: the column that decides, its last digit, the column that is
+#: spoiled and what then stands there.
+SPOILED = {
+    "sale_order": [("id", 1, "amount_total", "n/a"), ("id", 8, "date_order", "2024-13-40")],
+    "sale_order_line": [("order_id", 5, "product_uom_qty", "many")],
+    "res_partner": [("id", 6, "customer_rank", "1st")],
+}
+
+
+class SpoiledTables(Mapping):
+    """Bronze in which some values do not parse, as ``SPOILED`` says."""
+
+    def __init__(self, bronze: Mapping[str, DataFrame]) -> None:
+        self._bronze = bronze
+
+    def __getitem__(self, table: str) -> DataFrame:
+        df = self._bronze[table]
+        return df.withColumns(
+            {
+                column: F.when(F.col(key).cast("bigint") % 10 == digit, text).otherwise(F.col(column))
+                for key, digit, column, text in SPOILED.get(table, ())
+            }
+        )
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._bronze)
+
+    def __len__(self) -> int:
+        return len(self._bronze)
