@@ -49,8 +49,9 @@ CODES = np.array([NAMES.index(s[1]) for s in SCRIPTS])
 
 @cache
 def _letters() -> np.ndarray:
-    """Which code points are letters or their marks."""
-    return np.array([unicodedata.category(chr(c))[0] in "LM" for c in range(0x110000)])
+    """Per code point 2 for a letter, 1 for a mark that letters carry, else 0."""
+    kinds = {"L": 2, "M": 1}
+    return np.array([kinds.get(unicodedata.category(chr(c))[0], 0) for c in range(0x110000)], np.uint8)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -58,12 +59,22 @@ def held_out(doc_id: Column) -> Column:
 
 
 def read_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all letters the trigram's bucket; of all words the first letter, script and text."""
-    raw = "\0".join(["", *(t.lower() for t in texts), ""])
+    """Of all letters the trigram's bucket; of all words the first letter, script and text.
+
+    Words are runs of letters and marks with at least one letter. A NUL, which here parts the
+    texts, is no letter and stands in a text for any other such character.
+    """
+    raw = "\0".join(["", *(t.lower().replace("\0", " ") for t in texts), ""])
     code = np.frombuffer(raw.encode("utf-32-le", "surrogatepass"), np.uint32)
     of = np.cumsum(code == 0) - 1  # the text each code point is in, counted from -1 + 1
-    code = np.where(_letters()[code], code, 0).astype(np.uint64)
+    kind = _letters()[code]
+    code = np.where(kind, code, 0).astype(np.uint64)
     at = np.flatnonzero(code)
+    if len(at):
+        first = np.flatnonzero(code[at - 1] == 0)
+        bare = np.maximum.reduceat(kind[at], first) < 2
+        code[at[np.repeat(bare, np.diff(np.append(first, len(at))))]] = 0
+        at = np.flatnonzero(code)
     mixed = (
         code[at - 1] * np.uint64(0x9E3779B97F4A7C15)
         + code[at] * np.uint64(0xC2B2AE3D27D4EB4F)
@@ -143,20 +154,15 @@ class Model:
 
     def word_scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Score of each word in each language, its letters, and the text it is in."""
-        scores, sizes, of, done = [], [], [], 0
-        for part in _parts(texts, max(1, BLOCK // max(1, len(self.langs)))):
-            bucket, first, script, text = read_words(texts[part])
-            if len(first):
-                score = np.add.reduceat(self.log[bucket], first, axis=0)
-                own = self.own[script]
-                known = own.any(axis=1, keepdims=True)
-                scores.append(np.where(known, np.where(own, score, score + FOREIGN), 0))
-                sizes.append(np.diff(np.append(first, len(bucket))))
-                of.append(text + part.start)
-        if not scores:
+        bucket, first, script, of = read_words(texts)
+        if not len(first):
             none = np.zeros(0, np.int64)
             return np.zeros((0, len(self.langs)), np.float32), none, none
-        return np.concatenate(scores), np.concatenate(sizes), np.concatenate(of)
+        score = np.add.reduceat(self.log[bucket], first, axis=0)
+        own = self.own[script]
+        known = own.any(axis=1, keepdims=True)
+        score = np.where(known, np.where(own, score, score + FOREIGN), 0)
+        return score, np.diff(np.append(first, len(bucket))), of
 
     def path(self, scores: np.ndarray, n_words: np.ndarray) -> np.ndarray:
         """Best language of each word; texts follow one another with ``n_words`` words each.
@@ -190,6 +196,10 @@ class Model:
         if not self.langs:
             yield from (("und", 0.0, []) for _ in texts)
             return
+        for part in _parts(texts, max(1, BLOCK // len(self.langs))):
+            yield from self._label(texts[part])
+
+    def _label(self, texts: list[str]) -> Iterator[tuple[str, float, list[dict]]]:
         scores, size, of = self.word_scores(texts)
         n_words = np.bincount(of, minlength=len(texts))
         found = self.path(scores, n_words)

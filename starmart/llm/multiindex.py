@@ -12,6 +12,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,20 +121,23 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 def _usable(vectors: DataFrame) -> DataFrame:
     """Vectors that may link: id, label, finite components, not all zero."""
     return vectors.where(
-        "vec_id IS NOT NULL AND label IS NOT NULL AND size(v) > 1 "
+        "vec_id IS NOT NULL AND label IS NOT NULL "
         "AND forall(v, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity')) "
         "AND exists(v, x -> x <> 0)"
     )
 
 
 def fit(vectors: DataFrame, threshold: float, recall: float, codes: int) -> tuple[Index, int] | None:
-    """Index fitted on a bounded sample, and the length that the vectors have."""
-    length = vectors.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
+    """Index fitted on a bounded sample, and the length that most vectors have.
+
+    There is none where no vector can be halved.
+    """
+    length = vectors.where("size(v) > 1").groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     if length is None:
         return None
     rows = (
         vectors.where(F.size("v") == length["n"])
-        .orderBy(F.xxhash64("vec_id"), "vec_id")
+        .orderBy(F.xxhash64("rep"), "rep")
         .limit(MAX_SAMPLE)
         .select("v")
         .toArrow()
@@ -154,13 +158,15 @@ def _walk(a: np.ndarray, b: np.ndarray, ids: np.ndarray) -> np.ndarray:
         root = new
 
 
-def links(vectors: DataFrame, index: Index, threshold: float) -> DataFrame:
+def links(vectors: DataFrame, index: Index | None, length: int, threshold: float) -> DataFrame:
     """``rep, n, root`` per block of pairs: links found there, and whom they lead to.
 
-    ``vectors``: different ``(label, v)`` with the smallest id ``rep`` and ``weight`` copies.
-    A pair that both ends visit counts once, at the visit of the smaller id.
+    ``vectors``: different ``(label, v)``, each with a ``rep`` of its own and ``weight`` copies.
+    A pair that both ends visit counts once, at the visit of the smaller ``rep``. Vectors of
+    another length than the index has are compared with all others of their label and length,
+    in blocks.
     """
-    wide = len(index.books[1])
+    wide = len(index.books[1]) if index else 1
     schema = (
         "rep bigint, weight bigint, label string, v array<double>, cell int, visits array<int>"
     )
@@ -169,19 +175,28 @@ def links(vectors: DataFrame, index: Index, threshold: float) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = _unit(_matrix(batch.column(3)))
-            seen = index.visited(rows)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:3],
-                    pa.array(list(rows), pa.list_(pa.float64())),
-                    pa.array(index.cells(rows), pa.int32()),
-                    pa.array(list(seen.astype(np.int32)), pa.list_(pa.int32())),
-                ],
-                names=["rep", "weight", "label", "v", "cell", "visits"],
-            )
-
-    placed = stored(vectors.select("rep", "weight", "label", "v").mapInArrow(place, schema), "placed")
+            sizes = pc.list_value_length(batch.column(3)).to_numpy()
+            for size in np.unique(sizes):
+                some = batch.filter(pa.array(sizes == size))
+                rows = _unit(_matrix(some.column(3)))
+                if index and size == length:
+                    cells, seen = index.cells(rows), index.visited(rows)
+                else:
+                    cells = np.zeros(len(rows), np.int64)
+                    seen = cells[:, None]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *some.columns[:3],
+                        pa.array(list(rows), pa.list_(pa.float64())),
+                        pa.array(cells, pa.int32()),
+                        pa.array(list(seen.astype(np.int32)), pa.list_(pa.int32())),
+                    ],
+                    names=["rep", "weight", "label", "v", "cell", "visits"],
+                )
+
+    # only equal lengths are compared, so the length is a part of the label from here on
+    label = F.concat(F.size("v").cast("string"), F.lit(":"), "label").alias("label")
+    placed = stored(vectors.select("rep", "weight", label, "v").mapInArrow(place, schema), "placed")
     # a strip is a row of the grid: a vector goes once to each strip it visits
     member = placed.withColumn("strip", F.expr(f"cell div {wide}"))
     prober = placed.withColumn(
@@ -244,51 +259,48 @@ def near_vectors(
 ) -> DataFrame:
     """One row per input row: ``vec_id, n_links, component_id, kept``.
 
-    Reads ``vec_id, embedding, label``. Only equal labels that are not NULL are compared;
-    vectors that are NULL, zero, of another length than most, or hold a NULL or non-finite
-    component link with nothing. Rows of one label and vector link with each other; they
-    are compared as one. A row without links is its own component and kept; one with a NULL
-    id has a NULL component and is kept.
+    Reads ``vec_id, embedding, label``. Only equal labels that are not NULL, and equal lengths,
+    are compared; vectors that are NULL, empty, zero, or hold a NULL or non-finite component
+    link with nothing. Rows of one label and vector link with each other; they are compared
+    as one. Rows that share an id are rows of their own. A row without links is its own
+    component and kept; one with a NULL id links with nothing, has a NULL component and is kept.
     """
     named = vectors.select(
         F.col("vec_id").cast("bigint"),
         F.col("label").cast("string"),
         F.col("embedding").cast("array<double>").alias("v"),
     )
-    usable = _usable(named)
-    fitted = fit(usable, threshold, recall, codes)
-    if fitted is None:
-        return named.select(
-            "vec_id",
-            F.lit(0).cast("bigint").alias("n_links"),
-            F.col("vec_id").alias("component_id"),
-            F.lit(True).alias("kept"),
-        )
-    index, length = fitted
-    usable = usable.where(F.size("v") == length)
     unique = stored(
-        usable.groupBy("label", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight")),
+        _usable(named)
+        .groupBy("label", "v")
+        .agg(F.min("vec_id").alias("low"), F.count("*").alias("weight"))
+        .select(F.monotonically_increasing_id().alias("rep"), "*"),
         "vectors",
     )
-    found = stored(links(unique, index, threshold), "links")
+    index, length = fit(unique, threshold, recall, codes) or (None, 0)
+    found = stored(links(unique, index, length, threshold), "links")
     counts = found.groupBy("rep").agg(F.sum("n").alias("n"))
     roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    known = (
+    placed = stored(
         unique.join(counts, "rep", "left")
         .join(roots, F.col("rep") == F.col("node"), "left")
-        .select(
-            F.col("label").alias("_label"),
-            F.col("v").alias("_v"),
-            (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-            F.coalesce("root", "rep").alias("component_id"),
-        )
+        .select("*", F.coalesce("root", "rep").alias("class")),
+        "classes",
+    )
+    lowest = placed.groupBy("class").agg(F.min("low").alias("component"))
+    known = placed.join(lowest, "class").select(
+        F.col("label").alias("_label"),
+        F.col("v").alias("_v"),
+        (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
+        "component",
     )
     mine = F.col("vec_id").isNotNull() & (F.col("label") == F.col("_label")) & (F.col("v") == F.col("_v"))
+    component = F.coalesce("component", "vec_id")
     return named.join(known, mine, "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-        F.coalesce("component_id", "vec_id").alias("component_id"),
-        F.coalesce(F.col("vec_id") == F.coalesce("component_id", "vec_id"), F.lit(True)).alias("kept"),
+        component.alias("component_id"),
+        F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
     )
 
 

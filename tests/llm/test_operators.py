@@ -258,6 +258,38 @@ def test_near_vectors(spark):
     assert multiindex.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_near_vectors_of_other_lengths_and_repeated_ids(spark):
+    """Minority lengths are compared exactly, one component too; an id may name several rows."""
+    rng = random.Random(8)
+    rows = [(k, [rng.gauss(0, 1) for _ in range(16)], k % 2) for k in range(40)]
+    for size in (1, 2, 8):
+        for k in range(12):
+            v = [rng.gauss(0, 1) for _ in range(size)]
+            rows.append((1000 * size + 2 * k, v, k % 2))
+            rows.append((1000 * size + 2 * k + 1, [2 * x for x in v], k % 2))
+    rows += [(3, rows[5][1], 1), (3, [9.0] * 16, 0), (3, [-1.0, 0.5], 0), (50, [], 1)]
+
+    def alike(a, b):
+        if a[2] != b[2] or len(a[1]) != len(b[1]) or not a[1]:
+            return False
+        dot = lambda x, y: sum(p * q for p, q in zip(x, y, strict=True))
+        return dot(a[1], b[1]) >= 0.93 * (dot(a[1], a[1]) * dot(b[1], b[1])) ** 0.5
+
+    n = range(len(rows))
+    near = {i: [j for j in n if j != i and alike(rows[i], rows[j])] for i in n}
+    root = list(n)
+    for _ in n:
+        root = [min([root[i], *(root[j] for j in near[i])]) for i in n]
+    least = {r: min(rows[i][0] for i in n if root[i] == r) for r in root}
+    want = [(rows[i][0], len(near[i]), least[root[i]], rows[i][0] == least[root[i]]) for i in n]
+    schema = "vec_id bigint, embedding array<double>, label int, rep int, cell string, low int, class int, n int"
+    frame = spark.createDataFrame([(*r, 1, "c", 2, 3, 4) for r in rows], schema)
+    for some in (frame, frame.where("size(embedding) < 2")):
+        have = sorted(tuple(r) for r in multiindex.near_vectors(some).collect())
+        ids = {r[0] for r in rows if some is frame or len(r[1]) < 2}
+        assert have == sorted(w for i, w in zip(n, want, strict=True) if some is frame or len(rows[i][1]) < 2) and ids
+
+
 def test_toxicity(spark, docs, empty):
     rows, marks = [], []
     for i in range(400):
@@ -288,13 +320,16 @@ def test_language(spark, docs, empty):
     rows = [(i, " ".join(random.Random(i).choices(german, k=40)), "de") for i in range(0, 80, 2)]
     rows += [(i, prose(i, 40), "en") for i in range(1, 80, 2)]
     mixed = (200, " ".join(german * 4) + " " + prose(9, 60), None)
-    odd = [(201, "123 !", "en"), (202, None, "en"), (203, "привет мир", None), (None, prose(3, 9), None)]
+    odd = [(201, "123 !", "en"), (202, None, "en"), (204, "\u0301\u0302 \u0308", None), (205, "der\0keit \0", None), (203, "привет мир", None), (None, prose(3, 9), None)]
     frame = spark.createDataFrame([*rows, mixed, *odd], "doc_id bigint, text string, lang string")
     found = {r["doc_id"]: r for r in language.identify(frame, language.learn(frame)).collect()}
     assert all(found[i]["lang_pred"] == lang for i, _, lang in rows)
     assert [s["lang"] for s in found[200]["spans"]] == ["de", "en"]
     assert found[200]["spans"][0]["stop"] == 24
-    assert found[201]["lang_pred"] == found[202]["lang_pred"] == "und"
+    assert found[201]["lang_pred"] == found[202]["lang_pred"] == found[204]["lang_pred"] == "und"
+    assert (found[205]["lang_pred"], found[205]["spans"][0]["stop"]) == ("de", 2)
+    whole = language.learn(frame).word_scores
+    assert [len(x) for x in whole(["a\0\u0301 b\0", "\0", "c"])] == [3, 3, 3]
     assert language.identify(empty, language.learn(empty)).count() == 0
 
 
