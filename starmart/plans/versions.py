@@ -17,6 +17,7 @@ from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.catalog import Table
 
 from starmart.session import run_jobs
 
@@ -91,23 +92,23 @@ class Publication:
         self.point_views()
         self.prune()
 
+    def _tables(self, schema: str) -> list[Table]:
+        # a session's temporary views are listed in every schema
+        return [t for t in self._spark.catalog.listTables(schema) if not t.isTemporary]
+
     def point_views(self) -> None:
         """Set the view of each table of the current version; views of absent tables go."""
         version = current_version(self._spark, self.schema)
         if version is None:
             return
-        held = {t.name: t for t in self._spark.catalog.listTables(self.staged(version))}
-        for old in self._spark.catalog.listTables(self.schema):
-            if old.isTemporary:
-                continue
+        held = {t.name: t for t in self._tables(self.staged(version))}
+        for old in self._tables(self.schema):
             if old.tableType != "VIEW":
                 # a table of that name from before the layer had versions
                 self._spark.sql(f"DROP TABLE {self.schema}.{old.name}")
             elif old.name not in held:
                 self._spark.sql(f"DROP VIEW {self.schema}.{old.name}")
         for name, table in held.items():
-            if table.isTemporary:
-                continue
             comment = f" COMMENT {_quoted(table.description)}" if table.description else ""
             self._spark.sql(
                 f"CREATE OR REPLACE VIEW {self.schema}.{name}{comment} "

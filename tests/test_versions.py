@@ -96,6 +96,13 @@ def test_two_builds_stage_apart_and_the_current_version_is_not_discarded(spark,
     assert layer.versions() == [two]
 
 
+def test_a_temporary_view_of_the_same_name_is_none_of_its_tables(spark, layer):
+    spark.range(99).createOrReplaceTempView("a")
+    put(layer, a=1, b=2)
+    spark.catalog.dropTempView("a")
+    assert sizes(spark, layer.schema) == {"a": 1, "b": 2}
+
+
 def test_plain_tables_from_before_give_way_to_views(spark, layer):
     spark.sql(f"CREATE SCHEMA {layer.schema}")
     write_table(spark.range(3).toDF("id"), f"{layer.schema}.a", "it's old")
