@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from contextlib import suppress
 from functools import lru_cache, partial
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -459,15 +460,15 @@ QUERIES: dict[str, Query] = {
 
 
 # The corpus operators are a part of their own; without it everything else still works.
-try:
+LLM_ORACLES: dict[str, str] = {}
+LLM_PARTS = ("corpus_pipeline", "starmart.llm", "starmart.llm.registry")
+# that they are there is asked, so that a library they miss is not taken for their absence
+if all(find_spec(part) for part in LLM_PARTS):
     from corpus_pipeline import ORACLE_SQL, run
-    from starmart.llm.registry import ORACLES as LLM_ORACLES
-    from starmart.llm.registry import QUERIES as LLM_QUERIES
-except ImportError:
-    LLM_ORACLES: dict[str, str] = {}
-else:
-    QUERIES.update(LLM_QUERIES, pipeline=run)
-    LLM_ORACLES = {**LLM_ORACLES, **({"pipeline": ORACLE_SQL} if ORACLE_SQL else {})}
+    from starmart.llm import registry
+
+    QUERIES.update(registry.QUERIES, pipeline=run)
+    LLM_ORACLES = {**registry.ORACLES, **({"pipeline": ORACLE_SQL} if ORACLE_SQL else {})}
 
 
 def entry(spark: SparkSession) -> DataFrame:
