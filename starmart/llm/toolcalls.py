@@ -26,25 +26,31 @@ SCHEMA = "name string, field string, type string, required boolean, max_length i
 
 
 def calls_of(messages: DataFrame) -> DataFrame:
-    """``conv_id, call_id, turn, nth, name, arguments, after``; of equal ids the first call."""
-    first = W.partitionBy("conv_id", "call_id").orderBy("turn", "nth")
+    """``conv_id, call_id, turn, nth, name, arguments, after, n_copies``.
+
+    Of equal ids the first call counts: by turn, place, name, arguments and what it waits for.
+    ``n_copies`` is the number of calls with the id.
+    """
     return (
         messages.where("role = 'assistant'")
         .select("conv_id", "turn", F.from_json("text", CALLS)["tool_calls"].alias("calls"))
         .select("conv_id", "turn", F.posexplode("calls").alias("nth", "c"))
+        .where("c.id IS NOT NULL")
         .select(
             "conv_id",
             F.col("c.id").alias("call_id"),
-            "turn",
-            "nth",
-            F.col("c.name").alias("name"),
-            F.col("c.arguments").alias("arguments"),
-            F.coalesce("c.after", F.array().cast("array<string>")).alias("after"),
+            F.struct(
+                "turn",
+                "nth",
+                F.col("c.name").alias("name"),
+                F.to_json("c.arguments").alias("arguments"),
+                F.coalesce("c.after", F.array().cast("array<string>")).alias("after"),
+            ).alias("call"),
         )
-        .where("call_id IS NOT NULL")
-        .withColumn("place", F.row_number().over(first))
-        .where("place = 1")
-        .drop("place")
+        .groupBy("conv_id", "call_id")
+        .agg(F.min("call").alias("call"), F.count("*").alias("n_copies"))
+        .select("conv_id", "call_id", "call.*", "n_copies")
+        .withColumn("arguments", F.parse_json("arguments"))
     )
 
 
@@ -168,12 +174,13 @@ def ranked(calls: DataFrame) -> DataFrame:
 def link_calls(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     """One row per conversation with calls or results.
 
-    ``conv_id, n_calls, n_linked, n_invalid, n_circular, n_orphans, canonical``. Calls are
-    listed by rank, turn and place; calls that wait in a circle come last, marked. A call
-    without result is unlinked, a result without call an orphan; of several results the first
-    counts. Texts that are NULL, empty or no such JSON hold neither. Calls and results with a
-    NULL ``conv_id`` link with each other, but belong to no conversation: each call, and each
-    orphan, has a row of its own. Identifiers that are NULL are skipped.
+    ``conv_id, n_calls, n_linked, n_invalid, n_circular, n_orphans, n_repeats, canonical``.
+    Calls are listed by rank, turn and place; calls that wait in a circle come last, marked. A
+    call without result is unlinked, a result without call an orphan. Of several calls or
+    results of one identifier the first is listed and the others are counted in ``n_repeats``.
+    Texts that are NULL, empty or no such JSON hold neither. A NULL turn comes first. Calls and
+    results with a NULL ``conv_id`` link with each other, but belong to no conversation: each
+    call, and each orphan, has a row of its own. Identifiers that are NULL are skipped.
     """
     calls = stored(calls_of(messages), "calls")
     results = results_of(messages)
@@ -212,6 +219,9 @@ def link_calls(messages: DataFrame, schemas: DataFrame) -> DataFrame:
         count(F.col("rank").isNull()).alias("n_circular"),
         F.array_sort(F.collect_list(F.when(is_call, entry))).alias("listed"),
         F.array_sort(F.collect_list(F.when(~is_call, F.col("r_id")))).alias("orphans"),
+        F.sum(
+            F.coalesce(F.col("n_copies") - 1, F.lit(0)) + F.coalesce(F.col("n_results") - 1, F.lit(0))
+        ).alias("n_repeats"),
     )
     listed = F.array_join(F.transform("listed", lambda c: c["text"]), ",")
     rest = F.substr(F.to_json(F.struct("conv_id", "orphans")), F.lit(2))
@@ -222,6 +232,7 @@ def link_calls(messages: DataFrame, schemas: DataFrame) -> DataFrame:
         "n_invalid",
         "n_circular",
         F.size("orphans").alias("n_orphans"),
+        "n_repeats",
         F.concat(F.lit('{"calls":['), listed, F.lit("],"), rest).alias("canonical"),
     )
 
@@ -229,44 +240,54 @@ def link_calls(messages: DataFrame, schemas: DataFrame) -> DataFrame:
 def as_messages(conversations: DataFrame) -> DataFrame:
     """Plain conversations as tool traffic: who asks is a caller, who answers a tool.
 
-    A system turn calls ``instruct``, a user turn ``ask`` after the caller's turn before;
-    an assistant turn is the result of the nearest such turn with a lower number, or of none.
+    A system turn calls ``instruct``, another turn ``ask``, each after the call of the nearest
+    such turn with a lower number; an assistant turn is the result of that call, or of none. A
+    NULL turn comes before all others. A NULL role calls a tool without a name, which no schema
+    knows. Every message has a call or result: ids hold turn, role and a digest of the text, so
+    only messages equal in all columns share one, and ``link_calls`` counts those. Of several
+    calls at one turn, the one with the greatest id is the one answered and waited for. Messages
+    with a NULL ``conv_id`` have none before them.
     """
-    own = F.when(F.col("role") != "assistant", F.concat(F.lit("call-"), F.col("turn").cast("string")))
+    answers = F.col("role").eqNullSafe("assistant")
+    said = F.concat_ws(
+        "-",
+        F.coalesce(F.col("turn").cast("string"), F.lit("null")),
+        F.coalesce("role", F.lit("null")),
+        F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("null")),
+    )
     rows = (
-        conversations.where("turn IS NOT NULL AND role IS NOT NULL")
-        .select("conv_id", "turn", "role", "text")
-        .withColumn("own", own)
+        conversations.select("conv_id", "turn", "role", "text")
+        .withColumn("own", F.when(~answers, F.concat(F.lit("call-"), said)))
+        .withColumn("lone", F.when(answers, F.concat(F.lit("none-"), said)))
+        .withColumn("place", F.coalesce("turn", F.lit(-(2**63))))
     )
     # within blocks of turns, then over blocks, so that no long conversation is one task's work
     turns = (
-        rows.groupBy("conv_id", "turn")
-        .agg(F.max(F.when(F.col("own").isNotNull(), F.col("turn"))).alias("asks"))
-        .withColumn("block", F.expr(f"turn div {TURNS}"))
+        rows.where("conv_id IS NOT NULL")
+        .groupBy("conv_id", "place")
+        .agg(F.max("own").alias("asks"))
+        .withColumn("block", F.expr(f"place div {TURNS}"))
     )
-    inside = W.partitionBy("conv_id", "block").orderBy("turn").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("conv_id", "block").orderBy("place").rowsBetween(W.unboundedPreceding, -1)
     over = W.partitionBy("conv_id").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    blocks = turns.groupBy("conv_id", "block").agg(F.max("asks").alias("top")).select(
-        F.col("conv_id").alias("b_conv"),
-        F.col("block").alias("b_block"),
-        F.last("top", True).over(over).alias("earlier"),
+    blocks = turns.groupBy("conv_id", "block").agg(
+        F.max_by("asks", F.when(F.col("asks").isNotNull(), F.col("place"))).alias("top")
     )
-    turns = turns.withColumn("near", F.last("asks", True).over(inside)).join(
-        blocks, F.col("conv_id").eqNullSafe(F.col("b_conv")) & (F.col("block") == F.col("b_block"))
-    )
-    above = F.concat(F.lit("call-"), F.coalesce("near", "earlier").cast("string"))
-    turns = turns.select(
-        F.col("conv_id").alias("t_conv"), F.col("turn").alias("t_turn"), above.alias("above")
-    )
-    rows = rows.join(
-        turns, F.col("conv_id").eqNullSafe(F.col("t_conv")) & (F.col("turn") == F.col("t_turn"))
+    blocks = blocks.select("conv_id", "block", F.last("top", True).over(over).alias("earlier"))
+    turns = (
+        turns.withColumn("near", F.last("asks", True).over(inside))
+        .join(blocks, ["conv_id", "block"])
+        .select("conv_id", "place", F.coalesce("near", "earlier").alias("above"))
     )
+    rows = rows.join(turns, ["conv_id", "place"], "left")
     call = F.to_json(
         F.struct(
             F.array(
                 F.struct(
                     F.col("own").alias("id"),
-                    F.when(F.col("role") == "system", "instruct").otherwise("ask").alias("name"),
+                    F.when(F.col("role") == "system", "instruct")
+                    .when(F.col("role").isNotNull(), "ask")
+                    .alias("name"),
                     F.struct("turn", F.col("text").alias("prompt")).alias("arguments"),
                     F.array_compact(F.array("above")).alias("after"),
                 )
@@ -275,7 +296,7 @@ def as_messages(conversations: DataFrame) -> DataFrame:
     )
     result = F.to_json(
         F.struct(
-            F.coalesce("above", F.lit("call-none")).alias("tool_call_id"),
+            F.coalesce("above", "lone").alias("tool_call_id"),
             F.col("text").alias("content"),
         )
     )

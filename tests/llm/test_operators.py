@@ -421,6 +421,32 @@ def test_call_ranks_and_calls_without_conversation(spark):
     assert counts == [(0, 0, 1), (1, 0, 0), (1, 0, 0), (1, 1, 0)]
 
 
+def test_no_message_vanishes(spark):
+    rows = [(None, 0, "user", f"q{i}") for i in range(5)] + [(None, 1, "assistant", f"a{i}") for i in range(5)]
+    rows += [(1, 0, "user", "first"), (1, 0, "user", "second"), (1, 1, "assistant", "x"), (1, 1, "assistant", "x")]
+    rows += [(1, None, "user", "early"), (1, 2, None, "who"), (1, 3, "user", None), (1, 3, "user", None)]
+    rows += [(1, 5000, "assistant", "late"), (2, 0, "assistant", "none"), (2, 1, "assistant", "asked"), (3, None, None, None)]
+    schema = "conv_id bigint, turn bigint, role string, text string, own int, lone int, above int, place int, block int"
+    frame = spark.createDataFrame([(*r, 1, 1, 1, 1, 1) for r in rows], schema)
+    tools = toolcalls.conversation_tools(spark)
+    found = toolcalls.link_calls(toolcalls.as_messages(frame), tools).collect()
+    assert sum(r["n_calls"] + r["n_linked"] + r["n_orphans"] + r["n_repeats"] for r in found) == len(rows)
+    alone = sorted((r["n_calls"], r["n_linked"], r["n_orphans"]) for r in found if r["conv_id"] is None)
+    assert alone == [(0, 0, 1)] * 5 + [(1, 0, 0)] * 5
+    one = next(r for r in found if r["conv_id"] == 1)
+    assert (one["n_calls"], one["n_linked"], one["n_repeats"], one["n_orphans"]) == (5, 2, 2, 0)
+    calls = json.loads(one["canonical"])["calls"]
+    assert [c["arguments"].get("prompt") for c in calls][0] == "early" and calls[0]["errors"] == ["missing turn"]
+    assert {c["arguments"].get("prompt") for c in calls} == {"early", "first", "second", "who", None}
+    who = next(c for c in calls if c["arguments"].get("prompt") == "who")
+    assert who["errors"] == ["unknown tool"] and who["after"] == [max(c["id"] for c in calls if "-0-" in c["id"])]
+    assert [c["result"] for c in calls if "result" in c] == ["x", "late"]
+    assert next(r for r in found if r["conv_id"] == 2)["n_orphans"] == 2
+    again = toolcalls.link_calls(toolcalls.as_messages(frame.repartition(5).orderBy(F.rand(3))), tools)
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, found))
+    assert toolcalls.link_calls(toolcalls.as_messages(frame.limit(0)), tools).count() == 0
+
+
 def test_pipeline_stages_keep_columns(spark, docs):
     import corpus_pipeline
 
