@@ -1,10 +1,11 @@
 """Benchmark decontamination with a positional inverted index (operator 10).
 
 Only DataFrame functions. Corpus counts of the test terms rank the terms of each window. For
-its two rarest terms the index stores, per term and text, the positions. The lists of the
-rarest term, shifted by the term's offset, are intersected with the shifted lists of the
-second; what is left is compared with the text word by word. Texts, not documents, are
-indexed, so copies share their lists.
+its two rarest terms the index stores, per term and text, the positions. The list of the
+rarest term and that of the second, each shifted by its term's offset, are intersected, which
+takes time in proportion to the lists; what is left is compared with the text word by word.
+Proximity matches come from the same two lists. Texts, not documents, are indexed, so copies
+and repeated rows share their lists, and each input row has a row of its own in the result.
 """
 
 from __future__ import annotations
@@ -76,7 +77,8 @@ def ranked_terms(docs: DataFrame, windows: DataFrame) -> DataFrame:
 
 
 def phrase_candidates(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """``text_key, cands``: places where both of a window's rarest terms stand rightly."""
+    """``text_key, cands``: each window with the ``starts`` at which its two rarest terms stand
+    rightly; a start before the text's first word is among them."""
     windows = stored(windows, "windows")
     ranked = stored(ranked_terms(docs, windows).where("rank <= 2"), "anchors")
     first = ranked.where("rank = 1").select("phrase", "term", "offset")
@@ -93,6 +95,7 @@ def phrase_candidates(docs: DataFrame, windows: DataFrame) -> DataFrame:
                     "phrase",
                     "n",
                     "items",
+                    "term",
                     "offset",
                     F.coalesce("term2", "term").alias("term2"),
                     F.coalesce("offset2", "offset").alias("offset2"),
@@ -101,24 +104,20 @@ def phrase_candidates(docs: DataFrame, windows: DataFrame) -> DataFrame:
         )
     )
     index = stored(postings(docs, ranked.select("term").distinct()), "postings")
-    shifted = F.expr(
-        "filter(flatten(transform(windows, w -> transform(positions, p -> named_struct("
-        "'phrase', w.phrase, 'n', w.n, 'items', w.items, 'start', p - w.offset, "
-        "'term2', w.term2, 'pos2', p - w.offset + w.offset2)))), c -> c.start >= 0)"
-    )
     lists = (
         index.join(lookup, "term", "left")
-        .select("text_key", "term", "positions", shifted.alias("cands"))
         .groupBy("text_key")
         .agg(
             F.map_from_entries(F.collect_list(F.struct("term", "positions"))).alias("lists"),
-            F.flatten(F.collect_list("cands")).alias("cands"),
+            F.flatten(F.collect_list("windows")).alias("windows"),
         )
     )
+    # a list holds the positions of a term; shifted by its offset, the starts of the window
     met = F.expr(
-        "transform(filter(cands, c -> coalesce(array_contains(try_element_at(lists, c.term2), "
-        "c.pos2), false)), c -> named_struct('phrase', c.phrase, 'n', c.n, 'items', c.items, "
-        "'start', c.start))"
+        "filter(transform(filter(windows, w -> map_contains_key(lists, w.term2)), "
+        "w -> named_struct('phrase', w.phrase, 'n', w.n, 'items', w.items, 'starts', "
+        "array_intersect(transform(lists[w.term], p -> p - w.offset), "
+        "transform(lists[w.term2], p -> p - w.offset2)))), c -> size(c.starts) > 0)"
     )
     return lists.select("text_key", met.alias("cands")).where("size(cands) > 0")
 
@@ -126,7 +125,7 @@ def phrase_candidates(docs: DataFrame, windows: DataFrame) -> DataFrame:
 def phrase_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """Each input row as ``row``, its ``words``, and as ``hits`` the occurrences of item windows.
 
-    A hit is ``(phrase, n, items, start)``. Only ``text``, and ``item_id`` and ``text`` of
+    A hit is ``(phrase, n, items, starts)``. Only ``text``, and ``item_id`` and ``text`` of
     the items, are read. NULL and empty texts have no words and no hits; an item without
     words has no window; an item with a NULL id hits words but is not named.
     """
@@ -134,7 +133,9 @@ def phrase_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> D
     joined = as_row(docs).withColumn("text_key", F.xxhash64("row.text"))
     joined = joined.join(cands, "text_key", "left")
     exact = F.expr(
-        "filter(cands, c -> array_join(slice(words, c.start + 1, c.n), ' ') = c.phrase)"
+        "filter(transform(cands, c -> named_struct('phrase', c.phrase, 'n', c.n, 'items', c.items, "
+        "'starts', filter(c.starts, s -> s >= 0 AND "
+        "array_join(slice(words, greatest(s, 0) + 1, c.n), ' ') = c.phrase))), h -> size(h.starts) > 0)"
     )
     return joined.withColumn("words", tokens(F.col("row.text"))).select(
         "row", "words", F.when(F.col("cands").isNotNull(), exact).alias("hits")
@@ -147,8 +148,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         "coalesce(array_sort(array_distinct(flatten(transform(hits, h -> h.items)))), array())"
     ).cast("array<string>")
     hit = F.expr(
-        "coalesce(size(array_distinct(flatten(transform(hits, "
-        "h -> sequence(h.start, h.start + h.n - 1))))), 0)"
+        "coalesce(size(array_distinct(flatten(flatten(transform(hits, "
+        "h -> transform(h.starts, s -> sequence(s, s + h.n - 1))))))), 0)"
     )
     return (
         phrase_matches(docs.select("doc_id", "text"), items, window)

@@ -199,6 +199,17 @@ def test_contamination(spark, docs, empty):
     assert [r["at"] for r in near.collect()] in ([[0]], [[1]])
 
 
+def test_contamination_of_long_periodic_texts(spark):
+    """Windows and positions of one term are not multiplied out; edges of a text are no hit."""
+    texts = ["be " * 200_000, "be " * 9, "x " + "be " * 10, "to be " * 50_000, "be " * 10 + "y", "be " * 10 + "y"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    items = [(1, "be " * 10), (2, "to be " * 5), (3, "be to " * 6), (4, "be be x"), (5, "x be")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {r["doc_id"]: r for r in contamination.contamination(frame, bench).collect()}
+    assert [found[i]["n_hit"] for i in range(6)] == [200_000, 0, 11, 100_000, 10, 10]
+    assert [found[i]["n_items"] for i in range(6)] == [1, 0, 2, 2, 1, 1]
+
+
 def test_mix(docs, empty):
     rows, sources, blocks = mixing.mix(docs)
     want = {r["source"]: r["target"] for r in sources.collect()}
