@@ -18,6 +18,7 @@ from starmart.config import MONEY, MartConfig
 from starmart.functions.text import txt
 from starmart.operators import assets, audit
 from starmart.operators.quarantine import Quarantine
+from starmart.operators.ranking import numbered
 from starmart.plans import dashboard, scope, sqlfunctions, vocabulary
 from starmart.plans.mart import CatalogTables, Mart, UncheckedMart, write_table
 from starmart.plans.metrics import Between
@@ -344,6 +345,13 @@ def entity_match(spark, sf_dir):
     return vocabulary.match_entity(values, "zona amerca")
 
 
+def entity_match_terms(spark, sf_dir):
+    """Every value typed without its third character, against all values."""
+    values = vocabulary.entity_values(_mart(spark, sf_dir), VENTAS)
+    typed = F.concat(F.substring("value", 1, 2), F.expr("substring(value, 4)"))
+    return vocabulary.match_terms(values, values.select(typed.alias("term")))
+
+
 def manager_scope(spark, sf_dir):
     star = _mart(spark, sf_dir)
     zones = scope.managed_zones(star, "user1@example.com")
@@ -454,11 +462,31 @@ QUERIES: dict[str, Query] = {
     "pending_delivery": _asset(dashboard.pending_delivery),
     "entity_values": entity_values,
     "entity_match": entity_match,
+    "entity_match_terms": entity_match_terms,
     "manager_scope": manager_scope,
     "tenant_union": tenant_union,
 }
 
 
+def _placed(name: str, order: Callable[[], list]) -> Query:
+    """A question's rows with their place in its order; columns need a session to be made."""
+    return lambda spark, sf_dir: numbered(QUERIES[name](spark, sf_dir), order())
+
+
+PLACES: dict[str, Callable[[], list]] = {
+    "sales_by_territory": lambda: [F.desc("sales")],
+    "top_salespeople": lambda: [F.desc("sales"), "salesperson"],
+    "top_products": lambda: [F.desc("sales"), "product"],
+    "sales_year_over_year": lambda: ["sale_month"],
+    "sales_by_state": lambda: [F.desc("sales"), "state"],
+    "stockout_risk": lambda: [F.asc_nulls_last("days_of_cover"), "product", "warehouse"],
+    "lapsed_customers": lambda: [F.desc("lifetime_sales"), "customer"],
+    "lowest_stock": lambda: ["available"],
+    "mv_by_mes": lambda: ["mes_inicio", "moneda"],
+}
+QUERIES |= {f"placed_{name}": _placed(name, order) for name, order in PLACES.items()}
+
+
 # The corpus operators are a part of their own; without it everything else still works.
 LLM_ORACLES: dict[str, str] = {}
 LLM_PARTS = ("corpus_pipeline", "starmart.llm", "starmart.llm.registry")

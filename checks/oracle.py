@@ -681,6 +681,14 @@ ORACLES: dict[str, str] = {
         FROM entities""",
         VALUES,
     ),
+    "entity_match_terms": _layered(
+        """
+        SELECT term, dimension, value,
+          CAST(levenshtein(strip_accents(lower(value)), strip_accents(lower(term))) AS INTEGER) AS distance
+        FROM entities, (SELECT DISTINCT value[:2] || value[4:] AS term FROM entities)
+        WHERE levenshtein(strip_accents(lower(value)), strip_accents(lower(term))) <= 1""",
+        VALUES,
+    ),
     "manager_scope": _layered(
         f"""
         SELECT territory, manager, count(DISTINCT order_id) AS orders, {SUM_SALES} AS sales
@@ -694,3 +702,40 @@ ORACLES: dict[str, str] = {
         FROM all_sales WHERE order_status = 'sale' GROUP BY tenant, sale_year"""
     ),
 }
+
+
+def _placed(name: str, *order: str) -> str:
+    """The rows of a question with their place; its other columns break ties."""
+    return f"SELECT *, row_number() OVER (ORDER BY {', '.join(order)}) AS place FROM ({ORACLES[name]})"
+
+
+ORACLES |= {
+    "placed_sales_by_territory": _placed(
+        "sales_by_territory",
+        "sales DESC NULLS LAST", "territory NULLS FIRST", "manager NULLS FIRST", "orders",
+    ),
+    "placed_top_salespeople": _placed(
+        "top_salespeople",
+        "sales DESC NULLS LAST", "salesperson NULLS FIRST", "territory NULLS FIRST", "orders",
+    ),
+    "placed_top_products": _placed(
+        "top_products", "sales DESC NULLS LAST", "product NULLS FIRST", "category NULLS FIRST", "units"
+    ),
+    "placed_sales_year_over_year": _placed("sales_year_over_year", "sale_month NULLS FIRST"),
+    "placed_sales_by_state": _placed(
+        "sales_by_state", "sales DESC NULLS LAST", "state NULLS FIRST", "customers"
+    ),
+    "placed_stockout_risk": _placed(
+        "stockout_risk",
+        "days_of_cover NULLS LAST", "product NULLS FIRST", "warehouse NULLS FIRST",
+        "available NULLS FIRST", "sold_in_period NULLS FIRST",
+    ),
+    "placed_lapsed_customers": _placed(
+        "lapsed_customers",
+        "lifetime_sales DESC NULLS LAST", "customer NULLS FIRST", "state NULLS FIRST", "last_order",
+    ),
+    "placed_lowest_stock": _placed(
+        "lowest_stock", "available NULLS FIRST", "product NULLS FIRST", "warehouse NULLS FIRST"
+    ),
+    "placed_mv_by_mes": _placed("mv_by_mes", "mes_inicio NULLS FIRST", "moneda NULLS FIRST"),
+}

@@ -158,3 +158,51 @@ def match_entity(
         found = found.filter(F.col("distance") <= max_distance)
     found = found.orderBy("distance", "dimension", "value")
     return found if limit is None else found.limit(limit)
+
+
+def _shortened(text: Column, times: int) -> Column:
+    """The text, and what is left of it without up to ``times`` of its characters."""
+
+    def without_one(t: Column) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1)))
+        return F.transform(
+            places,
+            lambda i: F.concat(F.substr(t, F.lit(1), i - 1), F.substr(t, i + 1, F.length(t))),
+        )
+
+    found = F.array(text)
+    for _ in range(times):
+        found = F.array_distinct(F.concat(found, F.flatten(F.transform(found, without_one))))
+    return found
+
+
+def match_terms(values: DataFrame, terms: DataFrame, max_distance: int = 1) -> DataFrame:
+    """All values within an edit distance of each term: ``term, dimension, value, distance``.
+
+    Two texts within ``max_distance`` edits become equal when each loses that many of its
+    characters at most, so values and terms meet in an equality join of their shortened forms,
+    and the distance of those that meet is then computed. Nothing is lost, and texts that only
+    share a common beginning do not meet. A text of n characters has in the order of
+    ``n ** max_distance`` forms, each one BIGINT hash, so this is for names and small distances.
+    Both sides are folded first, and equal folded texts are indexed once. NULL matches nothing.
+    """
+    named = values.where("value IS NOT NULL").select("dimension", "value", fold("value").alias("folded"))
+    asked = terms.where("term IS NOT NULL").select("term", fold("term").alias("wanted")).distinct()
+
+    def forms(texts: DataFrame, column: str) -> DataFrame:
+        hashes = F.transform(_shortened(F.col(column), max_distance), lambda t: F.xxhash64(t))
+        return texts.select(column).distinct().select(column, F.explode(hashes).alias("form"))
+
+    near = (
+        forms(named, "folded")
+        .join(forms(asked, "wanted"), "form")
+        .select("folded", "wanted")
+        .distinct()
+        .withColumn("distance", F.levenshtein("folded", "wanted"))
+        .where(F.col("distance") <= max_distance)
+    )
+    return (
+        near.join(named, "folded")
+        .join(asked, "wanted")
+        .select("term", "dimension", "value", "distance")
+    )
