@@ -22,6 +22,7 @@ from starmart.operators.ranking import numbered
 from starmart.plans import dashboard, scope, sqlfunctions, vocabulary
 from starmart.plans.mart import CatalogTables, Mart, UncheckedMart, write_table
 from starmart.plans.metrics import Between
+from starmart.plans.tenants import LAYERS, Tenants
 from starmart.plans.ventas import VENTAS
 from starmart.plans.versions import Publication
 from starmart.session import configure, run_jobs, shared_dir
@@ -367,6 +368,40 @@ def tenant_union(spark, sf_dir):
     )
 
 
+def tenants_of(spark, sf_dir) -> tuple[Tenants, dict[str, dict[str, DataFrame]]]:
+    """A tenant for each currency, and its rows: the orders of the companies that keep books in
+    it. The second one's source is of a version without a column and with another."""
+    bronze = _bronze(spark, sf_dir)
+    names = bronze["res_currency"].select(F.col("id").alias("currency_id"), F.col("name").alias("_name"))
+    run, sources, configs = uuid.uuid4().hex, {}, {}
+    for tenant in ("HNL", "USD"):
+        own = names.where(F.col("_name") == tenant)
+        companies = bronze["res_company"].join(own, "currency_id", "left_semi")
+        companies = companies.select(F.col("id").alias("company_id"))
+        orders = bronze["sale_order"].join(companies, "company_id", "left_semi")
+        lines = bronze["sale_order_line"].join(
+            orders.select(F.col("id").alias("order_id")), "order_id", "left_semi"
+        )
+        sources[tenant] = {**bronze, "sale_order": orders, "sale_order_line": lines}
+        schemas = {f"{layer}_schema": f"{layer}_{tenant.lower()}_{run}" for layer in LAYERS}
+        configs[tenant] = MartConfig(as_of=AS_OF, currency=tenant, **schemas)
+    older = sources["USD"]["sale_order"].drop("client_order_ref").withColumn("note", F.lit("extra"))
+    sources["USD"]["sale_order"] = older
+    return Tenants(spark, configs, f"{shared_dir(spark)}/tenants-{run}"), sources
+
+
+def tenant_schemas(spark, sf_dir):
+    """The same two tenants with schemas of their own, one of them rebuilt after the other."""
+    tenants, sources = tenants_of(spark, sf_dir)
+    for tenant, source in sources.items():
+        tenants.land(tenant, source)
+        tenants.build(tenant)
+    tenants.build("HNL")
+    return tenants.ask(assets.confirmed).groupBy("tenant", "sale_year").agg(
+        F.sum("subtotal").cast(MONEY).alias("sales"), F.count("*").alias("n_lines")
+    )
+
+
 VIEWS = [
     "silver_salespeople",
     "silver_territories",
@@ -465,6 +500,7 @@ QUERIES: dict[str, Query] = {
     "entity_match_terms": entity_match_terms,
     "manager_scope": manager_scope,
     "tenant_union": tenant_union,
+    "tenant_schemas": tenant_schemas,
 }
 
 

@@ -710,6 +710,8 @@ def _placed(name: str, *order: str) -> str:
 
 
 ORACLES |= {
+    # the same rows, whatever schemas they lie in
+    "tenant_schemas": ORACLES["tenant_union"],
     "placed_sales_by_territory": _placed(
         "sales_by_territory",
         "sales DESC NULLS LAST", "territory NULLS FIRST", "manager NULLS FIRST", "orders",

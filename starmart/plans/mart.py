@@ -267,12 +267,13 @@ def write_gold(df: DataFrame, name: str) -> None:
 
 
 def build_all(
-    spark: SparkSession, cfg: MartConfig, quarantine: str | None = None
+    spark: SparkSession, cfg: MartConfig, quarantine: str | None = None, folder: str | None = None
 ) -> dict[str, dict[str, int]]:
     """Rebuild Silver and Gold from the Bronze tables of the catalog.
 
     With a folder for a ``quarantine``, rows that do not fit go there instead of failing the
-    build or vanishing from it.
+    build or vanishing from it. ``folder`` is where the schemas' files go; unset, the catalog
+    chooses.
 
     Order: ``txt``, Silver, constraints, Gold. Silver is written before Gold because each view
     feeds several tables. Both layers are written as new versions and published at the end,
@@ -285,8 +286,8 @@ def build_all(
     register_txt(spark, cfg.locales)
     bronze = CatalogTables(spark, cfg, "bronze", contract.TABLE_NAMES)
     mart = Mart(Quarantine(spark, bronze, quarantine) if quarantine else bronze, cfg)
-    silver_layer = Publication(spark, cfg.schema("silver"))
-    gold_layer = Publication(spark, cfg.schema("gold"))
+    silver_layer = Publication(spark, cfg.schema("silver"), folder)
+    gold_layer = Publication(spark, cfg.schema("gold"), folder)
     version = silver_layer.stage()
     written = CatalogTables(spark, cfg, "silver", SILVER, version)
 

@@ -41,8 +41,11 @@ def managed_zones(star: Star, principal: str) -> DataFrame:
 
 
 def union_tenants(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One Gold table of several tenants as one, with the tenant as first column."""
+    """One Gold table of several tenants as one, with the tenant as first column.
+
+    A column that some of them lack is NULL in their rows.
+    """
     return reduce(
-        DataFrame.unionByName,
+        lambda left, right: left.unionByName(right, allowMissingColumns=True),
         [df.select(F.lit(tenant).alias("tenant"), "*") for tenant, df in tables.items()],
     )
