@@ -22,6 +22,7 @@ from starmart.operators.ranking import numbered
 from starmart.plans import dashboard, scope, sqlfunctions, vocabulary
 from starmart.plans.mart import CatalogTables, Mart, UncheckedMart, write_table
 from starmart.plans.metrics import Between
+from starmart.plans.rollup import Rollup
 from starmart.plans.tenants import LAYERS, Tenants
 from starmart.plans.ventas import VENTAS
 from starmart.plans.versions import Publication
@@ -334,6 +335,19 @@ def monthly_two_years(spark, sf_dir):
     )
 
 
+def _rollup(dimensions, measures, money=(), period=(None, None)) -> Query:
+    """The question answered from monthly totals and containers of ids, built before."""
+
+    def run(spark, sf_dir):
+        folder = f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}"
+        rollup = Rollup(spark, folder, _mart(spark, sf_dir), VENTAS)
+        tables = [d.table for d in VENTAS.dimensions if d.name in dimensions] or None
+        rollup.build(tables=tables and set(tables))
+        return _money(_plain(rollup.query(dimensions, measures, *period, currencies=None)), *money)
+
+    return run
+
+
 # ---------------------------------------------------------- vocabulary, scope, tenants
 
 
@@ -486,6 +500,16 @@ QUERIES: dict[str, Query] = {
     ),
     "mv_currency_check": _ventas(["Zona"], ["Venta"], ["venta"], currencies="flag"),
     "mv_this_year": _ventas(["Zona"], ["Pedidos", "Venta"], ["venta"], this_year=True),
+    "rollup_by_departamento": _rollup(
+        ["Departamento"], ["Clientes", "Pedidos", "Venta"], ["venta"], YEAR
+    ),
+    "rollup_by_producto": _rollup(
+        ["Producto", "Categoria"], ["Pedidos", "Clientes", "Venta"], ["venta"], YEAR
+    ),
+    "rollup_by_categoria": _rollup(
+        ["Categoria"], ["Pedidos", "Clientes", "Ticket promedio"], ["ticket_promedio"]
+    ),
+    "rollup_by_zona": _rollup(["Zona", "Gerente"], ["Clientes", "Pedidos", "Venta"], ["venta"]),
     "mv_yoy_pivot": mv_yoy_pivot,
     "mv_top_products_in_zone": mv_top_products_in_zone,
     "mv_lowest_states": _ventas(

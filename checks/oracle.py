@@ -612,6 +612,18 @@ ORACLES: dict[str, str] = {
           {SUM_SALES} AS venta
         FROM ventas GROUP BY city, category"""
     ),
+    "rollup_by_categoria": _layered(
+        f"""
+        SELECT category AS categoria, count(DISTINCT order_id) AS pedidos,
+          count(DISTINCT customer) AS clientes, {TICKET} AS ticket_promedio
+        FROM ventas GROUP BY category"""
+    ),
+    "rollup_by_zona": _layered(
+        f"""
+        SELECT territory AS zona, manager AS gerente, count(DISTINCT customer) AS clientes,
+          count(DISTINCT order_id) AS pedidos, {SUM_SALES} AS venta
+        FROM ventas GROUP BY territory, manager"""
+    ),
     "mv_by_mes": _layered(
         f"""
         SELECT month_start AS mes_inicio, currency AS moneda, {SUM_SALES} AS venta,
@@ -712,6 +724,8 @@ def _placed(name: str, *order: str) -> str:
 ORACLES |= {
     # the same rows, whatever schemas they lie in
     "tenant_schemas": ORACLES["tenant_union"],
+    "rollup_by_departamento": ORACLES["mv_by_departamento"],
+    "rollup_by_producto": ORACLES["mv_by_producto"],
     "placed_sales_by_territory": _placed(
         "sales_by_territory",
         "sales DESC NULLS LAST", "territory NULLS FIRST", "manager NULLS FIRST", "orders",
