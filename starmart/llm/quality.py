@@ -8,6 +8,7 @@ taking the largest k is sampling k documents without replacement by those weight
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
@@ -21,7 +22,9 @@ from starmart.llm.common import as_row, stored, table
 BUCKETS = 1 << 14
 #: N-grams of the whole corpus that the good texts' model starts from.
 PRIOR = 10_000.0
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 19
+#: N-grams that are counted at once.
+COUNTED = 1 << 20
 #: Good labelled texts the target model is fitted on at most, in the order of a hash of the id.
 MAX_GOOD = 50_000
 BINS = 1024
@@ -30,23 +33,56 @@ FEW = 10_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def form(word: str) -> str:
+class Kinds(dict):
+    """Capitals to X, small letters to x, digits to 0, other characters to themselves."""
+
+    def __missing__(self, code: int) -> int:
+        c = chr(code)
+        kind = "X" if c.isupper() else "x" if c.isalpha() else "0" if c.isdigit() else c
+        self[code] = ord(kind)
+        return self[code]
+
+
+KINDS = Kinds()
+
+
+@lru_cache(maxsize=1 << 14)
+def run_hash(kinds: str) -> int:
+    """Hash of the kinds without repeats; words are many, their kinds are few."""
+    return xxhash.xxh64_intdigest("".join(c for c, _ in groupby(kinds)), 1)
+
+
+def form_hash(word: str) -> int:
     """What a word looks like: runs of capitals, small letters, digits and other characters."""
-    kinds = ("X" if c.isupper() else "x" if c.isalpha() else "0" if c.isdigit() else c for c in word)
-    return "".join(c for c, _ in groupby(kinds))
+    if word.isalpha() and word.islower():
+        return run_hash("x")
+    return run_hash(word.translate(KINDS))
 
 
 class Hashes(dict):
-    """Hashes of a word and of its form, remembered up to a bound."""
+    """Numbers of words; their hashes and those of their forms lie at that place of two arrays.
 
-    def __missing__(self, word: str) -> tuple[int, int]:
+    All are forgotten when a bound is reached, between texts.
+    """
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.word, self.shape = np.zeros(1024, np.uint64), np.zeros(1024, np.uint64)
+
+    def __missing__(self, word: str) -> int:
+        at = len(self)
+        if at == len(self.word):
+            self.word, self.shape = np.tile(self.word, 2), np.tile(self.shape, 2)
+        self.word[at] = xxhash.xxh64_intdigest(word.lower())
+        self.shape[at] = form_hash(word)
+        self[word] = at
+        return at
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self) >= REMEMBERED:
             self.clear()
-        value = self[word] = (
-            xxhash.xxh64_intdigest(word.lower()),
-            xxhash.xxh64_intdigest(form(word), 1),
-        )
-        return value
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return self.word[at], self.shape[at]
 
 
 def buckets(text: str | None, hashes: Hashes) -> np.ndarray:
@@ -57,8 +93,7 @@ def buckets(text: str | None, hashes: Hashes) -> np.ndarray:
     words = (text or "").split()
     if not words:
         return np.zeros(0, np.int64)
-    both = np.array([hashes[w] for w in words], np.uint64)
-    word, shape = both[:, 0], both[:, 1].copy()
+    word, shape = hashes.of(words)
     shape[1:] += (word[1:] == word[:-1]).astype(np.uint64) * np.uint64(0x632BE59BD9B4E019)
     edge = np.concatenate(([np.uint64(7)], shape, [np.uint64(7)]))
     grams = np.concatenate(
@@ -89,14 +124,26 @@ def gram_counts(docs: DataFrame, labels: DataFrame, max_good: int = MAX_GOOD) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = Hashes(), np.zeros((2, BUCKETS), np.int64)
+        waiting: tuple[list, list] = ([], [])
+        size = 0
+
+        def count() -> None:
+            for row, found in zip(counts, waiting, strict=True):
+                if found:
+                    row += np.bincount(np.concatenate(found), minlength=BUCKETS)
+                found.clear()
+
         for batch in batches:
-            for text, good in zip(
-                batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True
-            ):
-                n = np.bincount(buckets(text, hashes), minlength=BUCKETS)
-                counts[1] += n
-                if good:
-                    counts[0] += n
+            for text, good in zip(batch.column(0), batch.column(1), strict=True):
+                found = buckets(text.as_py(), hashes)
+                waiting[1].append(found)
+                if good.as_py():
+                    waiting[0].append(found)
+                size += len(found)
+                if size >= COUNTED:
+                    count()
+                    size = 0
+        count()
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(BUCKETS)), pa.array(counts[0]), pa.array(counts[1])],
             names=["bucket", "good", "raw"],
