@@ -298,6 +298,8 @@ def _sql_function(call: str) -> Query:
 
 
 def _ventas(dimensions, measures, money=(), **options) -> Query:
+    options.setdefault("currencies", None)
+
     def run(spark, sf_dir):
         result = VENTAS.query(_mart(spark, sf_dir), dimensions, measures, **options)
         return _money(_plain(result), *money)
@@ -322,6 +324,7 @@ def mv_top_products_in_zone(spark, sf_dir):
                 where={"Zona": "Zona AFRICA", **PERIOD},
                 order_by=[("Venta", "desc")],
                 limit=15,
+                currencies=None,
             )
         ),
         "venta",

@@ -49,7 +49,8 @@ def kpi_month(star: Star, as_of: dt.date | None = None) -> DataFrame:
 
 def monthly_two_years(star: Star, year: int) -> DataFrame:
     """D2. Monthly sales of a year over those of the year before."""
-    base = VENTAS.query(star, ["Mes", "Anio"], ["Venta"], where={"Anio": [year, year - 1]})
+    years = {"Anio": [year, year - 1]}
+    base = VENTAS.query(star, ["Mes", "Anio"], ["Venta"], where=years, currencies=None)
     return compare_periods(base, "Mes", "Anio", "Venta", year, year - 1)
 
 

@@ -160,15 +160,16 @@ class MetricView:
         where: Mapping[str, object] | None = None,
         order_by: Sequence[tuple[str, str]] = (),
         limit: int | None = None,
-        currencies: str | None = None,
+        currencies: str | None = "flag",
         this_year: bool = False,
     ) -> DataFrame:
         """Measures at the grain of ``dimensions``.
 
         ``where`` maps a dimension to a value, a list of values, a :class:`Between` or a
         function of its column. ``order_by`` lists ``(name, "asc" | "desc")``; the
-        dimensions follow as tie-breakers. ``currencies="flag"`` adds the number of
-        distinct currencies in each group; with ``"raise"`` the job fails if a group mixes them.
+        dimensions follow as tie-breakers. Amounts of several currencies are never added up
+        silently: ``currencies="flag"`` adds the number of distinct currencies in each group, with
+        ``"raise"`` the job fails if a group mixes them, and None, which adds them up, must be asked for.
         With ``this_year`` a question without a condition on the period is about the calendar
         year of the star's reference date (M13).
         """

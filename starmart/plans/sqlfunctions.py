@@ -47,9 +47,10 @@ class TableFunction:
 
 
 RANK_PARTS = 64
+# Names, parameters, their types and defaults, and columns of the functions below.
 
-FROM = Parameter("p_from", "DATE", "Primer día del período")
-TO = Parameter("p_to", "DATE", "Último día del período")
+FROM = Parameter("p_from", "DATE", "Primer día del período, incluido; para un mes, su día 1")
+TO = Parameter("p_to", "DATE", "Último día del período, incluido; para un mes, su último día")
 SOLD = (
     f"order_status = '{SALE_STATUS}' AND sale_date BETWEEN p_from AND p_to "
     "AND sale_year * 12 + sale_month BETWEEN year(p_from) * 12 + month(p_from) "
@@ -64,7 +65,8 @@ def table_functions(today: str = "current_date()") -> tuple[TableFunction, ...]:
             "sales_by_territory",
             (FROM, TO),
             "territory STRING, manager STRING, orders BIGINT, sales DECIMAL(18,2)",
-            "Ventas y pedidos por zona comercial y gerente en un período",
+            "Ventas y pedidos por zona comercial y gerente en un período. Úsala cuando pregunten por "
+            "zonas, territorios o gerentes; para la geografía del cliente, sales_by_state",
             f"""
             WITH zone AS (
               SELECT territory_id, count(DISTINCT order_id) AS n, sum(subtotal) AS amount
@@ -75,10 +77,11 @@ def table_functions(today: str = "current_date()") -> tuple[TableFunction, ...]:
         ),
         TableFunction(
             "top_salespeople",
-            (FROM, TO, Parameter("p_limit", "INT", "Cuántas filas devolver", "10")),
+            (FROM, TO, Parameter("p_limit", "INT", "Cuántos vendedores devolver; sin pedirlo, 10", "10")),
             "salesperson STRING, territory STRING, orders BIGINT, sales DECIMAL(18,2), "
             "avg_ticket DECIMAL(18,2)",
-            "Mejores vendedores por monto en un período, con zona y ticket promedio",
+            "Mejores vendedores por monto en un período, con zona y ticket promedio. Úsala cuando "
+            "pregunten quién vendió más o por el desempeño de los vendedores",
             f"""
             WITH seller AS (
               SELECT salesperson_id, territory_id,
@@ -104,9 +107,10 @@ def table_functions(today: str = "current_date()") -> tuple[TableFunction, ...]:
         ),
         TableFunction(
             "top_products",
-            (FROM, TO, Parameter("p_limit", "INT", "Cuántas filas devolver", "15")),
+            (FROM, TO, Parameter("p_limit", "INT", "Cuántos productos devolver; sin pedirlo, 15", "15")),
             "product STRING, category STRING, units DECIMAL(18,3), sales DECIMAL(18,2)",
-            "Productos de mayor venta en un período, con unidades y categoría",
+            "Productos de mayor venta en un período, con unidades y categoría. Úsala para lo más "
+            "vendido; para lo que queda en bodega, stockout_risk",
             f"""
             WITH item AS (
               SELECT product_id, sum(quantity) AS pieces, sum(subtotal) AS amount
@@ -127,10 +131,11 @@ def table_functions(today: str = "current_date()") -> tuple[TableFunction, ...]:
         ),
         TableFunction(
             "sales_year_over_year",
-            (Parameter("p_year", "INT", "Año que se compara con el anterior"),),
+            (Parameter("p_year", "INT", "Año que se compara con el anterior, en cuatro cifras"),),
             "sale_month INT, sales_current DECIMAL(18,2), sales_previous DECIMAL(18,2), "
             "change_pct DECIMAL(9,2)",
-            "Ventas por mes de un año contra el año anterior y su variación porcentual",
+            "Ventas por mes de un año contra el año anterior y su variación porcentual. Úsala cuando "
+            "pregunten por crecimiento o comparen años",
             f"""
             WITH rows AS (
               SELECT sale_month, if(sale_year = p_year, subtotal, NULL) AS this_year,
@@ -148,7 +153,8 @@ def table_functions(today: str = "current_date()") -> tuple[TableFunction, ...]:
             "sales_by_state",
             (FROM, TO),
             "state STRING, customers BIGINT, sales DECIMAL(18,2)",
-            "Ventas por departamento del cliente y número de clientes que compraron",
+            "Ventas por departamento del cliente y número de clientes que compraron. Úsala para la "
+            "geografía; departamento no es un área de la empresa",
             f"""
             WITH buyer AS (
               SELECT customer_id, sum(subtotal) AS amount
@@ -159,10 +165,11 @@ def table_functions(today: str = "current_date()") -> tuple[TableFunction, ...]:
         ),
         TableFunction(
             "stockout_risk",
-            (Parameter("p_days", "INT", "Días de venta reciente que se miran", "30"),),
+            (Parameter("p_days", "INT", "Días de venta reciente con que se mide la demanda; sin pedirlo, 30", "30"),),
             "product STRING, warehouse STRING, available DECIMAL(18,3), "
             "sold_in_period DECIMAL(18,3), days_of_cover DECIMAL(9,1)",
-            "Productos con poca existencia frente a su venta reciente, con días de cobertura",
+            "Productos con poca existencia frente a su venta reciente, con días de cobertura. Úsala "
+            "cuando pregunten qué se va a agotar o qué reponer",
             f"""
             WITH recent AS (
               SELECT product_id, sum(quantity) AS pieces
@@ -178,10 +185,11 @@ def table_functions(today: str = "current_date()") -> tuple[TableFunction, ...]:
         ),
         TableFunction(
             "lapsed_customers",
-            (Parameter("p_days", "INT", "Días sin comprar a partir de los que cuenta", "60"),),
+            (Parameter("p_days", "INT", "Días sin comprar a partir de los que un cliente cuenta; sin pedirlo, 60", "60"),),
             "customer STRING, state STRING, last_order DATE, days_since_order INT, "
             "lifetime_sales DECIMAL(18,2)",
-            "Clientes que dejaron de comprar hace más de N días",
+            "Clientes que dejaron de comprar hace más de N días. Úsala para clientes inactivos o por "
+            "recuperar",
             f"""
             WITH buyer AS (
               SELECT customer_id, max(sale_date) AS latest, sum(subtotal) AS amount

@@ -33,11 +33,12 @@ def latest(changes: DataFrame) -> DataFrame:
 
     Changes of one row are combined on the map side, so a row that is updated all the time
     reaches the shuffle once per task. Deletes stay in the result: without them an older
-    update that arrives later would bring the row back.
+    update that arrives later would bring the row back. Of several changes of a row at one log
+    position the last by operation and row image counts, so that the result repeats.
     """
     return (
         changes.groupBy("table", "id")
-        .agg(F.max_by(F.struct("op", "lsn", "commit_ts", "row"), "lsn").alias("last"))
+        .agg(F.max_by(F.struct("op", "lsn", "commit_ts", "row"), F.struct("lsn", "op", "row")).alias("last"))
         .select("table", "id", "last.*")
     )
 

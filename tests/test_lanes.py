@@ -20,6 +20,7 @@ from starmart.plans.versions import Publication
 from starmart.plans.vocabulary import catalog_comments
 from starmart.sources import landing
 from starmart.sources.retail import ConformedTables, RetailSource, order_changes
+from starmart.streaming import changes
 from starmart.streaming.changes import FEED_SCHEMA, ChangeLane, apply_changes
 from tests.conftest import SF_DIR, ids, order, rows, sale
 
@@ -319,3 +320,11 @@ def test_new_order_appears_after_reload(mart, bronze):
     assert rows(assets.sales_by_territory(first, *year))[0][2] == 1
     assert rows(assets.sales_by_territory(second, *year))[0][2] == 2
     assert ids(second.silver_orders, "order_id") == [1, 2]
+
+
+def test_changes_at_one_position_give_one_result(spark):
+    """The order in which they arrive does not choose between them."""
+    change = [("sale_order", op, 5, None, "1", row) for op, row in (("U", "b"), ("U", "a"), ("I", "z"))]
+    for feed in (change, change[::-1], change[1:] + change[:1]):
+        last = changes.latest(spark.createDataFrame(feed, changes.FEED_SCHEMA)).collect()
+        assert [(r["op"], r["row"]) for r in last] == [("U", "b")]

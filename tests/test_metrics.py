@@ -54,15 +54,15 @@ MEASURES = [m.name for m in VENTAS.measures]
     st.sampled_from([{}, {"Zona": "Zona AFRICA"}, {"Anio": 1998}, {"Categoria": "Todo / Brand#1"}]),
 )
 def test_two_step_aggregation_equals_the_wide_view(star, dimensions, measures, where):
-    got = VENTAS.query(star, dimensions, measures, where=where)
+    got = VENTAS.query(star, dimensions, measures, where=where, currencies=None)
     want = naive(star, dimensions, measures, where)
     assert got.dtypes == want.dtypes
     assert sorted(rows(got), key=repr) == sorted(rows(want), key=repr)
 
 
 def test_additive_measures_add_up_and_distinct_ones_need_not(star):
-    total = VENTAS.query(star, [], ["Venta", "Unidades", "Pedidos"]).first()
-    by_product = rows(VENTAS.query(star, ["Producto"], ["Venta", "Unidades", "Pedidos"]))
+    total = VENTAS.query(star, [], ["Venta", "Unidades", "Pedidos"], currencies=None).first()
+    by_product = rows(VENTAS.query(star, ["Producto"], ["Venta", "Unidades", "Pedidos"], currencies=None))
     assert sum(r[1] for r in by_product) == total["Venta"]
     assert sum(r[2] for r in by_product) == total["Unidades"]
     assert sum(r[3] for r in by_product) > total["Pedidos"]
@@ -70,8 +70,8 @@ def test_additive_measures_add_up_and_distinct_ones_need_not(star):
 
 def test_sales_without_zone_are_the_difference_to_the_asset(star):
     everything = Between(dt.date(1900, 1, 1), dt.date(2100, 1, 1))
-    total = VENTAS.query(star, [], ["Venta"]).first()[0]
-    zoneless = VENTAS.query(star, [], ["Venta"], where={"Zona": None}).first()[0]
+    total = VENTAS.query(star, [], ["Venta"], currencies=None).first()[0]
+    zoneless = VENTAS.query(star, [], ["Venta"], where={"Zona": None}, currencies=None).first()[0]
     by_zone = rows(assets.sales_by_territory(star, everything.low, everything.high))
     assert sum(r[3] for r in by_zone) + zoneless == total
     assert zoneless > 0
@@ -96,7 +96,7 @@ def test_misuse_is_refused(star):
 
 def test_null_zone_is_a_group(mart):
     m = mart([sale(1, 10), sale(2, 20, team_id=None), sale(3, 99, state="done")])
-    assert sorted(rows(VENTAS.query(m, ["Zona"], ["Venta", "Pedidos"])), key=repr) == sorted(
+    assert sorted(rows(VENTAS.query(m, ["Zona"], ["Venta", "Pedidos"], currencies=None)), key=repr) == sorted(
         [("Zona Norte", Decimal("10.00"), 1), (None, Decimal("20.00"), 1)], key=repr
     )
 
@@ -104,7 +104,7 @@ def test_null_zone_is_a_group(mart):
 def test_customers_are_counted_by_name(mart):
     partners = [*BASE["res_partner"], {"id": 4, "name": "Ana", "state_id": 1}]
     m = mart([sale(1, 10), sale(2, 5, partner_id=4)], res_partner=partners)
-    assert VENTAS.query(m, [], ["Clientes"]).first()[0] == 1
+    assert VENTAS.query(m, [], ["Clientes"], currencies=None).first()[0] == 1
     period = (dt.date(2024, 1, 1), dt.date(2024, 12, 31))
     assert rows(assets.sales_by_state(m, *period))[0][1] == 2
 
@@ -115,7 +115,7 @@ def test_orders_spanning_products_of_equal_name(mart):
         sale_order_line=[line(1, 1, 3), line(2, 1, 4, product_id=3)],
         product_product=[*BASE["product_product"], {"id": 3, "product_tmpl_id": 100}],
     )
-    assert rows(VENTAS.query(m, ["Producto"], ["Pedidos", "Venta"])) == [("Pan", 1, Decimal("7.00"))]
+    assert rows(VENTAS.query(m, ["Producto"], ["Pedidos", "Venta"], currencies=None)) == [("Pan", 1, Decimal("7.00"))]
 
 
 def test_conditions(mart):
@@ -123,7 +123,7 @@ def test_conditions(mart):
               sale(4, 8, "2023-02-28", team_id=None)])
 
     def total(**where):
-        return VENTAS.query(m, [], ["Venta"], where=where).first()[0]
+        return VENTAS.query(m, [], ["Venta"], where=where, currencies=None).first()[0]
 
     assert total(Fecha=Between(dt.date(2024, 1, 1), dt.date(2024, 2, 29))) == 3
     assert total(Fecha=Between(None, dt.date(2024, 1, 31))) == 9
@@ -141,7 +141,7 @@ def test_conditions(mart):
 
 
 def test_empty_totals(mart):
-    row = VENTAS.query(mart(), [], MEASURES).first()
+    row = VENTAS.query(mart(), [], MEASURES, currencies=None).first()
     assert row["Venta"] is None and row["Ticket promedio"] is None
     assert (row["Pedidos"], row["Clientes"]) == (0, 0)
 
@@ -159,17 +159,17 @@ def test_mixed_currencies_are_flagged(mart):
 
 def test_a_list_may_name_null(mart):
     m = mart([sale(1, 10), sale(2, 20, team_id=2), sale(3, 40, team_id=None)])
-    found = VENTAS.query(m, ["Zona"], ["Venta"], where={"Zona": [None, "Zona Sur"]})
+    found = VENTAS.query(m, ["Zona"], ["Venta"], where={"Zona": [None, "Zona Sur"]}, currencies=None)
     assert {r[0] for r in rows(found)} == {None, "Zona Sur"}
-    days = VENTAS.query(m, [], ["Venta"], where={"Fecha": [None, dt.date(1990, 1, 1)]})
+    days = VENTAS.query(m, [], ["Venta"], where={"Fecha": [None, dt.date(1990, 1, 1)]}, currencies=None)
     assert rows(days) == [(None,)]
 
 
 def test_order_limit_and_metadata(mart):
     m = mart([sale(1, 10), sale(2, 20, team_id=2), sale(3, 20, team_id=None)])
-    top = VENTAS.query(m, ["Zona"], ["Venta"], order_by=[("Venta", "desc")], limit=2)
+    top = VENTAS.query(m, ["Zona"], ["Venta"], order_by=[("Venta", "desc")], limit=2, currencies=None)
     assert [r[0] for r in rows(top)] == [None, "Zona Sur"]
-    field = VENTAS.query(m, ["Zona"], ["Venta"]).schema["Venta"]
+    field = VENTAS.query(m, ["Zona"], ["Venta"], currencies=None).schema["Venta"]
     assert field.metadata["format"]["currency_code"] == "HNL" and field.metadata["comment"]
 
 
@@ -223,8 +223,8 @@ def test_entity_values_and_match(mart):
 def test_managers_see_their_zones_only(mart):
     m = mart([sale(1, 10), sale(2, 20, team_id=2), sale(3, 40, team_id=None)])
     north = scope.ScopedStar(m, scope.managed_zones(m, "vera@x"))
-    assert rows(VENTAS.query(north, ["Zona"], ["Venta"])) == [("Zona Norte", Decimal("10.00"))]
-    assert rows(VENTAS.query(scope.ScopedStar(m, scope.managed_zones(m, "x")), ["Zona"], ["Venta"])) == []
+    assert rows(VENTAS.query(north, ["Zona"], ["Venta"], currencies=None)) == [("Zona Norte", Decimal("10.00"))]
+    assert rows(VENTAS.query(scope.ScopedStar(m, scope.managed_zones(m, "x")), ["Zona"], ["Venta"], currencies=None)) == []
 
 
 def test_tenants_are_united(mart):
@@ -232,3 +232,12 @@ def test_tenants_are_united(mart):
     both = scope.union_tenants({"a": one.fact_sales, "b": two.fact_sales})
     assert both.columns[0] == "tenant"
     assert sorted(rows(both.groupBy("tenant").count())) == [("a", 1), ("b", 2)]
+
+
+def test_currencies_are_flagged_unless_asked_not_to(mart):
+    m = mart([sale(1, 10), sale(2, 20, currency_id=2)])
+    flagged = VENTAS.query(m, [], ["Venta"])
+    assert flagged.columns == ["Venta", "currencies"] and flagged.first()["currencies"] == 2
+    by_currency = VENTAS.query(m, ["Moneda"], ["Venta"])
+    assert {r["currencies"] for r in by_currency.collect()} == {1}
+    assert VENTAS.query(m, [], ["Venta"], currencies=None).columns == ["Venta"]
