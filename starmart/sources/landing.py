@@ -23,7 +23,8 @@ def as_json(df: DataFrame) -> DataFrame:
 def land_table(df: DataFrame, table: str, folder: str) -> int:
     """Write one conformed table as JSON Lines; returns the rows written.
 
-    The count is taken while writing, without a second pass.
+    The count is taken while writing, without a second pass. Files are compressed: names and
+    digits repeat in every line, so text takes several times the room.
     """
     observation = Observation(f"land_{table}")
     (
@@ -31,6 +32,7 @@ def land_table(df: DataFrame, table: str, folder: str) -> int:
         .observe(observation, F.count("*").alias("rows"))
         .write.mode("overwrite")
         .option("ignoreNullFields", "false")
+        .option("compression", "gzip")
         .json(f"{folder}/{table}")
     )
     return observation.get["rows"]

@@ -42,6 +42,14 @@ def multiset(df):
 # ----------------------------------------------------------------------- batch lane
 
 
+def test_landed_files_are_compressed(spark, tmp_path):
+    orders = RetailSource(spark, SF_DIR)["sale_order"]
+    n = landing.land_table(orders, "sale_order", str(tmp_path))
+    files = list((tmp_path / "sale_order").glob("part-*"))
+    assert sum(f.stat().st_size for f in files) < 100 * n  # plain lines take about 330 bytes
+    assert landing.read_landed(spark, "sale_order", str(tmp_path)).count() == n
+
+
 def test_landing_round_trip(spark, tmp_path):
     tricky = [
         ("1", '{"es_ES": "Pan, \\"dulce\\"", "en_US": "Bread"}', None, "1.50", "\n\t'", "true", ""),
