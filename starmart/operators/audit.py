@@ -29,7 +29,9 @@ def reconcile(
 
 
 #: Bits of the key's hash that a level of ranges adds, and levels.
-LEVEL_BITS, LEVELS = 10, 2
+LEVEL_BITS, LEVELS = 10, 1
+#: Bits of a row's hash that say whether a row like it differs: as a bitmap, 16 MB at most.
+MARK_BITS = 27
 
 
 def _summed(rows: DataFrame, bits: int) -> DataFrame:
@@ -44,6 +46,26 @@ def _range(bits: int) -> Column:
     return F.shiftrightunsigned("kh", 64 - bits).alias("range")
 
 
+def _marks(hashes: DataFrame) -> DataFrame:
+    """``part, bits``: a bitmap of the leading ``MARK_BITS`` bits of the hashes ``h1``, in parts.
+
+    The hashes are dealt by part first, so that each part is gathered once.
+    """
+    at = hashes.select(F.shiftrightunsigned("h1", 64 - MARK_BITS).alias("at"))
+    parts = at.select(F.bitmap_bucket_number("at").alias("part"), "at").repartition("part")
+    return parts.groupBy("part").agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+
+
+def _marked(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """The rows whose ``h1`` is in the bitmap: all that were marked, and few others."""
+    at = F.shiftrightunsigned("h1", 64 - MARK_BITS)
+    place = F.bitmap_bit_position(at)
+    byte = F.col("bits").substr((F.shiftright(place, 3) + 1).cast("int"), F.lit(1))
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("bigint"), place.bitwiseAND(7).cast("int"))
+    joined = rows.join(F.broadcast(marks), F.bitmap_bucket_number(at) == F.col("part"))
+    return joined.where(bit == 1).select(*rows.columns)
+
+
 def row_differences(
     source: DataFrame,
     target: DataFrame,
@@ -56,8 +78,11 @@ def row_differences(
 
     Each level compares checksums of key ranges, at most two to the power of ``level_bits``
     in each range that differed before, so that rows of equal ranges are read and hashed but
-    never shuffled. Only rows of the ranges that differ at the last level are compared.
-    Checksums add up, so neither order nor a row lost here and added there hides a fault.
+    never shuffled. Of the ranges that differ at the last level, two hashes of each row are
+    shuffled and compared as multisets; whole rows are shuffled, and compared, only if their
+    hash is among those that differ. Checksums add up, so neither order nor a row lost here
+    and added there hides a fault. What is broadcast has a bound: a number for each range, and
+    a bitmap of ``MARK_BITS``.
     """
     columns = source.columns
     if set(columns) != set(target.columns):
@@ -85,9 +110,15 @@ def row_differences(
             .select("range")
         )
         within = lambda df, bits=bits, differ=differ: (
-            df.withColumn("range", _range(bits)).join(differ, "range", "left_semi").drop("range")
+            df.withColumn("range", _range(bits))
+            .join(F.broadcast(differ), "range", "left_semi")
+            .drop("range")
         )
         have, want = within(have), within(want)
+    pair = lambda df, sign: df.select("h1", "h2", F.lit(sign).alias("sign"))
+    odd = pair(want, 1).union(pair(have, -1)).groupBy("h1", "h2")
+    marks = _marks(odd.agg(F.sum("sign").alias("net")).where("net <> 0"))
+    have, want = _marked(have, marks), _marked(want, marks)
     signed = want.select("it", F.lit(1).alias("sign")).union(have.select("it", F.lit(-1)))
     return (
         signed.groupBy("it").agg(F.sum("sign").alias("net")).where("net <> 0").select("it.*", "net")

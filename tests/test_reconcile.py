@@ -80,3 +80,44 @@ def test_one_altered_row_of_many_is_found_without_a_product(spark, tmp_path):
     assert sorted(r.net for r in found.collect()) == [-1, 1]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def _shuffled(spark, frame) -> int:
+    """Bytes that the exchanges of a frame's run have written."""
+    rows = frame.collect()
+    plan, total = [frame._jdf.queryExecution().executedPlan()], 0
+    seen = set()
+    while plan:
+        node = plan.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            plan.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            if node.id() in seen:
+                continue
+            seen.add(node.id())
+            plan.append(node.plan())
+            continue
+        if name == "Exchange":
+            total += node.metrics().apply("shuffleBytesWritten").value()
+        children = node.children()
+        plan += [children.apply(k) for k in range(children.size())]
+    assert rows
+    return total
+
+
+def test_only_rows_that_differ_are_shuffled_whole(spark, tmp_path):
+    # each range differs, as one row in twenty does; a row is 320 bytes that do not compress
+    name = "concat_ws('', transform(sequence(1, 10), k -> md5(string(id * 10 + k))))"
+    spark.range(40_000).selectExpr("string(id) AS id", f"{name} AS name").write.parquet(str(tmp_path / "a"))
+    source = spark.read.parquet(str(tmp_path / "a"))
+    target = source.selectExpr("id", "CASE WHEN id % 20 = 7 THEN 'x' ELSE name END AS name")
+    found = audit.row_differences(source, target)
+    assert sorted(r.net for r in found.collect()) == [-1] * 2_000 + [1] * 2_000
+    whole = 2 * 40_000 * 160  # hexadecimal digits are half a byte
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as if all sides were large
+    try:
+        assert _shuffled(spark, audit.row_differences(source, target)) < whole / 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
