@@ -161,6 +161,17 @@ class Mart(Star):
     def fact_inventory(self) -> DataFrame:
         return gold.fact_inventory(self.silver_inventory)
 
+    @cached_property
+    def sales_metrics(self) -> DataFrame:
+        return gold.sales_metrics_by_order(
+            self.silver_order_lines,
+            self.silver_orders,
+            self.dim_customer,
+            self.dim_territory,
+            self.dim_salesperson,
+            self.dim_product,
+        )
+
     def quality_report(self) -> DataFrame:
         return quality.report(_Named(self.unchecked, SILVER))
 

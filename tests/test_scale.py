@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 import uuid
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from starmart.plans.mart import GOLD, GoldTables, Mart, write_gold
 from starmart.plans.metrics import Between
 from starmart.plans.ventas import VENTAS
 from starmart.sources.retail import ConformedTables, RetailSource
-from tests.conftest import SF_DIR, rows
+from tests.conftest import SF_DIR, rows, sale
 
 YEAR = (dt.date(1997, 3, 1), dt.date(1997, 12, 31))
 
@@ -260,3 +261,19 @@ def test_a_hot_customer_is_split_in_the_wide_view(spark, conf, star):
     )
     assert "skew=true" in plan(wide, final=True)
     assert wide.count() == star.fact_sales.count()
+
+
+def test_sales_metrics_move_lines_without_the_names_of_their_order(spark, mart):
+    star = mart([sale(1, 10), sale(2, 20, partner_id=None, team_id=9), sale(3, 30, product_id=2, user_id=77)])
+    fact = gold.sales_metrics(
+        star.fact_sales, star.dim_customer, star.dim_territory, star.dim_salesperson, star.dim_product
+    )
+    assert Counter(map(tuple, star.sales_metrics.collect())) == Counter(map(tuple, fact.collect()))
+    assert star.sales_metrics.columns == fact.columns
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = mart([sale(1, 10)]).sales_metrics._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the last join is that of lines and orders: nothing that holds both is moved again
+    assert "order_id" in next(x for x in plan.splitlines() if "Join" in x)
