@@ -142,6 +142,23 @@ def test_near_duplicate_stage(spark):
     assert corpus_pipeline.near_duplicates(spark, frame.limit(0), "").count() == 0
 
 
+def test_near_duplicate_stage_goes_by_fingerprints(spark, monkeypatch):
+    import corpus_pipeline
+    from starmart.llm import nearcopies
+
+    # without bands nothing else brings the copies together
+    monkeypatch.setattr(nearcopies, "bands", lambda found: [])
+    # most shingles of the first two are one, so operator 7 links them; their sets are apart
+    texts = ["go " * 120 + prose(k, 6) for k in (1, 2)] + [prose(3, 60), prose(3, 60).upper(), None, " "]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    linked = {r["doc_id"]: r["component_id"] for r in simhash.near_classes(frame).collect()}
+    assert linked == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 4}
+    near = "no " * 120 + prose(5, 30)  # another last word: of 32 shingles 30 are in both
+    more = frame.union(spark.createDataFrame([(9, near), (10, near[: near.rindex(" ")] + " go")], frame.schema))
+    kept = corpus_pipeline.near_duplicates(spark, more, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 4, 9]
+
+
 def brute_strip(rows: list[tuple]) -> list[tuple]:
     first: dict[bytes, int] = {}
     for i, text, *_ in rows:
