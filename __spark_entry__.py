@@ -178,7 +178,8 @@ def bronze_cdc_state(spark, sf_dir):
     lane = StateLane(spark, folder, bronze)
     late = F.col("lsn") % 10 > 2
     for delivery in (late, ~late):
-        changes.where(delivery).write.mode("append").json(f"{folder}/feed")
+        feed = changes.where(delivery).write.mode("append")
+        feed.option("compression", "gzip").json(f"{folder}/feed")
         lane.start(ChangeLane(spark, folder).read_feed(f"{folder}/feed")).awaitTermination()
     return bronze.current("sale_order")
 

@@ -124,3 +124,12 @@ def test_buckets_equal_the_full_apply(spark, tmp_path):
     bronze.apply(changes.where(F.col("lsn") % 3 != 0))
     want = apply_changes(orders, changes, "sale_order", 10**12)
     assert multiset(bronze.current("sale_order")) == multiset(want)
+
+
+def test_the_feed_of_the_state_lane_is_compressed(spark, tmp_path, monkeypatch):
+    import __spark_entry__ as entry
+
+    monkeypatch.setattr(entry, "shared_dir", lambda _: str(tmp_path))
+    assert entry.bronze_cdc_state(spark, "/root/testdata/sf0.001").count() > 0
+    files = list(tmp_path.glob("state-*/feed/part-*"))
+    assert files and all(f.name.endswith(".json.gz") for f in files)
