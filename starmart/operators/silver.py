@@ -188,6 +188,10 @@ def inventory(
 
     ``available`` adds up row differences, so a row without a reserved quantity counts
     on hand but not as available. Locations of equal name merge.
+
+    Nearly every row is a group of its own, so adding up where rows are read shortens nothing
+    and holds all groups of a file, which may be one task's, in memory. Rows are dealt by
+    product first, and both halves of the aggregation see one part of the products.
     """
     strict = cfg.strict_casts
     places = (
@@ -205,10 +209,18 @@ def inventory(
     return (
         quants.join(_companies(companies, currencies, cfg.currency), "company_id")
         .join(places, "location_id")
-        .groupBy(typed("product_id", "bigint", strict).alias("product_id"), "warehouse", "location")
+        .select(
+            typed("product_id", "bigint", strict).alias("product_id"),
+            "warehouse",
+            "location",
+            stocked.alias("stocked"),
+            held.alias("held"),
+        )
+        .repartition("product_id")
+        .groupBy("product_id", "warehouse", "location")
         .agg(
-            F.sum(stocked).alias("on_hand"),
-            F.sum(held).alias("reserved"),
-            F.sum(stocked - held).alias("available"),
+            F.sum("stocked").alias("on_hand"),
+            F.sum("held").alias("reserved"),
+            F.sum(F.col("stocked") - F.col("held")).alias("available"),
         )
     )

@@ -277,3 +277,11 @@ def test_sales_metrics_move_lines_without_the_names_of_their_order(spark, mart):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # the last join is that of lines and orders: nothing that holds both is moved again
     assert "order_id" in next(x for x in plan.splitlines() if "Join" in x)
+
+
+def test_inventory_is_dealt_by_product_before_it_is_added_up(spark):
+    stock = Mart(ConformedTables(RetailSource(spark, SF_DIR))).silver_inventory
+    plan = stock._jdf.queryExecution().executedPlan().toString()
+    # read from the result down: both halves of the aggregation stand above the exchange
+    steps = re.findall(r"HashAggregate|Exchange hashpartitioning\(product_id", plan)
+    assert steps == ["HashAggregate", "HashAggregate", "Exchange hashpartitioning(product_id"], plan
