@@ -18,6 +18,9 @@ Result = TypeVar("Result")
 # Jobs submitted side by side, so that small tables do not wait for large ones.
 CONCURRENT_JOBS = 4
 
+# Codec of the tables that are written: Bronze is text, which Spark's default halves at best.
+COMPRESSION = "zstd"
+
 SETTINGS = {
     # Casts and divisions must fail loudly instead of turning into NULL.
     "spark.sql.ansi.enabled": "true",

@@ -13,11 +13,12 @@ from collections.abc import Sequence
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from starmart import contract
-from starmart.session import run_jobs
+from starmart.session import COMPRESSION, run_jobs
 from starmart.streaming.changes import BEFORE_EVERYTHING, DELETE, checked, latest
 
 #: Operation of rows that come from a snapshot; it sorts before those of the feed.
@@ -56,9 +57,9 @@ class Buckets:
 
     def _write(self, rows: DataFrame, table: str, mode: str) -> None:
         (
-            rows.hint("rebalance", "bucket")
-            .write.mode("overwrite")
+            rows.write.mode("overwrite")
             .option("partitionOverwriteMode", mode)
+            .option("compression", COMPRESSION)
             .partitionBy("bucket")
             .parquet(self.path(table))
         )
@@ -76,7 +77,7 @@ class Buckets:
             *contract.TABLES[table],
             self._bucket(),
         )
-        self._write(rows, table, "static")
+        self._write(rows.hint("rebalance", "bucket"), table, "static")
 
     def current(self, table: str) -> DataFrame:
         """Bronze rows of a table after all changes applied so far."""
@@ -91,7 +92,8 @@ class Buckets:
         newer = F.col("lsn") > self._snapshot_lsn
         mine = changes.where(newer & F.col("table").isin(self._tables))
         path = f"{self._folder}/folded/{uuid.uuid4().hex}"
-        latest(mine).withColumn("bucket", self._bucket()).write.partitionBy("table").parquet(path)
+        fold = latest(mine).withColumn("bucket", self._bucket())
+        fold.write.option("compression", COMPRESSION).partitionBy("table").parquet(path)
         schema = "op STRING, lsn BIGINT, id STRING, row STRING, bucket INT, table STRING"
         folded = self._spark.read.schema(schema).parquet(path)
         touched: dict[str, list[int]] = {}
@@ -113,14 +115,23 @@ class Buckets:
             "bucket",
         )
         old = self._stored(table).where(F.col("bucket").isin(touched))
+        every = old.select("lsn", "op", *columns, "bucket", F.lit(False).alias("fresh")).union(
+            new.select("lsn", "op", *columns, "bucket", F.lit(True))
+        )
         # an id that is NULL or repeated in the snapshot stays as it is until a change names it
-        at = F.struct("lsn", "op", *[c for c in columns if c != "id"])
-        keys = new.select("id").distinct()
-        same = old.join(keys, "id", "left_anti").select("lsn", "op", *columns, "bucket")
-        met = old.join(keys, "id", "left_semi").select("lsn", "op", *columns, "bucket").union(new)
-        won = met.groupBy("bucket", "id").agg(F.max(at).alias("last"))
-        won = won.select("last.lsn", "last.op", *[F.col(c if c == "id" else f"last.{c}") for c in columns], "bucket")
-        self._write(same.union(won), table, "dynamic")
+        lone = F.when(F.col("id").isNull(), F.monotonically_increasing_id())
+        # one exchange serves both the comparison and the files, which are a bucket's each
+        dealt = every.withColumn("lone", lone).repartition("bucket")
+        of = W.partitionBy("bucket", "id", "lone")
+        others = F.struct(*[c for c in columns if c != "id"])
+        ranked = dealt.withColumns(
+            {
+                "nth": F.row_number().over(of.orderBy(F.desc("lsn"), F.desc("op"), others.desc())),
+                "named": F.max("fresh").over(of),
+            }
+        )
+        won = ranked.where("nth = 1 OR NOT named").select("lsn", "op", *columns, "bucket")
+        self._write(won, table, "dynamic")
 
     def forget(self, table: str, position: int) -> None:
         """Drop the marks of rows deleted up to a position to which the feed is complete.
@@ -131,7 +142,8 @@ class Buckets:
         done = (F.col("op") == DELETE) & (F.col("lsn") <= position)
         touched = [r["bucket"] for r in old.where(done).select("bucket").distinct().collect()]
         if touched:
-            self._write(old.where(F.col("bucket").isin(touched) & ~done), table, "dynamic")
+            kept = old.where(F.col("bucket").isin(touched) & ~done)
+            self._write(kept.hint("rebalance", "bucket"), table, "dynamic")
 
 
 class StateLane:

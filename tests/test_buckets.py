@@ -133,3 +133,16 @@ def test_the_feed_of_the_state_lane_is_compressed(spark, tmp_path, monkeypatch):
     assert entry.bronze_cdc_state(spark, "/root/testdata/sf0.001").count() > 0
     files = list(tmp_path.glob("state-*/feed/part-*"))
     assert files and all(f.name.endswith(".json.gz") for f in files)
+
+
+def test_rows_without_a_change_are_moved_once_and_kept_as_often_as_they_were(spark, bronze, monkeypatch):
+    plans, write = [], Buckets._write
+    monkeypatch.setattr(
+        Buckets, "_write", lambda self, df, *a: plans.append(df._jdf.queryExecution().toString()) or write(self, df, *a)
+    )
+    bronze.apply(feed(spark, [change("U", 11, 7, "sieben"), change("U", 12, 3, "drei")]))
+    physical = plans[0].partition("== Physical Plan ==")[2]
+    assert physical.count("Exchange") == 1 and "Join" not in physical
+    got = multiset(bronze.current(UOM))
+    assert got[(None, "no id")] == 1 and got[("7", "sieben")] == 1 and got[("3", "drei")] == 1
+    assert ("7", "again") not in got and ("7", "n7") not in got and got[("4", "n4")] == 1
