@@ -13,7 +13,7 @@ from starmart.functions.text import register_txt
 from starmart.operators import constraints, gold, quality, silver
 from starmart.operators.quarantine import Quarantine
 from starmart.plans.versions import Publication, current_schema
-from starmart.session import run_jobs
+from starmart.session import COMPRESSION, run_jobs
 
 SILVER = (
     "silver_salespeople",
@@ -255,7 +255,7 @@ def write_table(
     if partitions:
         df = df.hint("rebalance", *partitions)
         df = df.sortWithinPartitions(*partitions, *(sort_by or []))
-    writer = df.write.mode("overwrite").format("parquet")
+    writer = df.write.mode("overwrite").format("parquet").option("compression", COMPRESSION)
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.saveAsTable(name)

@@ -336,3 +336,13 @@ def test_changes_at_one_position_give_one_result(spark):
     for feed in (change, change[::-1], change[1:] + change[:1]):
         last = changes.latest(spark.createDataFrame(feed, changes.FEED_SCHEMA)).collect()
         assert [(r["op"], r["row"]) for r in last] == [("U", "b")]
+
+
+def test_written_tables_are_compressed_by_zstd(spark, tmp_path):
+    from starmart.plans.mart import write_table
+
+    name = f"packed_{tmp_path.name}".replace("-", "_")
+    write_table(spark.range(9).selectExpr("concat('S', id) AS ref"), name)
+    files = spark.table(name).inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files), files
+    spark.sql(f"DROP TABLE {name}")
