@@ -397,9 +397,9 @@ def tenants_of(spark, sf_dir) -> tuple[Tenants, dict[str, dict[str, DataFrame]]]
         companies = bronze["res_company"].join(own, "currency_id", "left_semi")
         companies = companies.select(F.col("id").alias("company_id"))
         orders = bronze["sale_order"].join(companies, "company_id", "left_semi")
-        lines = bronze["sale_order_line"].join(
-            orders.select(F.col("id").alias("order_id")), "order_id", "left_semi"
-        )
+        # orders grow with the lines; their compressed files do not tell what a broadcast takes
+        own_orders = orders.select(F.col("id").alias("order_id")).hint("merge")
+        lines = bronze["sale_order_line"].join(own_orders, "order_id", "left_semi")
         sources[tenant] = {**bronze, "sale_order": orders, "sale_order_line": lines}
         schemas = {f"{layer}_schema": f"{layer}_{tenant.lower()}_{run}" for layer in LAYERS}
         configs[tenant] = MartConfig(as_of=AS_OF, currency=tenant, **schemas)

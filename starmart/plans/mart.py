@@ -251,6 +251,9 @@ def write_table(
     does not depend on the number of tasks. Files are sorted by ``sort_by`` after the
     partition columns, the sort such a write needs anyway, so that a filter on those
     columns skips row groups.
+
+    Its rows are counted, from the files' footers, so that joins take its size from them and
+    not from the compressed files, of which a few MB can be hundreds in a broadcast.
     """
     if partitions:
         df = df.hint("rebalance", *partitions)
@@ -259,6 +262,7 @@ def write_table(
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.saveAsTable(name)
+    df.sparkSession.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
     if comment:
         quoted = comment.replace("\\", "\\\\").replace("'", "\\'")
         df.sparkSession.sql(f"COMMENT ON TABLE {name} IS '{quoted}'")

@@ -32,6 +32,9 @@ SETTINGS = {
     # that partition even if a later step then needs one more exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # What is broadcast goes through the driver: a table whose rows are counted has the size
+    # of its rows there, not that of its compressed files.
+    "spark.sql.cbo.planStats.enabled": "true",
 }
 
 

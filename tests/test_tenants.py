@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 import pytest
@@ -11,7 +12,9 @@ import __spark_entry__ as entry
 from checks.compare import connect, differences, oracle_rows, spark_rows
 from starmart.config import MartConfig
 from starmart.operators import assets
+from starmart.plans.mart import write_table
 from starmart.plans.tenants import Tenants
+from starmart.session import small_table
 from tests.conftest import SF_DIR
 
 
@@ -57,6 +60,32 @@ def test_shared_schemas_are_refused(spark):
         Tenants(spark, {"a": one, "b": two})
 
 
+def test_joins_size_written_tables_by_their_rows(spark, tmp_path):
+    """A broadcast goes through the driver: files of 1 MB must not bring 60 MB of rows there."""
+    name = f"sized_{tmp_path.name}".replace("-", "_")
+    alike = [f"repeat('x', 20) AS c{k}" for k in range(8)]
+    write_table(spark.range(200_000).selectExpr("CAST(id AS STRING) AS id", *alike), name)
+    try:
+        files = [Path(f.removeprefix("file:")) for f in spark.table(name).inputFiles()]
+        assert 0 < sum(f.stat().st_size for f in files) < 5_000_000
+        both = spark.table(name).join(spark.table(name).withColumnRenamed("c0", "c"), "id")
+        plan = both._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, plan
+        # a few of its rows are still broadcast
+        few = small_table(spark, [("1",)], "id string")
+        plan = spark.table(name).join(few, "id")._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan, plan
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_orders_of_a_tenant_are_not_broadcast_to_its_lines(spark):
+    _, sources = entry.tenants_of(spark, SF_DIR)
+    for source in sources.values():
+        plan = source["sale_order_line"]._jdf.queryExecution().sparkPlan().toString()
+        assert re.search(r"SortMergeJoin \[order_id#\d+\], \[order_id#\d+\], LeftSemi", plan), plan
+
+
 def test_query(spark):
     have = spark_rows(entry.queries()["tenant_schemas"](spark, SF_DIR))
     assert have[1] and differences(have, oracle_rows(connect(SF_DIR), entry.ORACLES["tenant_schemas"])) == []
