@@ -159,6 +159,22 @@ def test_near_duplicate_stage_goes_by_fingerprints(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1, 2, 4, 9]
 
 
+def test_near_duplicate_stage_compares_all_of_a_fingerprint_class(spark, monkeypatch):
+    import corpus_pipeline
+    from starmart.llm import nearcopies
+
+    monkeypatch.setattr(nearcopies, "bands", lambda found: [])
+    # operator 7 links all of them; only those of one tail are alike
+    texts = [f"{'go ' * 120}{prose(40 + k, 30)} {last}" for k in range(4) for last in ("on", "off")]
+    # one id for two texts, no id, a row repeated whole
+    ids = [0, 1, 1, 3, 4, 4, None, 7]
+    rows = list(zip(ids, texts, strict=True))
+    frame = spark.createDataFrame([*rows, rows[3]], "doc_id bigint, text string")
+    assert {r["component_id"] for r in simhash.near_classes(frame).collect()} == {0}
+    kept = [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, frame, "").collect()]
+    assert sorted(kept) == [0, 1, 4, 7]
+
+
 def brute_strip(rows: list[tuple]) -> list[tuple]:
     first: dict[bytes, int] = {}
     for i, text, *_ in rows:
